@@ -1,0 +1,52 @@
+"""Written intermediate tables.
+
+A derived table that several jobs read is written once as Parquet under the
+folder the cluster names in ``spark.checkpoint.dir`` and read back: this cuts the
+lineage, survives lost executors and keeps column pruning and partition pruning
+for the readers.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+_TABLES: dict[tuple[str, str], tuple] = {}
+_VALUES: dict[tuple[str, str], object] = {}
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder; set one only where none is set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="sessionweave-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def written(
+    spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Table ``name`` of this application, written on first use."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _TABLES:
+        path = f"{shared_folder(spark).rstrip('/')}/sessionweave/{key[0]}/{uuid.uuid4().hex}"
+        table = build()
+        writer = table.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
+        _TABLES[key] = (path, table.schema)
+    path, schema = _TABLES[key]
+    return spark.read.schema(schema).parquet(path)
+
+
+def remembered(spark: SparkSession, name: str, compute: Callable[[], object]) -> object:
+    """A small driver-side value of this application, computed on first use."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _VALUES:
+        _VALUES[key] = compute()
+    return _VALUES[key]

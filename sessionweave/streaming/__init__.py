@@ -1,0 +1 @@
+"""Nothing here: every job in this library is a batch job over a stored event log."""
