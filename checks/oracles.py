@@ -222,5 +222,329 @@ def _first() -> dict[str, str]:
     return o
 
 
+# --- levels, milestones, combinations, clicks ---------------------------------
+
+
+def _second() -> dict[str, str]:
+    o = {}
+    o["level_times"] = more(LEVEL_TIMES, "SELECT * FROM times")
+    parts = [f"max(elapsed_time_total) FILTER (WHERE level = {n}) AS elapsed_time_total_level_{n}" for n in range(23)]
+    for n in range(23):
+        if n not in (4, 12, 22):
+            gap = f"max(level_diff) FILTER (WHERE level = {n})"
+            parts.append(f"CASE WHEN {gap} < 0 THEN {gap} WHEN {gap} >= 0 THEN 0 END AS elapsed_time_level_diff_fixed_{n}")
+    for low, high in ((0, 4), (5, 12), (13, 22)):
+        parts.append(f'max(elapsed_time_max) FILTER (WHERE level BETWEEN {low} AND {high}) AS "elapsed_time_max{low}-{high}"')
+    for low, high, name in ((0, 4, "0_3_min4"), (5, 12, "5-11_min12"), (13, 22, "13-21_min22")):
+        late = f"(max(elapsed_time_max) FILTER (WHERE level BETWEEN {low} AND {high - 1}) - min(elapsed_time_min) FILTER (WHERE level = {high}))"
+        parts.append(f'CASE WHEN {late} > 0 THEN {late} WHEN {late} <= 0 THEN 0 END AS "elapsed_time_diff_fixed_max{name}"')
+    o["level_time_features"] = more(LEVEL_TIMES, f"SELECT {KEYS}, {', '.join(parts)} FROM times GROUP BY {KEYS}")
+    o["session_thresholds"] = more(LIMITS, "SELECT * FROM limits")
+    o["above_threshold_features"] = more(
+        LIMITS,
+        " UNION ALL ".join(
+            f"""SELECT {KEYS}, '{c}' AS dimension, cast({c} AS varchar) AS value, count(*) AS n,
+ cast(sum(elapsed_time_diff_to) AS bigint) AS diff_to_sum FROM above GROUP BY {KEYS}, {c}"""
+            for c in ("room_fqid", "event_name", "level")
+        ),
+    )
+
+    rules = (
+        ("0-4", "both_texts", "both_texts", "text = 'text this is it' OR text = 'text you can do that'"),
+        ("0-4", "click_fq1", "click_fq1", "(event_name = 'click' AND fqid = 'fq1') OR fqid = 'fq2'"),
+        ("5-12", "fq3_fq4", "fq3_to_fq4", "fqid = 'fq3' OR fqid = 'fq4'"),
+        ("13-22", "tx1_fq5", "tx1_fq5", "text_fqid = 'tx.1' OR fqid = 'fq5'"),
+    )
+    spans = []
+    for group, name, index_name, rule in rules:
+        for column, alias in (("elapsed_time", f"{name}_duration"), ("idx", f"{index_name}_indexCount")):
+            span = f"max({column}) FILTER (WHERE {rule}) - min({column}) FILTER (WHERE {rule})"
+            spans.append(f"CASE WHEN level_group = '{group}' THEN coalesce({span}, 0) END AS {alias}")
+    o["milestone_features"] = on_log(f"SELECT {KEYS}, {', '.join(spans)} FROM d GROUP BY {KEYS}")
+    steps = []
+    for group, name, before, after in (
+        ("0-4", "to_tx2", "fqid = 'fq1'", "text_fqid = 'tx.2'"),
+        ("5-12", "found_tx5", "text_fqid = 'tx.4'", "text_fqid = 'tx.5'"),
+    ):
+        for column, suffix in (("elapsed_time", "et"), ("idx", "id")):
+            step = f"min({column}) FILTER (WHERE {after}) - max({column}) FILTER (WHERE {before})"
+            steps.append(f"CASE WHEN level_group = '{group}' THEN {step} END AS {name}_{suffix}")
+    o["milestone_transitions"] = on_log(f"SELECT {KEYS}, {', '.join(steps)} FROM d GROUP BY {KEYS}")
+
+    o["frequent_fqid_level_room"] = more(COMBOS, "SELECT * FROM flr")
+    o["frequent_text_level"] = more(COMBOS, "SELECT * FROM tl")
+    o["combo_features"] = more(
+        COMBOS,
+        """SELECT session_id, level_group, concat(fqid, '_', room_fqid, '_', cast(level AS varchar)) AS combo, et_sum, n
+ FROM cells SEMI JOIN flr USING (level_group, fqid, level, room_fqid)
+UNION ALL SELECT session_id, level_group, concat(text_fqid, '_', cast(level AS varchar)) AS combo, et_sum, n
+ FROM tcells SEMI JOIN tl USING (level_group, text_fqid, level)""",
+    )
+    o["event_level_counts"] = on_log(
+        f"SELECT {KEYS}, event_name, level, count(*) AS n FROM d WHERE event_name IN ('view', 'click', 'purchase') GROUP BY ALL"
+    )
+    o["event_name_pair_counts"] = on_log(
+        f"SELECT {KEYS}, event_name, name, count(*) AS n FROM d WHERE event_name IN ('click', 'view') GROUP BY ALL"
+    )
+    o["repeat_clicks"] = on_log(f"""SELECT {KEYS}, max(clicks) AS click_same_max,
+ nullif(count(*) FILTER (WHERE clicks >= 5), 0) AS click_same_over FROM
+ (SELECT {KEYS}, screen_coor_x, screen_coor_y, count(*) AS clicks FROM d WHERE screen_coor_x IS NOT NULL GROUP BY ALL) p GROUP BY {KEYS}""")
+    o["cell_popularity"] = more(NAVIGATE, "SELECT * FROM popularity")
+    o["navigate_category_counts"] = more(
+        NAVIGATE,
+        """SELECT session_id, nav.level_group, nav.room_fqid, coalesce(category, 1) AS category, count(*) AS n
+ FROM nav LEFT JOIN popularity p ON nav.level_group = p.level_group AND nav.room_fqid = p.room_fqid AND nav.room_x = p.room_x AND nav.room_y = p.room_y
+ GROUP BY ALL""",
+    )
+    o["room_grid_counts"] = more(GRID, "SELECT * FROM slots")
+    o["room_grid_clipped"] = more(GRID, "SELECT * FROM clipped")
+    o["room_grid_axes"] = more(
+        GRID,
+        """SELECT level_group, room_fqid, 'room_x' AS axis, room_x AS bin, px AS position, nx AS length FROM xs
+ UNION ALL SELECT level_group, room_fqid, 'room_y', room_y, py, ny FROM ys""",
+    )
+    o["one_hot_cells"] = more(
+        GRID,
+        """SELECT session_id, level_group, room_fqid, 'room_x' AS axis, room_x AS bin, cast(sum(n) AS bigint) AS n FROM grid GROUP BY ALL
+ UNION ALL SELECT session_id, level_group, room_fqid, 'room_y', room_y, cast(sum(n) AS bigint) FROM grid GROUP BY ALL""",
+    )
+    o["room_grid_scale"] = more(
+        GRID, "SELECT level_group, room_fqid, room_x, room_y, sessions, round(mean, 7) AS mean, round(scale, 7) AS scale FROM scale"
+    )
+    o["room_grid_scaled"] = more(
+        GRID,
+        """SELECT session_id, level_group, room_fqid, room_x, room_y, round((n - mean) / scale, 6) AS scaled
+ FROM clipped JOIN scale USING (level_group, room_fqid, room_x, room_y)""",
+    )
+    return o
+
+
+# --- cleaning, labels, evaluation ---------------------------------------------
+
+SAMPLE = "sample AS (SELECT session_id FROM (SELECT DISTINCT user_id AS session_id FROM events) s ORDER BY md5(concat(cast(session_id AS varchar), ':42')), session_id LIMIT 10)"
+FOLD = "('0x' || substr(md5(concat(cast(session_id AS varchar), ':42')), 1, 8))::bigint"
+ORIGINALS = "originals AS (SELECT user_id AS session_id FROM events GROUP BY user_id HAVING count(*) FILTER (WHERE event_type = 'signup') >= 10)"
+PART_ID = """parts AS (SELECT user_id AS session_id, cast(concat(cast(20 + user_id % 4 AS varchar), strftime(t0, '%m%d%H%M%S'),
+ lpad(cast(user_id AS varchar), 5, '0')) AS bigint) AS stamp FROM (SELECT user_id, min(ts) AS t0 FROM events GROUP BY user_id) f)"""
+
+
+def _third() -> dict[str, str]:
+    o = {}
+    o["exclude_listed_sessions"] = f"WITH {LOG} SELECT session_id, idx FROM log WHERE session_id NOT IN (3, 5, 8)"
+    o["exclude_sessions"] = f"""WITH {LOG} SELECT session_id, idx FROM log WHERE session_id NOT IN
+ (SELECT session_id FROM log GROUP BY session_id HAVING count(room_coor_x) < 0.88 * count(*))"""
+    o["exclude_short_sessions"] = f"""WITH {LOG} SELECT session_id, idx FROM log WHERE session_id IN
+ (SELECT session_id FROM log WHERE level_group = '0-4' GROUP BY session_id HAVING count(*) >= 15)"""
+    o["sample_sessions"] = f"WITH {LOG}, {SAMPLE} SELECT session_id, idx, event_name FROM log WHERE session_id IN (SELECT session_id FROM sample)"
+    o["sample_labels"] = f"WITH {ANSWERS}, {SAMPLE} SELECT label_id, correct FROM answers WHERE session_id IN (SELECT session_id FROM sample)"
+    o["scan_labels"] = f"WITH {ANSWERS} SELECT label_id AS session_id, correct FROM answers"
+    o["split_label_ids"] = f"""WITH {ANSWERS} SELECT label_id AS session_id, correct, cast(split_part(label_id, '_', 1) AS bigint) AS session,
+ cast(substr(split_part(label_id, '_', 2), 2) AS int) AS q FROM answers"""
+    o["session_time_parts"] = f"""WITH {PART_ID} SELECT session_id, cast(substr(s, 1, 2) AS int) AS year, cast(substr(s, 3, 2) AS int) + 1 AS month,
+ cast(substr(s, 5, 2) AS int) AS day, cast(substr(s, 7, 2) AS int) AS hour, cast(substr(s, 9, 2) AS int) AS minute, cast(substr(s, 11, 2) AS int) AS second
+ FROM (SELECT session_id, cast(stamp AS varchar) AS s FROM parts) p"""
+    o["session_weights"] = f"""WITH {PART_ID} SELECT session_id, CASE substr(cast(stamp AS varchar), 1, 2) WHEN '20' THEN 0.5::double WHEN '21' THEN 0.8::double
+ WHEN '22' THEN 1.5::double ELSE 1.0::double END AS weight FROM parts"""
+    o["noise_features"] = """SELECT session_id, concat('random', cast(i AS varchar)) AS feature,
+ cast(('0x' || substr(md5(concat(cast(session_id AS varchar), ':42:', cast(i AS varchar))), 1, 8))::bigint % 999 + 1 AS double) AS value
+ FROM (SELECT DISTINCT user_id AS session_id FROM events) s, (SELECT unnest(range(0, 30)) AS i) n"""
+    o["assign_folds"] = f"SELECT session_id, cast({FOLD} % 5 AS int) AS fold FROM (SELECT DISTINCT user_id AS session_id FROM events) s"
+    routing = "CASE WHEN q <= 3 THEN '0-4' WHEN q <= 13 THEN '5-12' ELSE '13-22' END"
+    o["question_routing"] = f"WITH {ANSWERS} SELECT session_id, q, {routing} AS level_group FROM answers"
+    priors = "0.728, 0.978, 0.933, 0.8, 0.548, 0.776, 0.736, 0.612, 0.734, 0.505, 0.642, 0.86, 0.275, 0.707, 0.481, 0.733, 0.684, 0.95"
+    o["oof_init"] = f"WITH {ANSWERS} SELECT session_id, q, cast(([{priors}])[q] AS double) AS p FROM answers"
+    o["oof_init_learned"] = f"""WITH {ANSWERS}, f AS (SELECT session_id, q, correct, cast({FOLD} % 5 AS int) AS fold FROM answers),
+ t AS (SELECT q, fold, count(*) AS n, sum(correct) AS s FROM f GROUP BY q, fold), w AS (SELECT q, sum(n) AS n, sum(s) AS s FROM t GROUP BY q)
+ SELECT session_id, q, cast(w.s - t.s AS double) / (w.n - t.n) AS p FROM f JOIN t USING (q, fold) JOIN w USING (q)"""
+    o["labels_for_question"] = f"WITH {ANSWERS} SELECT session_id, correct FROM answers WHERE q = 7"
+    o["question_subset"] = f"WITH {ANSWERS} SELECT session_id, q, correct, p FROM answers WHERE q IN (1, 4, 14)"
+    o["chain_features"] = more(
+        ANSWERS,
+        """SELECT f.session_id, session_number, et_mean, p1 AS p_q1, p2 AS p_q2, p3 AS p_q3, p4 AS p_q4, correct FROM
+ (SELECT session_id, count(*) AS session_number, round(avg(cast(elapsed_time_diff AS double)), 4) AS et_mean FROM d WHERE level_group = '5-12' GROUP BY session_id) f
+ LEFT JOIN (SELECT session_id, max(p) FILTER (WHERE q = 1) AS p1, max(p) FILTER (WHERE q = 2) AS p2, max(p) FILTER (WHERE q = 3) AS p3,
+  max(p) FILTER (WHERE q = 4) AS p4 FROM answers GROUP BY session_id) a USING (session_id)
+ JOIN (SELECT session_id, correct FROM answers WHERE q = 5) l USING (session_id)""",
+    )
+    o["truth_matrix"] = (
+        f"WITH {ANSWERS} SELECT session_id, "
+        + ", ".join(f"max(correct) FILTER (WHERE q = {q}) AS q{q}" for q in range(1, 19))
+        + " FROM answers GROUP BY session_id"
+    )
+    o["threshold_sweep"] = scored(f"SELECT {THRESHOLD}, {COUNTS}, round(macro_f1, 9) AS macro_f1 FROM sweep")
+    best = "best AS (SELECT i FROM sweep ORDER BY macro_f1 DESC, i LIMIT 1)"
+    o["best_threshold"] = scored(f"SELECT {THRESHOLD}, {COUNTS}, round(macro_f1, 9) AS macro_f1 FROM sweep ORDER BY sweep.macro_f1 DESC, i LIMIT 1")
+    o["macro_f1_fixed"] = scored(f"SELECT {THRESHOLD}, {COUNTS}, round(macro_f1, 9) AS macro_f1 FROM sweep WHERE i = 20")
+    o["macro_f1_by_question"] = scored(
+        f"SELECT q, {THRESHOLD}, {COUNTS}, round({F1}, 9) AS macro_f1 FROM counts WHERE i = (SELECT i FROM ({best[9:-1]}) b)"
+    )
+    subset = ANSWERS.replace("answers AS (", "everyone AS (", 1) + f",\n{ORIGINALS},\nanswers AS (SELECT * FROM everyone WHERE session_id IN (SELECT session_id FROM originals))"
+    o["macro_f1_originals"] = scored(f"SELECT {THRESHOLD}, {COUNTS}, round(macro_f1, 9) AS macro_f1 FROM sweep", subset)
+    rounds = f"rounds AS (SELECT q, cast({FOLD} % 5 AS int) AS fold, cast(sum(correct) AS bigint) AS best_iteration FROM answers GROUP BY q, fold)"
+    o["mean_best_iterations"] = f"WITH {ANSWERS}, {rounds} SELECT q, cast(trunc(avg(cast(best_iteration AS double))) AS int) AS best_iteration FROM rounds GROUP BY q"
+    o["write_oof"] = f"WITH {ANSWERS} SELECT session_id, q, p FROM answers"
+    o["csv_roundtrip"] = (
+        f"WITH {ANSWERS} SELECT session_id, "
+        + ", ".join(f'max(p) FILTER (WHERE q = {q}) AS "{q - 1}"' for q in range(1, 19))
+        + " FROM answers GROUP BY session_id"
+    )
+    o["load_dictionaries"] = more(
+        f"{COMBOS},\n{NAVIGATE}",
+        """SELECT 'flr_list' AS dictionary, level_group, fqid AS a, room_fqid AS b, level AS i, cast(NULL AS bigint) AS j, cast(NULL AS int) AS category FROM flr
+ UNION ALL SELECT 'tl_list', level_group, text_fqid, NULL, level, NULL, NULL FROM tl
+ UNION ALL SELECT 'navigate_master', level_group, room_fqid, NULL, cast(room_x AS int), room_y, category FROM popularity""",
+    )
+    o["run_results_table"] = scored(f"""SELECT 'overall' AS score, round(macro_f1, 9) AS value FROM (SELECT * FROM sweep ORDER BY macro_f1 DESC, i LIMIT 1) s
+ UNION ALL SELECT concat('q', cast(q AS varchar)), round({F1}, 9) FROM counts WHERE i = (SELECT i FROM sweep ORDER BY macro_f1 DESC, i LIMIT 1)""")
+    return o
+
+
+# --- long feature table ---------------------------------------------------------
+
+CTES = f"{DELTAS},\n{WORD_ROWS},\n{LEVEL_TIMES},\n{LIMITS},\n{COMBOS},\n{NAVIGATE}"
+S = "concat('grp', level_group)"
+
+
+def _name(template: str, value: str = "''") -> str:
+    parts = template.replace("{c}", "|c|").replace("{S}", "|s|").split("|")
+    return "concat(" + ", ".join(value if p == "c" else S if p == "s" else f"'{p}'" for p in parts) + ")"
+
+
+def _rows(source: str, columns, block="base", value="''", zero=()) -> str:
+    """Long rows of ``source`` for (column, template) pairs."""
+    return "\nUNION ALL ".join(
+        f"""SELECT session_id, level_group, '{block}' AS block, {_name(t, value)} AS feature, {str(c in zero).lower()} AS zero,
+ cast("{c}" AS double) AS value FROM {source} WHERE "{c}" IS NOT NULL"""
+        for c, t in columns
+    )
+
+
+def _body(sql: str) -> str:
+    """The part of a generated query after its shared definitions."""
+    return sql[sql.rindex("\nSELECT ") + 1 :]
+
+
+def feature_ctes() -> str:
+    first, second = _first(), _second()
+    wide = {
+        "t_counts": (_body(first["session_counts"]), ["session_number"], ""),
+        "t_distinct": (_body(first["session_distincts"]), [f"{c}_unique" for c in CATEGORY], ""),
+        "t_stats": (_body(first["numeric_stats"]), [f"{c}_{k}" for c in NUMERIC for k in ("mean", "std", "min", "max")], ""),
+        "t_quantiles": (_body(first["numeric_quantiles"]), [f"{c}_quantile{round(q * 10)}" for c in NUMERIC for q in SHARES], ""),
+        "t_flags": (_body(first["gap_flag_sums"]), [f"elapsed_time_over{n}" for n in FLAGS], ""),
+        "t_levels": (_body(second["level_time_features"]), None, ""),
+        "t_spans": (_body(second["milestone_features"]), None, "extra_"),
+        "t_steps": (_body(second["milestone_transitions"]), None, "extra_"),
+        "t_repeat": (_body(second["repeat_clicks"]), ["click_same_max", "click_same_over"], ""),
+    }
+    ctes, rows = [CTES], []
+    for name, (body, columns, extra) in wide.items():
+        if columns is None:
+            pieces = body.split(" FROM ")[0] if name == "t_levels" else body
+            columns = [w.strip('",') for w in _aliases(pieces)]
+        ctes.append(f"{name} AS ({body})")
+        rows.append(_rows(name, [(c, f"{c}_{extra}{{S}}") for c in columns]))
+    et = {k: (f"et_{k}", "{c}_ET_" + k + "_{S}") for k in ("mean", "std", "max", "min", "sum")}
+    full = [et[k] for k in ("std", "mean", "max", "min", "sum")]
+    short = [et[k] for k in ("std", "mean", "sum")]
+    for c, label, stats in (
+        ("event_name", "_event_name_counts{S}", [et[k] for k in ("mean", "std", "max", "min")] + [(f"x_{k}", "{c}_ET_" + k + "_x{S}") for k in ("mean", "std", "max", "min")]),
+        ("name", "_name_counts{S}", [et[k] for k in ("mean", "max", "min", "std")]),
+        ("room_fqid", "_room_fqid_counts{S}", full),
+        ("fqid", "_fqid_counts{S}", full),
+        ("text_fqid", "_text_fqid_counts{S}", full),
+        ("level", "_LEVEL_count{S}", short),
+        ("level_group", "_LEVEL_group_count{S}", short),
+    ):
+        ctes.append(f"v_{c} AS ({by_value(c)})")
+        rows.append(_rows(f"v_{c}", [("n", "{c}" + label), *stats], value="value", zero=("n",)))
+    ctes.append(f"v_word AS ({by_value('word', 'words')})")
+    rows.append(_rows("v_word", [("n", "word_{c}_{S}")] + [(f"et_{k}", "word_" + k + "_{c}_{S}") for k in ("mean", "std", "max", "sum")], value="value", zero=("n",)))
+    for key, shares, tag in (("by_event_name_quantiles", SHARES, ""), ("by_text_quantiles", (0.2, 0.7, 0.9), "text_"), ("by_room_quantiles", (0.2, 0.7, 0.9), "room_")):
+        ctes.append(f"q_{key} AS ({_body(first[key])})")
+        rows.append(_rows(f"q_{key}", [(f"elapsed_time_diff_quantile{round(q * 10)}", "{c}_" + tag + f"ET_quantile{round(q * 10)}_{{S}}") for q in shares], value="value"))
+    lv = "cast(level AS varchar)"
+    rows.append(_rows("(SELECT * FROM cells SEMI JOIN flr USING (level_group, fqid, level, room_fqid)) c", [("et_sum", "{c}_ET_sum_{S}"), ("n", "{c}_counts{S}")], value=f"concat(fqid, '_', room_fqid, '_', {lv})", zero=("n",)))
+    rows.append(_rows("(SELECT * FROM tcells SEMI JOIN tl USING (level_group, text_fqid, level)) c", [("et_sum", "{c}_ET_sum_{S}"), ("n", "{c}ET_count_{S}")], value=f"concat(text_fqid, '_', {lv})", zero=("n",)))
+    ctes.append(f"c_levels AS ({_body(second['event_level_counts'])}),\nc_pairs AS ({_body(second['event_name_pair_counts'])})")
+    rows.append(_rows("c_levels", [("n", "{c}_count_{S}")], value=f"concat(event_name, '_', {lv})", zero=("n",)))
+    rows.append(_rows("c_pairs", [("n", "{c}_count_{S}")], value="concat(event_name, '_', name)", zero=("n",)))
+    late = second["above_threshold_features"]
+    ctes.append(f"c_above AS ({late[late.index('SELECT session_id, level_group, ' + chr(39) + 'room_fqid'):]})")
+    rows.append(_rows("(SELECT * FROM c_above WHERE level_group <> '13-22') a", [("n", "index_count_{c}_{S}_above"), ("diff_to_sum", "elapsed_time_diff_to_{c}_{S}_above")], "above", "value", ("n",)))
+    nav = second["navigate_category_counts"]
+    ctes.append(f"c_nav AS ({nav[nav.index('SELECT session_id, nav.level_group'):]})")
+    rows.append(_rows("c_nav", [("n", "navigate_index_count{c}_{S}")], "navigate", "concat(room_fqid, '_', cast(category AS varchar))", ("n",)))
+    ctes.append("feats AS (" + "\nUNION ALL ".join(rows) + ")")
+    ctes.append("""members AS (SELECT DISTINCT session_id, level_group, 'base' AS block FROM d
+ UNION ALL SELECT DISTINCT session_id, level_group, 'above' FROM above WHERE level_group <> '13-22'
+ UNION ALL SELECT DISTINCT session_id, level_group, 'navigate' FROM nav)""")
+    ctes.append(_summary("summary", "feats", "members"))
+    ctes.append("""kept AS (SELECT * FROM summary WHERE cast(sessions - present AS double) / sessions <= CASE WHEN feature LIKE '%\\_above' ESCAPE '\\' THEN 0.997 ELSE 0.97 END
+ AND (low < high OR sessions > present))""")
+    return ",\n".join(ctes)
+
+
+def _summary(name: str, rows: str, members: str) -> str:
+    return f"""{name} AS (SELECT level_group, block, feature, zero, sessions, CASE WHEN zero THEN members ELSE n END AS present,
+ CASE WHEN zero AND n < members THEN least(low, 0) ELSE low END AS low, CASE WHEN zero AND n < members THEN greatest(high, 0) ELSE high END AS high
+ FROM (SELECT level_group, block, feature, zero, count(*) AS n, min(value) AS low, max(value) AS high FROM {rows} GROUP BY ALL) f
+ JOIN (SELECT level_group, block, count(*) AS members FROM {members} GROUP BY ALL) b USING (level_group, block)
+ JOIN (SELECT level_group, count(*) AS sessions FROM {members} WHERE block = 'base' GROUP BY ALL) t USING (level_group))"""
+
+
+def _aliases(select: str) -> list[str]:
+    import re
+
+    return re.findall(r' AS ("[^"]+"|\w+?)(?=,|$| FROM d)', select)
+
+
+WIDE = (
+    ("session_number_grp0-4", "base", False),
+    ("click_event_name_countsgrp0-4", "base", True),
+    ("signup_ET_std_grp0-4", "base", False),
+    ("hover_duration_quantile8_grp0-4", "base", False),
+    ("room.1_room_fqid_countsgrp0-4", "base", True),
+    ("index_count_error_grp0-4_above", "above", True),
+    ("elapsed_time_diff_to_room.2_grp0-4_above", "above", False),
+    ("navigate_index_countroom.0_5_grp0-4", "navigate", True),
+)
+DROPPED = ("session_number_grp0-4", "fq1_ET_mean_grp5-12", "tx.1_text_ET_quantile2_grp13-22", "no_such_feature")
+
+
+def _round(column: str) -> str:
+    return f"""round({column}, CASE WHEN feature LIKE '%std%' THEN 2 WHEN feature LIKE '%mean%' AND feature NOT LIKE '%ET_mean%' AND feature NOT LIKE 'word%'
+ AND feature NOT LIKE 'elapsed%' THEN 7 ELSE 4 END) AS {column}"""
+
+
+def _fourth() -> dict[str, str]:
+    base = f"WITH {feature_ctes()}"
+    o = {}
+    o["join_feature_blocks"] = f"{base}\nSELECT session_id, level_group, block, feature, zero, {_round('value')} FROM feats"
+    o["feature_summary"] = f"{base}\nSELECT level_group, block, feature, zero, sessions, present, {_round('low')}, {_round('high')} FROM summary"
+    o["prune_features"] = f"{base}\nSELECT level_group, block, feature, sessions, present FROM kept"
+    o["feature_catalog"] = f"{base}\nSELECT level_group, feature, (level_group, feature) IN (SELECT level_group, feature FROM kept) AS kept FROM summary"
+    o["drop_listed_features"] = f"{base}\nSELECT level_group, feature, present FROM kept WHERE feature NOT IN ({', '.join(repr(n) for n in DROPPED)})"
+    merged = f"""kf AS (SELECT f.* FROM feats f SEMI JOIN kept USING (level_group, feature)),
+s2 AS (SELECT session_id FROM members WHERE level_group = '5-12' AND block = 'base'), s3 AS (SELECT session_id FROM members WHERE level_group = '13-22' AND block = 'base'),
+mf AS (SELECT * FROM kf UNION ALL SELECT session_id, '5-12', concat(block, '@0-4'), feature, zero, value FROM kf SEMI JOIN s2 USING (session_id) WHERE level_group = '0-4'
+ UNION ALL SELECT session_id, '13-22', concat(block, '@5-12'), feature, zero, value FROM kf SEMI JOIN s3 USING (session_id) WHERE level_group = '5-12'
+ UNION ALL SELECT session_id, '13-22', concat(block, '@0-4'), feature, zero, value FROM kf SEMI JOIN s2 USING (session_id) SEMI JOIN s3 USING (session_id) WHERE level_group = '0-4'),
+mm AS (SELECT * FROM members UNION ALL SELECT session_id, '5-12', concat(block, '@0-4') FROM members SEMI JOIN s2 USING (session_id) WHERE level_group = '0-4'
+ UNION ALL SELECT session_id, '13-22', concat(block, '@5-12') FROM members SEMI JOIN s3 USING (session_id) WHERE level_group = '5-12'
+ UNION ALL SELECT session_id, '13-22', concat(block, '@0-4') FROM members SEMI JOIN s2 USING (session_id) SEMI JOIN s3 USING (session_id) WHERE level_group = '0-4'),
+{_summary('msummary', 'mf', 'mm')}"""
+    o["cumulative_group_merge"] = f"{base},\n{merged}\nSELECT level_group, block, feature, zero, sessions, present, {_round('low')}, {_round('high')} FROM msummary"
+    cells = []
+    for name, block, zero in WIDE:
+        value = f"max(value) FILTER (WHERE feature = '{name}')"
+        if zero:
+            value = f"coalesce({value}, CASE WHEN session_id IN (SELECT session_id FROM members WHERE level_group = '0-4' AND block = '{block}') THEN 0 END)"
+        alias = "".join(ch if ch.isalnum() or ch == "_" else "_" for ch in name)
+        cells.append(f"round(coalesce({value}, -1), 2) AS {alias}")
+    o["fill_missing_features"] = f"{base}\nSELECT session_id, {', '.join(cells)} FROM feats WHERE level_group = '0-4' GROUP BY session_id"
+    return o
+
+
 def all_oracles() -> dict[str, str]:
-    return _first()
+    return {**_first(), **_second(), **_third(), **_fourth()}

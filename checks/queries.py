@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from checks.fixture import PARAMS
-from sessionweave.functions.expressions import grid_bin
-from sessionweave.operators import cleaning, clicks, combos, deltas, evaluate, levels, longtable, quantiles, stats
+from checks.oracles import DROPPED, WIDE
+from sessionweave.functions.expressions import grid_bin, time_parts, year_weight
+from sessionweave.operators import (
+    chain,
+    cleaning,
+    clicks,
+    combos,
+    deltas,
+    evaluate,
+    levels,
+    longtable,
+    models,
+    quantiles,
+    stats,
+)
+from sessionweave.plans import features as plan
+from sessionweave.plans.workspace import scratch_path, written
+from sessionweave.presets import DEFAULT_THRESHOLD, QUESTIONS
+from sessionweave.sources import tables
 
 KEYS = stats.KEYS
 SHARES = (0.1, 0.2, 0.4, 0.6, 0.8, 0.9)
@@ -105,5 +124,308 @@ FIRST = {
 }
 
 
+
+# --- levels, milestones, combinations, clicks ---------------------------------
+
+
+def combo_cells(spark, sf, combo):
+    name = f"{sf}/cells/{combo[0]}"
+    return written(spark, name, lambda: combos.combo_cells(fx.log(spark, sf), combo))
+
+
+def dictionary(spark, sf, combo, support):
+    def build():
+        sessions = combos.group_sessions(fx.log(spark, sf))
+        return combos.mine_combos(combo_cells(spark, sf, combo), sessions, combo, support)
+
+    return written(spark, f"{sf}/dictionary/{combo[0]}", build)
+
+
+def flr(spark, sf):
+    return dictionary(spark, sf, combos.FQID_COMBO, PARAMS.support)
+
+
+def tl(spark, sf):
+    return dictionary(spark, sf, combos.TEXT_COMBO, PARAMS.text_support)
+
+
+def combo_features(spark, sf):
+    fqid = combos.combo_features(combo_cells(spark, sf, combos.FQID_COMBO), flr(spark, sf), combos.FQID_COMBO)
+    text = combos.combo_features(combo_cells(spark, sf, combos.TEXT_COMBO), tl(spark, sf), combos.TEXT_COMBO)
+    level = F.col("level").cast("string")
+    return fqid.select(*KEYS, F.concat_ws("_", "fqid", "room_fqid", level).alias("combo"), "et_sum", "n").unionByName(
+        text.select(*KEYS, F.concat_ws("_", "text_fqid", level).alias("combo"), "et_sum", "n")
+    )
+
+
+def navigate_cells(spark, sf):
+    return written(spark, f"{sf}/navigate", lambda: clicks.navigate_cells(fx.log(spark, sf), PARAMS))
+
+
+def popularity(spark, sf):
+    return clicks.cell_popularity(navigate_cells(spark, sf), PARAMS)
+
+
+def grid(spark, sf):
+    return written(spark, f"{sf}/grid", lambda: clicks.room_grid_cells(fx.log(spark, sf), PARAMS))
+
+
+def clipped(spark, sf):
+    return clicks.clip_cells(grid(spark, sf), PARAMS)
+
+
+def scale(spark, sf):
+    return clicks.room_grid_scale(clipped(spark, sf))
+
+
+SECOND = {
+    "level_times": lambda s, sf: levels.level_times(fx.log(s, sf)),
+    "level_time_features": lambda s, sf: levels.level_time_features(fx.log(s, sf), PARAMS),
+    "session_thresholds": lambda s, sf: levels.session_thresholds(fx.log(s, sf), PARAMS),
+    "above_threshold_features": lambda s, sf: levels.above_threshold_features(fx.log(s, sf), PARAMS, fx.skew(s, sf)),
+    "milestone_features": lambda s, sf: stats.milestone_features(fx.log(s, sf), PARAMS),
+    "milestone_transitions": lambda s, sf: stats.milestone_transitions(fx.log(s, sf), PARAMS),
+    "frequent_fqid_level_room": lambda s, sf: combos.frequent_fqid_level_room(fx.log(s, sf), PARAMS),
+    "frequent_text_level": lambda s, sf: combos.frequent_text_level(fx.log(s, sf), PARAMS),
+    "combo_features": combo_features,
+    "event_level_counts": lambda s, sf: combos.event_level_counts(fx.log(s, sf), PARAMS),
+    "event_name_pair_counts": lambda s, sf: combos.event_name_pair_counts(fx.log(s, sf), PARAMS),
+    "repeat_clicks": lambda s, sf: clicks.repeat_clicks(fx.log(s, sf), PARAMS),
+    "cell_popularity": popularity,
+    "navigate_category_counts": lambda s, sf: clicks.navigate_category_counts(
+        navigate_cells(s, sf), popularity(s, sf), PARAMS
+    ),
+    "room_grid_counts": lambda s, sf: clicks.with_slots(grid(s, sf), clicks.room_grid_axes(grid(s, sf))),
+    "room_grid_clipped": clipped,
+    "room_grid_axes": lambda s, sf: clicks.room_grid_axes(grid(s, sf)),
+    "one_hot_cells": lambda s, sf: clicks.one_hot_cells(grid(s, sf)),
+    "room_grid_scale": lambda s, sf: scale(s, sf).withColumns({c: F.round(c, 7) for c in ("mean", "scale")}),
+    "room_grid_scaled": lambda s, sf: clicks.room_grid_scaled(clipped(s, sf), scale(s, sf)).withColumn(
+        "scaled", F.round("scaled", 6)
+    ),
+}
+
+
+# --- cleaning, labels, evaluation ---------------------------------------------
+
+
+def unlocated_sessions(spark, sf):
+    """Sessions where more than 12 % of the rows have no coordinates."""
+    share = F.count("room_coor_x") < 0.88 * F.count(F.lit(1))
+    return fx.raw_log(spark, sf).groupBy("session_id").agg(share.alias("drop")).where("drop").select("session_id")
+
+
+def exclude_sessions(spark, sf):
+    kept = cleaning.exclude_sessions(fx.raw_log(spark, sf), unlocated_sessions(spark, sf), fx.skew(spark, sf))
+    return kept.select("session_id", "idx")
+
+
+def sample(spark, sf):
+    return cleaning.sample_sessions(fx.table(spark, sf, "events").select(F.col("user_id").alias("session_id")), 10)
+
+
+def label_file(spark, sf):
+    return fx.answers(spark, sf).select(F.col("label_id").alias("session_id"), "correct")
+
+
+def stamped_sessions(spark, sf):
+    """Session ids that carry their start time in their digits."""
+    user = F.col("user_id").cast("string")
+    stamp = F.concat(
+        (F.col("user_id") % 4 + 20).cast("string"), F.date_format("t0", "MMddHHmmss"), F.lpad(user, 5, "0")
+    )
+    starts = fx.table(spark, sf, "events").groupBy("user_id").agg(F.min("ts").alias("t0"))
+    return starts.select(F.col("user_id").alias("session_id"), stamp.cast("long").alias("stamp"))
+
+
+def session_time_parts(spark, sf):
+    return stamped_sessions(spark, sf).select("session_id", *[c.alias(n) for n, c in time_parts(F.col("stamp")).items()])
+
+
+def chain_features(spark, sf):
+    rows = fx.log(spark, sf).where("level_group = '5-12'")
+    features = rows.groupBy("session_id").agg(
+        F.count("idx").alias("session_number"), F.round(F.avg("elapsed_time_diff"), 4).alias("et_mean")
+    )
+    answers = fx.answers(spark, sf)
+    return chain.chain_features(features, answers, answers, 5)
+
+
+def originals(spark, sf):
+    signups = F.count_if(F.col("event_type") == "signup")
+    users = fx.table(spark, sf, "events").groupBy(F.col("user_id").alias("session_id")).agg(signups.alias("n"))
+    return users.where("n >= 10").select("session_id")
+
+
+def score_columns(df):
+    return df.withColumn("macro_f1", F.round("macro_f1", 9))
+
+
+def mean_best_iterations(spark, sf):
+    """Mean per question of one whole number per (question, fold)."""
+    rows = cleaning.assign_folds(fx.answers(spark, sf), 5)
+    rounds = rows.groupBy("q", "fold").agg(F.sum("correct").alias("best_iteration"))
+    table = tables.read_csv(
+        spark,
+        tables.write_csv(models.mean_best_iterations(rounds), scratch_path(spark)),
+        "q int, best_iteration int",
+    )
+    return table
+
+
+def written_oof(spark, sf):
+    return tables.read_oof(spark, tables.write_oof(fx.answers(spark, sf), scratch_path(spark)))
+
+
+def csv_roundtrip(spark, sf):
+    path = tables.write_oof_csv(fx.answers(spark, sf), scratch_path(spark), QUESTIONS)
+    return tables.read_oof_csv(spark, path, QUESTIONS)
+
+
+def load_dictionaries(spark, sf):
+    """Fitted dictionaries written as CSV and read back, as rows of one table."""
+    path = scratch_path(spark)
+    tables.save_dictionaries(path, flr_list=flr(spark, sf), tl_list=tl(spark, sf), navigate_master=popularity(spark, sf))
+    back = tables.load_dictionaries(spark, path)
+    none = F.lit(None)
+    parts = [
+        ("flr_list", "fqid", F.col("room_fqid"), F.col("level"), none.cast("long"), none.cast("int")),
+        ("tl_list", "text_fqid", none.cast("string"), F.col("level"), none.cast("long"), none.cast("int")),
+        ("navigate_master", "room_fqid", none.cast("string"), F.col("room_x").cast("int"), F.col("room_y"), F.col("category")),
+    ]
+    return longtable.stack_blocks(
+        [
+            back[n].select(
+                F.lit(n).alias("dictionary"), "level_group", F.col(a).alias("a"), b.alias("b"), i.alias("i"), j.alias("j"), c.alias("category")
+            )
+            for n, a, b, i, j, c in parts
+        ]
+    )
+
+
+def run_results_table(spark, sf):
+    scored = fx.answers(spark, sf)
+    best = evaluate.best_threshold(evaluate.threshold_sweep(scored)).select(F.lit("overall").alias("score"), "macro_f1")
+    each = evaluate.macro_f1_by_question(scored).select(F.concat(F.lit("q"), F.col("q").cast("string")).alias("score"), "macro_f1")
+    scores = best.unionByName(each).select("score", F.round("macro_f1", 9).alias("value"))
+    path = tables.append_run_result(scores, "check", scratch_path(spark), {"folds": 5})
+    return tables.read_run_results(spark, path).select("score", "value")
+
+
+def oof_init_learned(spark, sf):
+    rows = cleaning.assign_folds(fx.answers(spark, sf), 5)
+    return chain.oof_init_learned(rows)
+
+
+THIRD = {
+    "exclude_listed_sessions": lambda s, sf: cleaning.exclude_listed(fx.raw_log(s, sf), (3, 5, 8)).select("session_id", "idx"),
+    "exclude_sessions": exclude_sessions,
+    "exclude_short_sessions": lambda s, sf: cleaning.exclude_short_sessions(
+        fx.raw_log(s, sf), 15, "0-4", fx.skew(s, sf)
+    ).select("session_id", "idx"),
+    "sample_sessions": lambda s, sf: cleaning.restrict_to(fx.raw_log(s, sf), sample(s, sf), fx.skew(s, sf)).select(
+        "session_id", "idx", "event_name"
+    ),
+    "sample_labels": lambda s, sf: fx.answers(s, sf).join(sample(s, sf), "session_id", "left_semi").select("label_id", "correct"),
+    "scan_labels": label_file,
+    "split_label_ids": lambda s, sf: cleaning.split_label_ids(label_file(s, sf), "session_id"),
+    "session_time_parts": session_time_parts,
+    "session_weights": lambda s, sf: stamped_sessions(s, sf).select(
+        "session_id", year_weight(F.col("stamp"), (0.5, 0.8, 1.5)).alias("weight")
+    ),
+    "noise_features": lambda s, sf: cleaning.noise_features(fx.sessions(s, sf)),
+    "assign_folds": lambda s, sf: cleaning.assign_folds(fx.sessions(s, sf), 5),
+    "question_routing": lambda s, sf: chain.question_routing(fx.answers(s, sf).select("session_id", "q")),
+    "oof_init": lambda s, sf: chain.oof_init(fx.sessions(s, sf)),
+    "oof_init_learned": oof_init_learned,
+    "labels_for_question": lambda s, sf: chain.require_labels(fx.sessions(s, sf), fx.answers(s, sf), 7),
+    "question_subset": lambda s, sf: fx.answers(s, sf).where(F.col("q").isin(1, 4, 14)).select("session_id", "q", "correct", "p"),
+    "chain_features": chain_features,
+    "truth_matrix": lambda s, sf: evaluate.truth_matrix(fx.answers(s, sf), QUESTIONS),
+    "threshold_sweep": lambda s, sf: score_columns(evaluate.threshold_sweep(fx.answers(s, sf))),
+    "best_threshold": lambda s, sf: score_columns(evaluate.best_threshold(evaluate.threshold_sweep(fx.answers(s, sf)))),
+    "macro_f1_fixed": lambda s, sf: score_columns(evaluate.threshold_sweep(fx.answers(s, sf), [DEFAULT_THRESHOLD])),
+    "macro_f1_by_question": lambda s, sf: score_columns(evaluate.macro_f1_by_question(fx.answers(s, sf))),
+    "macro_f1_originals": lambda s, sf: score_columns(
+        evaluate.threshold_sweep(fx.answers(s, sf).join(originals(s, sf), "session_id", "left_semi"))
+    ),
+    "mean_best_iterations": mean_best_iterations,
+    "write_oof": written_oof,
+    "csv_roundtrip": csv_roundtrip,
+    "load_dictionaries": load_dictionaries,
+    "run_results_table": run_results_table,
+}
+
+
+
+# --- long feature table ---------------------------------------------------------
+
+
+def keep_in(spark, sf):
+    return lambda name, build: written(spark, f"{sf}/features/{name}", build)
+
+
+def features(spark, sf):
+    """The whole feature job, its long rows and members written once."""
+    made = plan.session_features(fx.log(spark, sf), PARAMS, fx.skew(spark, sf), keep=keep_in(spark, sf))
+    return plan.Features(
+        written(spark, f"{sf}/features/rows", lambda: made.rows, ("level_group",)),
+        written(spark, f"{sf}/features/members", lambda: made.members),
+    )
+
+
+def round_values(df, *columns):
+    name = F.col("feature")
+    plain_mean = name.contains("mean") & ~name.contains("ET_mean") & ~name.startswith("word") & ~name.startswith("elapsed")
+
+    def rounded(c):
+        return F.when(name.contains("std"), F.round(c, 2)).when(plain_mean, F.round(c, 7)).otherwise(F.round(c, 4))
+
+    return df.withColumns({c: rounded(c) for c in columns})
+
+
+def join_feature_blocks(spark, sf):
+    made = plan.session_features(fx.log(spark, sf), PARAMS, fx.skew(spark, sf), keep=keep_in(spark, sf))
+    return round_values(made.rows, "value")
+
+
+def summary(spark, sf):
+    made = features(spark, sf)
+    return longtable.feature_summary(made.rows, made.members)
+
+
+def name_list(spark):
+    path = scratch_path(spark)
+    spark.createDataFrame([(json.dumps(DROPPED),)], "value string").coalesce(1).write.text(path)
+    return tables.read_name_list(spark, path)
+
+
+def cumulative_group_merge(spark, sf):
+    made = features(spark, sf)
+    kept = longtable.keep_features(made.rows, longtable.prune(summary(spark, sf)))
+    rows, members = longtable.merge_groups(kept, made.members, PARAMS.level_groups)
+    return round_values(longtable.feature_summary(rows, members), "low", "high")
+
+
+def fill_missing_features(spark, sf):
+    made = features(spark, sf)
+    group = F.col("level_group") == "0-4"
+    wide = longtable.to_wide(made.rows.where(group), made.members.where(group), list(WIDE), -1)
+    return wide.select("session_id", *[F.round(c, 2).alias(c) for c in wide.columns[1:]])
+
+
+FOURTH = {
+    "join_feature_blocks": join_feature_blocks,
+    "feature_summary": lambda s, sf: round_values(summary(s, sf), "low", "high"),
+    "prune_features": lambda s, sf: longtable.prune(summary(s, sf)).select("level_group", "block", "feature", "sessions", "present"),
+    "feature_catalog": lambda s, sf: longtable.feature_catalog(summary(s, sf), longtable.prune(summary(s, sf))),
+    "drop_listed_features": lambda s, sf: longtable.drop_listed(longtable.prune(summary(s, sf)), name_list(s)).select(
+        "level_group", "feature", "present"
+    ),
+    "cumulative_group_merge": cumulative_group_merge,
+    "fill_missing_features": fill_missing_features,
+}
+
+
 def all_queries():
-    return dict(FIRST)
+    return {**FIRST, **SECOND, **THIRD, **FOURTH}

@@ -183,23 +183,30 @@ def _typed():
     ]
 
 
-def merge_groups(features: DataFrame, members: DataFrame, order) -> DataFrame:
-    """Give each later group the features of the groups before it, for its own sessions.
+def merge_groups(features: DataFrame, members: DataFrame, order) -> tuple[DataFrame, DataFrame]:
+    """Give each later group the merged features of the group before it, for its own sessions.
 
-    Works on rows: features of group i are re-labelled with group j for the
-    sessions that group j has.
+    Carried rows change their group and mark their block with the group they came
+    from, so that implicit zeros still follow the original block's members.
     """
-    sessions = members.where("block = 'base'").select("session_id", F.col("level_group").alias("into"))
-    later = {g: list(order[i + 1 :]) for i, g in enumerate(order)}
-    targets = F.coalesce(
-        *[
-            F.when(F.col("level_group") == g, F.array(*map(F.lit, gs)) if gs else F.array().cast("array<string>"))
-            for g, gs in later.items()
-        ]
-    )
-    carried = features.withColumn("into", F.explode(targets)).join(sessions, ["session_id", "into"], "left_semi")
-    own = features.withColumn("into", F.col("level_group"))
-    return own.unionByName(carried)
+    merged, merged_members = [], []
+    carried = carried_members = None
+    for position, group in enumerate(order):
+        in_group = F.col("level_group") == group
+        sessions = members.where(in_group & (F.col("block") == "base")).select("session_id")
+        rows, inside = features.where(in_group), members.where(in_group)
+        if carried is not None:
+            rows = rows.unionByName(_carry(carried, sessions, group, order[position - 1]))
+            inside = inside.unionByName(_carry(carried_members, sessions, group, order[position - 1]))
+        merged.append(rows)
+        merged_members.append(inside)
+        carried, carried_members = rows, inside
+    return stack_blocks(merged), stack_blocks(merged_members)
+
+
+def _carry(rows: DataFrame, sessions: DataFrame, group: str, origin: str) -> DataFrame:
+    block = F.when(F.contains("block", F.lit("@")), F.col("block")).otherwise(F.concat(F.col("block"), F.lit(f"@{origin}")))
+    return rows.join(sessions, "session_id", "left_semi").withColumns({"level_group": F.lit(group), "block": block})
 
 
 def to_wide(features: DataFrame, members: DataFrame, names: list[tuple[str, str, bool]], fill: float | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 _TABLES: dict[tuple[str, str], tuple] = {}
 _VALUES: dict[tuple[str, str], object] = {}
 
@@ -27,13 +28,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+
+def scratch_path(spark: SparkSession) -> str:
+    """A path of this application in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark).rstrip('/')}/sessionweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def written(
     spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Table ``name`` of this application, written on first use."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _TABLES:
-        path = f"{shared_folder(spark).rstrip('/')}/sessionweave/{key[0]}/{uuid.uuid4().hex}"
+        path = scratch_path(spark)
         table = build()
         writer = table.write
         if partition_by:
