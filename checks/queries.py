@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +27,9 @@ from sessionweave.operators import (
     stats,
 )
 from sessionweave.plans import features as plan
-from sessionweave.plans.workspace import scratch_path, written
-from sessionweave.presets import DEFAULT_THRESHOLD, QUESTIONS
+from sessionweave.plans import training
+from sessionweave.plans.workspace import remembered, scratch_path, written
+from sessionweave.presets import BOOSTED_EARLY_STOP_PARAMS, DEFAULT_THRESHOLD, FOREST_PARAMS, QUESTIONS
 from sessionweave.sources import tables
 
 KEYS = stats.KEYS
@@ -427,5 +430,77 @@ FOURTH = {
 }
 
 
+
+# --- models ---------------------------------------------------------------------
+
+BOOSTED = models.ModelOptions(overrides={"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1})
+EARLY = models.ModelOptions(params=BOOSTED_EARLY_STOP_PARAMS, overrides={"n_estimators": 5, "max_depth": 2, "learning_rate": 0.1})
+FOREST = models.ModelOptions(kind="forest", params=FOREST_PARAMS, overrides={"n_estimators": 10})
+WEIGHTED = models.ModelOptions(overrides=BOOSTED.overrides, weights=(0.5, 0.8, 1.5))
+ONE_PER_GROUP = (1, 4, 14)
+
+
+def vectors(spark, sf):
+    def build():
+        selection = plan.selected_features(features(spark, sf), replace(PARAMS, time_parts=0), keep=keep_in(spark, sf))
+        return training.group_tables(spark, selection, PARAMS.level_groups)
+
+    return remembered(spark, f"{sf}/vectors", build)
+
+
+def validation(options, questions=QUESTIONS):
+    def run(spark, sf):
+        result = training.run_validation(spark, vectors(spark, sf), fx.answers(spark, sf), options, questions)
+        return result.predictions
+
+    return run
+
+
+def train_final(spark, sf):
+    labels, path = fx.answers(spark, sf), scratch_path(spark)
+    groups = vectors(spark, sf)
+    training.train_final(spark, groups, labels, labels, BOOSTED, path, ONE_PER_GROUP)
+    return training.score_saved(spark, path, groups, ONE_PER_GROUP, labels.select("session_id", "q", "p"))
+
+
+def save_models(spark, sf):
+    """Metadata of saved fold models, read back from the saved models."""
+    result = training.run_validation(
+        spark, vectors(spark, sf), fx.answers(spark, sf), BOOSTED, ONE_PER_GROUP, save_models=True
+    )
+    loaded = [(q, k, models.rounds_of(PipelineModel.load(path))) for (q, k), path in sorted(result.models.items())]
+    return spark.createDataFrame(loaded, "q int, fold int, rounds int").join(result.rounds, ["q", "fold"])
+
+
+def training_plan(spark, sf):
+    """Resolved parameters of each question beside its number of training sessions."""
+    rows = [
+        (q, name, str(value))
+        for q in QUESTIONS
+        for name, value in sorted(models.resolve_params(models.ModelOptions(), q).items())
+    ]
+    params = spark.createDataFrame(rows, "q int, parameter string, value string")
+    asked = fx.answers(spark, sf).groupBy("q").agg(F.count("correct").alias("sessions"))
+    return asked.join(F.broadcast(params), "q")
+
+
+def room_grid_pca(spark, sf):
+    slotted = clicks.with_slots(clipped(spark, sf), clicks.room_grid_axes(grid(spark, sf)))
+    rows = written(spark, f"{sf}/room_vectors", lambda: models.room_vectors(slotted, scale(spark, sf)))
+    return models.room_embedding(rows, PARAMS.grid_rooms)
+
+
+MODELS = {
+    "resolve_params": training_plan,
+    "room_grid_pca": room_grid_pca,
+    "oof_boosted": validation(BOOSTED),
+    "oof_forest": validation(FOREST, ONE_PER_GROUP),
+    "oof_boosted_early_stop": validation(EARLY, ONE_PER_GROUP),
+    "oof_weighted": validation(WEIGHTED, ONE_PER_GROUP),
+    "train_final": train_final,
+    "save_models": save_models,
+}
+
+
 def all_queries():
-    return {**FIRST, **SECOND, **THIRD, **FOURTH}
+    return {**FIRST, **SECOND, **THIRD, **FOURTH, **MODELS}
