@@ -370,10 +370,13 @@ def keep_in(spark, sf):
 
 def features(spark, sf):
     """The whole feature job, its long rows and members written once."""
-    made = plan.session_features(fx.log(spark, sf), PARAMS, fx.skew(spark, sf), keep=keep_in(spark, sf))
+
+    def made():
+        return plan.session_features(fx.log(spark, sf), PARAMS, fx.skew(spark, sf), keep=keep_in(spark, sf))
+
     return plan.Features(
-        written(spark, f"{sf}/features/rows", lambda: made.rows, ("level_group",)),
-        written(spark, f"{sf}/features/members", lambda: made.members),
+        written(spark, f"{sf}/features/rows", lambda: made().rows, ("level_group",)),
+        written(spark, f"{sf}/features/members", lambda: made().members),
     )
 
 

@@ -28,30 +28,24 @@ def level_times(log: DataFrame) -> DataFrame:
 
 
 def level_time_aggregates(params: FeatureParams) -> list:
-    level = F.col("level")
-
     def at(column, low, high):
-        return F.when(level.between(low, high), F.col(column))
+        return f"case when level between {low} and {high} then {column} end"
+
+    def one_sided(text, limit):
+        # ``least`` and ``greatest`` skip nulls; a missing gap stays missing.
+        return f"case when {text} is not null then {limit}({text}, 0) end"
 
-    out = [
-        F.max(at("elapsed_time_total", n, n)).alias(f"elapsed_time_total_level_{n}") for n in params.levels
-    ]
+    out = {f"elapsed_time_total_level_{n}": f"max({at('elapsed_time_total', n, n)})" for n in params.levels}
     for n in params.levels:
-        if n in params.no_gap_levels:
-            continue
-        gap = F.max(at("level_diff", n, n))
-        out.append(F.when(gap.isNotNull(), F.least(gap, F.lit(0))).alias(f"elapsed_time_level_diff_fixed_{n}"))
+        if n not in params.no_gap_levels:
+            out[f"elapsed_time_level_diff_fixed_{n}"] = one_sided(f"max({at('level_diff', n, n)})", "least")
     for low, high in params.level_ranges:
-        out.append(F.max(at("elapsed_time_max", low, high)).alias(f"elapsed_time_max{low}-{high}"))
+        out[f"elapsed_time_max{low}-{high}"] = f"max({at('elapsed_time_max', low, high)})"
     for low, high in params.level_ranges:
-        late = F.max(at("elapsed_time_max", low, high - 1)) - F.min(at("elapsed_time_min", high, high))
+        late = f"(max({at('elapsed_time_max', low, high - 1)}) - min({at('elapsed_time_min', high, high)}))"
         dash = "_" if low == 0 else "-"
-        out.append(
-            F.when(late.isNotNull(), F.greatest(late, F.lit(0))).alias(
-                f"elapsed_time_diff_fixed_max{low}{dash}{high - 1}_min{high}"
-            )
-        )
-    return out
+        out[f"elapsed_time_diff_fixed_max{low}{dash}{high - 1}_min{high}"] = one_sided(late, "greatest")
+    return [F.expr(text).alias(name) for name, text in out.items()]
 
 
 def level_time_features(log: DataFrame, params: FeatureParams) -> DataFrame:

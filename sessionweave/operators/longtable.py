@@ -48,38 +48,46 @@ RENAMED = {
 }
 
 
-def name_of(template: str, value: Column | None = None) -> Column:
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name_sql(template: str, value: str | None) -> str:
+    """SQL text of a feature name: ``{c}`` is the column ``value``, ``{S}`` the group suffix."""
     pieces = []
     for piece in re.split(r"(\{c\}|\{S\})", template):
         if piece == "{c}":
-            pieces.append(value.cast("string"))
+            pieces.append(value)
         elif piece == "{S}":
-            pieces.append(F.concat(F.lit("grp"), F.col("level_group")))
+            pieces.append("'grp', level_group")
         elif piece:
-            pieces.append(F.lit(piece))
-    return F.concat(*pieces)
-
-
-def _cells(templates, value: Column | None) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                name_of(template, value).alias("feature"), F.lit(zero).alias("zero"), F.col(column).cast("double").alias("value")
-            )
-            for column, template, zero in templates
-        ]
-    )
+            pieces.append(_quoted(piece))
+    return f"concat({', '.join(pieces)})"
+
+
+def _cells_sql(templates, value: str | None = None) -> str:
+    """SQL text of an array with one (feature, zero, value) struct per template.
+
+    Text keeps the driver quick: a block may have hundreds of features.
+    """
+    cells = [
+        f"named_struct('feature', {_name_sql(template, value)}, 'zero', {str(zero).lower()}, 'value', cast(`{column}` as double))"
+        for column, template, zero in templates
+    ]
+    return f"cast(array({', '.join(cells)}) as array<struct<feature:string,zero:boolean,value:double>>)"
 
 
 def melt(df: DataFrame, block: str, templates, value: Column | None = None) -> DataFrame:
     """Long rows of a table with one row per session (or per session and ``value``)."""
-    return _long(df, block, _cells(templates, value))
+    if value is not None:
+        df = df.withColumn("_c", value.cast("string"))
+    return _long(df, block, F.expr(_cells_sql(templates, "_c")))
 
 
 def melt_values(stats: DataFrame, dimensions) -> DataFrame:
     """Long rows of ``value_stats``: each dimension has its own templates."""
-    branches = [F.when(F.col("dimension") == d, _cells(VALUE_TEMPLATES[d], F.col("value"))) for d in dimensions]
-    return _long(stats.withColumn("value", F.col("value")), "base", F.coalesce(*branches))
+    branches = [f"when {_quoted(d)} then {_cells_sql(VALUE_TEMPLATES[d], 'value')}" for d in dimensions]
+    return _long(stats, "base", F.expr(f"case dimension {' '.join(branches)} end"))
 
 
 def _long(df: DataFrame, block: str, cells: Column) -> DataFrame:
@@ -166,21 +174,7 @@ def time_rows(members: DataFrame, parts: int | None) -> DataFrame:
     else:
         chosen = list(columns)[: parts or 0]
     sessions = members.where("block = 'base'").select(*KEYS)
-    if not chosen:
-        return sessions.limit(0).select(*KEYS, *_typed())
-    cells = F.array(
-        *[F.struct(F.lit(n).alias("feature"), F.lit(False).alias("zero"), columns[n].cast("double").alias("value")) for n in chosen]
-    )
-    return _long(sessions, "base", cells)
-
-
-def _typed():
-    return [
-        F.lit("base").alias("block"),
-        F.lit("").alias("feature"),
-        F.lit(False).alias("zero"),
-        F.lit(0.0).alias("value"),
-    ]
+    return melt_columns(sessions.select(*KEYS, *[columns[n].alias(n) for n in chosen]), pattern="{column}")
 
 
 def merge_groups(features: DataFrame, members: DataFrame, order) -> tuple[DataFrame, DataFrame]:
@@ -217,19 +211,21 @@ def to_wide(features: DataFrame, members: DataFrame, names: list[tuple[str, str,
     ``fill`` every other missing value becomes that number.
     """
     columns = [n for n, _, _ in names]
-    blocks = sorted({b for _, b, zero in names if zero})
+    blocks = sorted({b for _, b, zero in names if zero}) or ["base"]
     wide = features.groupBy("session_id").pivot("feature", columns).agg(F.first("value"))
-    inside = members.groupBy("session_id").agg(*[F.bool_or(F.col("block") == b).alias(f"_in_{b}") for b in blocks or ["base"]])
+    inside = members.groupBy("session_id").agg(
+        *[F.bool_or(F.col("block") == b).alias(f"_in_{i}") for i, b in enumerate(blocks)]
+    )
     wide = inside.join(wide, "session_id", "left")
     out = []
     for name, block, zero in names:
-        column = F.col(f"`{name}`")
+        choices = [f"`{name}`"]
         if zero:
-            column = F.coalesce(column, F.when(F.col(f"_in_{block}"), F.lit(0.0)))
+            choices.append(f"case when _in_{blocks.index(block)} then 0D end")
         if fill is not None:
-            column = F.coalesce(column, F.lit(float(fill)))
-        out.append(column.alias(safe_name(name)))
-    return wide.select("session_id", *out)
+            choices.append(f"{float(fill)}D")
+        out.append(f"coalesce({', '.join(choices)}) as `{safe_name(name)}`")
+    return wide.selectExpr("session_id", *out)
 
 
 def safe_name(name: str) -> str:

@@ -32,10 +32,12 @@ def nearest_quantiles(
 
 def _by_arrays(df, keys, columns, shares):
     sorted_values = df.groupBy(*keys).agg(*[F.array_sort(F.collect_list(c)).alias(c) for c in columns])
-    return sorted_values.select(
-        *keys,
-        *[F.get(c, nearest_index(F.size(c), s)).alias(quantile_name(c, s)) for c in columns for s in shares],
-    )
+    picks = [
+        f"get(`{c}`, cast(floor((size(`{c}`) - 1) * {float(s)}D + 0.5D) as int)) as `{quantile_name(c, s)}`"
+        for c in columns
+        for s in shares
+    ]
+    return sorted_values.selectExpr(*keys, *picks)
 
 
 def _by_counts(df, keys, columns, shares, skew):
