@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import replace
+from functools import cache
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -166,7 +167,8 @@ def navigate_cells(spark, sf):
 
 
 def popularity(spark, sf):
-    return clicks.cell_popularity(navigate_cells(spark, sf), PARAMS)
+    """Written, so that the planner knows its size when it is joined."""
+    return written(spark, f"{sf}/popularity", lambda: clicks.cell_popularity(navigate_cells(spark, sf), PARAMS))
 
 
 def grid(spark, sf):
@@ -178,7 +180,11 @@ def clipped(spark, sf):
 
 
 def scale(spark, sf):
-    return clicks.room_grid_scale(clipped(spark, sf))
+    return written(spark, f"{sf}/scale", lambda: clicks.room_grid_scale(clipped(spark, sf)))
+
+
+def axes(spark, sf):
+    return written(spark, f"{sf}/axes", lambda: clicks.room_grid_axes(grid(spark, sf)))
 
 
 SECOND = {
@@ -194,15 +200,15 @@ SECOND = {
     "event_level_counts": lambda s, sf: combos.event_level_counts(fx.log(s, sf), PARAMS),
     "event_name_pair_counts": lambda s, sf: combos.event_name_pair_counts(fx.log(s, sf), PARAMS),
     "repeat_clicks": lambda s, sf: clicks.repeat_clicks(fx.log(s, sf), PARAMS),
-    "cell_popularity": popularity,
+    "cell_popularity": lambda s, sf: clicks.cell_popularity(navigate_cells(s, sf), PARAMS),
     "navigate_category_counts": lambda s, sf: clicks.navigate_category_counts(
         navigate_cells(s, sf), popularity(s, sf), PARAMS
     ),
-    "room_grid_counts": lambda s, sf: clicks.with_slots(grid(s, sf), clicks.room_grid_axes(grid(s, sf))),
+    "room_grid_counts": lambda s, sf: clicks.with_slots(grid(s, sf), axes(s, sf)),
     "room_grid_clipped": clipped,
     "room_grid_axes": lambda s, sf: clicks.room_grid_axes(grid(s, sf)),
     "one_hot_cells": lambda s, sf: clicks.one_hot_cells(grid(s, sf)),
-    "room_grid_scale": lambda s, sf: scale(s, sf).withColumns({c: F.round(c, 7) for c in ("mean", "scale")}),
+    "room_grid_scale": lambda s, sf: clicks.room_grid_scale(clipped(s, sf)).withColumns({c: F.round(c, 7) for c in ("mean", "scale")}),
     "room_grid_scaled": lambda s, sf: clicks.room_grid_scaled(clipped(s, sf), scale(s, sf)).withColumn(
         "scaled", F.round("scaled", 6)
     ),
@@ -371,6 +377,7 @@ def keep_in(spark, sf):
 def features(spark, sf):
     """The whole feature job, its long rows and members written once."""
 
+    @cache
     def made():
         return plan.session_features(fx.log(spark, sf), PARAMS, fx.skew(spark, sf), keep=keep_in(spark, sf))
 
@@ -488,7 +495,7 @@ def training_plan(spark, sf):
 
 
 def room_grid_pca(spark, sf):
-    slotted = clicks.with_slots(clipped(spark, sf), clicks.room_grid_axes(grid(spark, sf)))
+    slotted = clicks.with_slots(clipped(spark, sf), axes(spark, sf))
     rows = written(spark, f"{sf}/room_vectors", lambda: models.room_vectors(slotted, scale(spark, sf)))
     return models.room_embedding(rows, PARAMS.grid_rooms)
 

@@ -76,3 +76,16 @@ def event_name_pair_counts(log: DataFrame, params: FeatureParams) -> DataFrame:
         .groupBy(*KEYS, "event_name", "name")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def event_pair_counts(log: DataFrame, params: FeatureParams) -> DataFrame:
+    """Counts per (event, level) and per (event, name) in one pass, each pair as one text."""
+    names = list(params.vocabularies.get("name") or NAMES)
+    event = F.col("event_name")
+    pairs = log.select(
+        *KEYS,
+        F.when(event.isin(list(params.event_level_events)), F.concat_ws("_", event, F.col("level").cast("string"))).alias("_level"),
+        F.when(event.isin(list(params.pair_events)) & F.col("name").isin(names), F.concat_ws("_", event, "name")).alias("_name"),
+    )
+    rows = pairs.unpivot(KEYS, ["_level", "_name"], "kind", "pair").where("pair is not null")
+    return rows.groupBy(*KEYS, "pair").agg(F.count(F.lit(1)).alias("n"))

@@ -84,9 +84,10 @@ def melt(df: DataFrame, block: str, templates, value: Column | None = None) -> D
     return _long(df, block, F.expr(_cells_sql(templates, "_c")))
 
 
-def melt_values(stats: DataFrame, dimensions) -> DataFrame:
-    """Long rows of ``value_stats``: each dimension has its own templates."""
-    branches = [f"when {_quoted(d)} then {_cells_sql(VALUE_TEMPLATES[d], 'value')}" for d in dimensions]
+def melt_values(stats: DataFrame, dimensions, templates=None) -> DataFrame:
+    """Long rows of a table with (dimension, value) rows: each dimension has its own templates."""
+    templates = templates or VALUE_TEMPLATES
+    branches = [f"when {_quoted(d)} then {_cells_sql(templates[d], 'value')}" for d in dimensions]
     return _long(stats, "base", F.expr(f"case dimension {' '.join(branches)} end"))
 
 

@@ -1,8 +1,8 @@
 """Exact nearest-rank quantiles per group.
 
-Ordinary groups gather their values into one sorted array, bounded by the rows of
-a session. Groups of hot sessions are ranked on their value counts instead: equal
-values merge before the shuffle and the distinct values are cut into chunks.
+Where sessions are small, a group gathers its values into one sorted array.
+Larger sessions are ranked on their value counts instead: equal values merge
+before the shuffle, and the distinct values of a hot group are cut into chunks.
 """
 
 from __future__ import annotations
@@ -14,16 +14,30 @@ from sessionweave.functions.expressions import nearest_index
 from sessionweave.operators.skew import SkewProfile, hot_keys, split_hot
 
 
+ARRAY_ROWS = 1_000_000
+
+
 def quantile_name(column: str, share: float) -> str:
     return f"{column}_quantile{round(share * 10)}"
 
 
 def nearest_quantiles(
-    df: DataFrame, keys: list[str], columns: list[str], shares, skew: SkewProfile, session: str = "session_id"
+    df: DataFrame,
+    keys: list[str],
+    columns: list[str],
+    shares,
+    skew: SkewProfile,
+    session: str = "session_id",
+    array_rows: int = ARRAY_ROWS,
 ) -> DataFrame:
-    """One row per key with ``<column>_quantile<10*share>`` columns."""
-    if not skew.has_hot:
+    """One row per key with ``<column>_quantile<10*share>`` columns.
+
+    ``array_rows`` is the largest session whose values may sit in one array.
+    """
+    if skew.largest <= array_rows:
         return _by_arrays(df, keys, columns, shares)
+    if skew.limit > array_rows:
+        return _by_counts(df, keys, columns, shares, skew)
     hot = hot_keys(df, [session], skew)
     cold = df.join(F.broadcast(hot), [session], "left_anti")
     warm = df.join(F.broadcast(hot), [session], "left_semi")

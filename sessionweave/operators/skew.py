@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
-MAX_HOT = 100_000
+MAX_HOT = 20_000
 
 
 @dataclass(frozen=True)
@@ -60,13 +60,25 @@ def _search(splits: Column, x: Column, chunks: int) -> Column:
 
 
 def split_hot(df: DataFrame, keys: list[str], order: str, skew: SkewProfile) -> DataFrame:
-    """Add ``_chunk`` (0 for an ordinary key) and ``_hot``; chunks follow ``order``."""
+    """Add ``_chunk`` (0 for an ordinary key) and ``_hot``; chunks follow ``order``.
+
+    Split points come from a mergeable quantile sketch. Each key keeps as many as
+    its own rows need, so all keys together hold at most ``3 * total / limit``.
+    """
     hot = hot_keys(df, keys, skew)
     shares = [i / skew.chunks for i in range(1, skew.chunks)]
-    splits = (
+    sketches = (
         df.join(F.broadcast(hot), keys, "left_semi")
         .groupBy(*keys)
-        .agg(F.percentile_approx(order, shares, 10 * skew.chunks).alias("_splits"))
+        .agg(F.percentile_approx(order, shares, 10 * skew.chunks).alias("_all"), F.count(F.lit(1)).alias("_rows"))
+    )
+    parts = F.least(F.ceil(2 * F.col("_rows") / skew.limit), F.lit(skew.chunks)).cast("int")
+    splits = sketches.withColumn("_parts", parts).select(
+        *keys,
+        F.transform(
+            F.sequence(F.lit(1), F.col("_parts") - 1),
+            lambda i: F.get("_all", F.floor(i * skew.chunks / F.col("_parts")).cast("int") - 1),
+        ).alias("_splits"),
     )
     return (
         df.join(F.broadcast(splits), keys, "left")

@@ -68,13 +68,19 @@ def session_block(log: DataFrame, params: FeatureParams) -> DataFrame:
     return longtable.melt(table, "base", plain + extra)
 
 
-def value_quantiles(log, dimension, shares, template, params, skew) -> DataFrame:
-    rows = stats.value_rows(log, [dimension], params, ["elapsed_time_diff"])
-    table = quantiles.nearest_quantiles(rows, [*KEYS, "value"], ["elapsed_time_diff"], shares, skew)
-    names = [
-        (quantiles.quantile_name("elapsed_time_diff", s), template.replace("{q}", str(round(s * 10))), False) for s in shares
-    ]
-    return longtable.melt(table, "base", names, F.col("value"))
+def value_quantiles(log, named: dict[str, tuple], params, skew) -> DataFrame:
+    """Gap quantiles per value for ``{dimension: (shares, template)}``, all dimensions in one pass."""
+    shares = sorted({s for wanted, _ in named.values() for s in wanted})
+    rows = stats.value_rows(log, list(named), params, ["elapsed_time_diff"])
+    keys = [*KEYS, "dimension", "value"]
+    table = quantiles.nearest_quantiles(rows, keys, ["elapsed_time_diff"], shares, skew)
+    templates = {
+        dimension: [
+            (quantiles.quantile_name("elapsed_time_diff", s), template.replace("{q}", str(round(s * 10))), False) for s in wanted
+        ]
+        for dimension, (wanted, template) in named.items()
+    }
+    return longtable.melt_values(table, list(named), templates)
 
 
 def session_features(
@@ -98,7 +104,11 @@ def session_features(
     ]
     dimensions = [*stats.DIMENSIONS, "word"]
     blocks.append(longtable.melt_values(stats.value_stats(x, dimensions, params), dimensions))
-    blocks.append(value_quantiles(x, "event_name", SHARES, "{c}_ET_quantile{q}_{S}", params, skew))
+    named = {"event_name": (SHARES, "{c}_ET_quantile{q}_{S}")}
+    if params.version >= 4:
+        named["text_fqid"] = (VALUE_SHARES, "{c}_text_ET_quantile{q}_{S}")
+        named["room_fqid"] = (VALUE_SHARES, "{c}_room_ET_quantile{q}_{S}")
+    blocks.append(value_quantiles(x, named, params, skew))
 
     members = {}
     fitted = dictionaries
@@ -120,20 +130,9 @@ def session_features(
                 longtable.TEXT_COMBO_TEMPLATES,
                 F.concat_ws("_", "text_fqid", F.col("level").cast("string")),
             ),
-            longtable.melt(
-                combos.event_level_counts(x, params),
-                "base",
-                longtable.COUNT_TEMPLATES,
-                F.concat_ws("_", "event_name", F.col("level").cast("string")),
-            ),
-            longtable.melt(
-                combos.event_name_pair_counts(x, params), "base", longtable.COUNT_TEMPLATES, F.concat_ws("_", "event_name", "name")
-            ),
+            longtable.melt(combos.event_pair_counts(x, params), "base", longtable.COUNT_TEMPLATES, F.col("pair")),
             longtable.melt_columns(clicks.repeat_clicks(x, params)),
         ]
-    if params.version >= 4:
-        blocks.append(value_quantiles(x, "text_fqid", VALUE_SHARES, "{c}_text_ET_quantile{q}_{S}", params, skew))
-        blocks.append(value_quantiles(x, "room_fqid", VALUE_SHARES, "{c}_room_ET_quantile{q}_{S}", params, skew))
     if params.level_diff:
         blocks.append(longtable.melt_columns(levels.level_time_features(x, params)))
     if params.cut_above:

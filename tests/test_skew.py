@@ -79,10 +79,11 @@ def test_deltas_do_not_depend_on_row_order(log):
     assert rows(event_deltas(shuffled, PLAIN)) == rows(event_deltas(log, PLAIN))
 
 
-@pytest.mark.parametrize("shares", [(0.1, 0.2, 0.4, 0.6, 0.8, 0.9)])
-def test_quantiles(with_deltas, split, shares):
-    columns = list(stats.NUMERIC_COLUMNS)
-    got = quantiles.nearest_quantiles(with_deltas, stats.KEYS, columns, shares, split)
+@pytest.mark.parametrize("array_rows", [0, 100])
+def test_quantiles(with_deltas, split, array_rows):
+    """All sessions by counts, or only the hot ones."""
+    columns, shares = list(stats.NUMERIC_COLUMNS), (0.1, 0.2, 0.4, 0.6, 0.8, 0.9)
+    got = quantiles.nearest_quantiles(with_deltas, stats.KEYS, columns, shares, split, array_rows=array_rows)
     want = quantiles.nearest_quantiles(with_deltas, stats.KEYS, columns, shares, PLAIN)
     assert rows(got) == rows(want)
 
@@ -91,7 +92,7 @@ def test_quantiles_by_value(with_deltas, split):
     table = stats.value_rows(with_deltas, ["event_name"], PARAMS, ["elapsed_time_diff"])
     keys = [*stats.KEYS, "value"]
     args = (table, keys, ["elapsed_time_diff"], (0.2, 0.7, 0.9))
-    assert rows(quantiles.nearest_quantiles(*args, split)) == rows(quantiles.nearest_quantiles(*args, PLAIN))
+    assert rows(quantiles.nearest_quantiles(*args, split, array_rows=100)) == rows(quantiles.nearest_quantiles(*args, PLAIN))
 
 
 def test_above_threshold(with_deltas, split):
