@@ -99,35 +99,30 @@ def value_aggregates() -> list:
     ]
 
 
-def _listed(dimension: str, params: FeatureParams):
-    """Condition that keeps the values a dimension has features for."""
-    value = F.col("value")
-    if params.vocabularies.get(dimension):
-        return value.isin(list(params.vocabularies[dimension]))
-    if dimension in SENTINELS:
-        return value != SENTINELS[dimension]
-    return F.lit(True)
+def _value(dimension: str, params: FeatureParams):
+    """The dimension as text, null where its value has no features."""
+    value = F.col(dimension)
+    listed = params.vocabularies.get(dimension)
+    if listed:
+        value = F.when(value.isin(list(listed)), value)
+    elif dimension in SENTINELS:
+        value = F.when(value != SENTINELS[dimension], value)
+    return value.cast("string")
 
 
 def value_rows(log: DataFrame, dimensions, params: FeatureParams, columns) -> DataFrame:
-    """One row per (event, dimension) with the value as text; words count once each."""
-    plain = [d for d in dimensions if d != "word"]
-    kept = log
-    ids = [*KEYS, *columns]
-    sources = {d: F.col(d).cast("string").alias(f"d_{d}") for d in plain}
+    """One row per (event, dimension) with the value as text.
+
+    ``word`` gives one dimension ``word_<w>`` per word found in the text.
+    """
+    # The keys step aside, because the level group is a dimension as well.
+    ids = [F.col(k).alias(f"_{k}") for k in KEYS]
+    values = {d: _value(d, params) for d in dimensions if d != "word"}
     if "word" in dimensions:
-        sources.update(
-            {f"word_{w}": F.when(F.contains(F.col("text"), F.lit(w)), w).alias(f"d_word_{w}") for w in params.words}
-        )
-    wide = kept.select(*ids, *sources.values())
-    rows = wide.unpivot(ids, [f"d_{s}" for s in sources], "dimension", "value").where(F.col("value").isNotNull())
-    rows = rows.withColumn(
-        "dimension", F.when(F.col("dimension").startswith("d_word_"), "word").otherwise(F.substring("dimension", 3, 40))
-    )
-    keep = F.lit(False)
-    for d in dimensions:
-        keep = keep | ((F.col("dimension") == d) & _listed(d, params))
-    return rows.where(keep)
+        values.update({f"word_{w}": F.when(F.contains(F.col("text"), F.lit(w)), w) for w in params.words})
+    wide = log.select(*ids, *columns, *[v.alias(d) for d, v in values.items()])
+    rows = wide.unpivot([f"_{k}" for k in KEYS] + list(columns), list(values), "dimension", "value")
+    return rows.where("value is not null").withColumnsRenamed({f"_{k}": k for k in KEYS})
 
 
 def value_stats(log: DataFrame, dimensions, params: FeatureParams) -> DataFrame:
@@ -137,7 +132,11 @@ def value_stats(log: DataFrame, dimensions, params: FeatureParams) -> DataFrame:
     session sends one row per value from each task.
     """
     rows = value_rows(log, dimensions, params, ["elapsed_time_diff", "location_x_diff"])
-    return rows.groupBy(*KEYS, "dimension", "value").agg(*value_aggregates())
+    table = rows.groupBy(*KEYS, "dimension", "value").agg(*value_aggregates())
+    if "word" in dimensions:
+        word = F.when(F.col("dimension").startswith("word_"), "word").otherwise(F.col("dimension"))
+        table = table.withColumn("dimension", word)
+    return table
 
 
 def word_features(log: DataFrame, params: FeatureParams) -> DataFrame:

@@ -15,45 +15,62 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 
-_TABLES: dict[tuple[str, str], tuple] = {}
-_VALUES: dict[tuple[str, str], object] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set one only where none is set."""
+    """The session's checkpoint folder; a local session without one gets a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="sessionweave-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-
 def scratch_path(spark: SparkSession) -> str:
     """A path of this application in the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/sessionweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+class Workspace:
+    """Tables written by one job, by name."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._tables: dict[str, tuple] = {}
+        self._values: dict[str, object] = {}
+
+    def keep(self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
+        """Table ``name``, built and written on first use."""
+        if name not in self._tables:
+            table, path = build(), scratch_path(self.spark)
+            table.write.partitionBy(*partition_by).parquet(path)
+            self._tables[name] = (path, table.schema)
+        path, schema = self._tables[name]
+        return self.spark.read.schema(schema).parquet(path)
+
+    def remember(self, name: str, compute: Callable[[], object]) -> object:
+        """A small driver-side value, computed on first use."""
+        if name not in self._values:
+            self._values[name] = compute()
+        return self._values[name]
+
+
+_SPACES: dict[str, Workspace] = {}
+
+
+def application_space(spark: SparkSession) -> Workspace:
+    """The workspace shared by all jobs of an application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SPACES:
+        _SPACES[app] = Workspace(spark)
+    return _SPACES[app]
+
+
 def written(
     spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Table ``name`` of this application, written on first use."""
-    key = (spark.sparkContext.applicationId, name)
-    if key not in _TABLES:
-        path = scratch_path(spark)
-        table = build()
-        writer = table.write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-        _TABLES[key] = (path, table.schema)
-    path, schema = _TABLES[key]
-    return spark.read.schema(schema).parquet(path)
+    return application_space(spark).keep(name, build, partition_by)
 
 
 def remembered(spark: SparkSession, name: str, compute: Callable[[], object]) -> object:
-    """A small driver-side value of this application, computed on first use."""
-    key = (spark.sparkContext.applicationId, name)
-    if key not in _VALUES:
-        _VALUES[key] = compute()
-    return _VALUES[key]
+    return application_space(spark).remember(name, compute)
