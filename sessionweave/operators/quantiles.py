@@ -1,7 +1,7 @@
 """Exact nearest-rank quantiles per group.
 
 Where sessions are small, a group gathers its values into one sorted array.
-Larger sessions are ranked on their value counts instead: equal values merge
+Large sessions are ranked on their value counts instead: equal values merge
 before the shuffle, and the distinct values of a hot group are cut into chunks.
 """
 
@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionweave.functions.expressions import nearest_index
-from sessionweave.operators.skew import SkewProfile, hot_keys, split_hot
+from sessionweave.operators.skew import SkewProfile, keys_over, split_hot
 
 
 ARRAY_ROWS = 1_000_000
+# Large sessions are broadcast as a list up to this many; there are at most total / ARRAY_ROWS.
+MAX_LISTED = 2_000_000
 
 
 def quantile_name(column: str, share: float) -> str:
@@ -36,12 +38,13 @@ def nearest_quantiles(
     """
     if skew.largest <= array_rows:
         return _by_arrays(df, keys, columns, shares)
-    if skew.limit > array_rows:
+    if array_rows <= 0:
         return _by_counts(df, keys, columns, shares, skew)
-    hot = hot_keys(df, [session], skew)
-    cold = df.join(F.broadcast(hot), [session], "left_anti")
-    warm = df.join(F.broadcast(hot), [session], "left_semi")
-    return _by_arrays(cold, keys, columns, shares).unionByName(_by_counts(warm, keys, columns, shares, skew))
+    large = keys_over(df, [session], array_rows)
+    if skew.total // array_rows <= MAX_LISTED:
+        large = F.broadcast(large)
+    small_rows, large_rows = df.join(large, [session], "left_anti"), df.join(large, [session], "left_semi")
+    return _by_arrays(small_rows, keys, columns, shares).unionByName(_by_counts(large_rows, keys, columns, shares, skew))
 
 
 def _by_arrays(df, keys, columns, shares):

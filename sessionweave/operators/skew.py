@@ -46,9 +46,14 @@ def profile(df: DataFrame, key: str = "session_id", rows_per_task: int = ROWS_PE
     return SkewProfile(row.total, row.largest, max(rows_per_task, row.total // MAX_HOT))
 
 
+def keys_over(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Keys with more than ``rows`` rows: at most ``total / rows`` of them."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows).select(*keys)
+
+
 def hot_keys(df: DataFrame, keys: list[str], skew: SkewProfile) -> DataFrame:
-    """Keys with more rows than the limit: at most ``total / limit`` of them."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > skew.limit).select(*keys)
+    """Keys above the profile's limit, of which there are at most ``MAX_HOT``."""
+    return keys_over(df, keys, skew.limit)
 
 
 def _search(splits: Column, x: Column, chunks: int) -> Column:
