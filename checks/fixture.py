@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionweave.operators.deltas import event_deltas
 from sessionweave.operators.skew import SkewProfile, profile
-from sessionweave.plans.workspace import remembered, written
+from sessionweave.workspace import remembered, written
 from sessionweave.presets import FeatureParams, Milestone, Transition
 from sessionweave.sources.adapters import answers_for_sessions, events_as_log
 
@@ -39,7 +39,7 @@ PARAMS = FeatureParams(
     pair_events=("click", "view"),
     navigate_event="click",
     popularity_cuts=(3, 7, 11, 16),
-    grid_rooms={"0-4": ("room.0", "room.1"), "5-12": ("room.1", "room.2", "room.3"), "13-22": ("room.0", "room.3")},
+    grid_rooms={"0-4": ("room.0", "room.1"), "5-12": ("room.0", "room.1", "room.2"), "13-22": ("room.0", "room.3")},
 )
 
 

@@ -29,7 +29,7 @@ from sessionweave.operators import (
 )
 from sessionweave.plans import features as plan
 from sessionweave.plans import training
-from sessionweave.plans.workspace import remembered, scratch_path, written
+from sessionweave.workspace import remembered, scratch_path, written
 from sessionweave.presets import BOOSTED_EARLY_STOP_PARAMS, DEFAULT_THRESHOLD, FOREST_PARAMS, QUESTIONS
 from sessionweave.sources import tables
 
@@ -402,11 +402,19 @@ def join_feature_blocks(spark, sf):
     return round_values(made.rows, "value")
 
 
-def summary(spark, sf):
+def feature_summary(spark, sf):
     made = features(spark, sf)
     return longtable.feature_summary(made.rows, made.members)
 
 
+def summary(spark, sf):
+    return written(spark, f"{sf}/features/all_summary", lambda: feature_summary(spark, sf))
+
+
+def pruned(spark, sf):
+    return written(spark, f"{sf}/features/pruned", lambda: longtable.prune(summary(spark, sf)))
+
+
 def name_list(spark):
     path = scratch_path(spark)
     spark.createDataFrame([(json.dumps(DROPPED),)], "value string").coalesce(1).write.text(path)
@@ -415,7 +423,7 @@ def name_list(spark):
 
 def cumulative_group_merge(spark, sf):
     made = features(spark, sf)
-    kept = longtable.keep_features(made.rows, longtable.prune(summary(spark, sf)))
+    kept = longtable.keep_features(made.rows, pruned(spark, sf))
     rows, members = longtable.merge_groups(kept, made.members, PARAMS.level_groups)
     return round_values(longtable.feature_summary(rows, members), "low", "high")
 
@@ -429,10 +437,10 @@ def fill_missing_features(spark, sf):
 
 FOURTH = {
     "join_feature_blocks": join_feature_blocks,
-    "feature_summary": lambda s, sf: round_values(summary(s, sf), "low", "high"),
+    "feature_summary": lambda s, sf: round_values(feature_summary(s, sf), "low", "high"),
     "prune_features": lambda s, sf: longtable.prune(summary(s, sf)).select("level_group", "block", "feature", "sessions", "present"),
-    "feature_catalog": lambda s, sf: longtable.feature_catalog(summary(s, sf), longtable.prune(summary(s, sf))),
-    "drop_listed_features": lambda s, sf: longtable.drop_listed(longtable.prune(summary(s, sf)), name_list(s)).select(
+    "feature_catalog": lambda s, sf: longtable.feature_catalog(summary(s, sf), pruned(s, sf)),
+    "drop_listed_features": lambda s, sf: longtable.drop_listed(pruned(s, sf), name_list(s)).select(
         "level_group", "feature", "present"
     ),
     "cumulative_group_merge": cumulative_group_merge,

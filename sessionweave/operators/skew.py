@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sessionweave.workspace import materialised
+
 ROWS_PER_TASK = 1_000_000
 MAX_HOT = 20_000
 
@@ -69,6 +71,8 @@ def split_hot(df: DataFrame, keys: list[str], order: str, skew: SkewProfile) ->
 
     Split points come from a mergeable quantile sketch. Each key keeps as many as
     its own rows need, so all keys together hold at most ``3 * total / limit``.
+    They are written before use: a sketch may come out differently when it is
+    computed again, and all branches of a plan must cut at the same points.
     """
     hot = hot_keys(df, keys, skew)
     shares = [i / skew.chunks for i in range(1, skew.chunks)]
@@ -85,6 +89,7 @@ def split_hot(df: DataFrame, keys: list[str], order: str, skew: SkewProfile) ->
             lambda i: F.get("_all", F.floor(i * skew.chunks / F.col("_parts")).cast("int") - 1),
         ).alias("_splits"),
     )
+    splits = materialised(splits)
     return (
         df.join(F.broadcast(splits), keys, "left")
         .withColumn("_hot", F.col("_splits").isNotNull())

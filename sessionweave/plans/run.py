@@ -12,7 +12,7 @@ from sessionweave.operators import cleaning, deltas, evaluate, models
 from sessionweave.operators.skew import SkewProfile, profile
 from sessionweave.plans import training
 from sessionweave.plans.features import Dictionaries, Selection, selected_features, session_features
-from sessionweave.plans.workspace import Workspace
+from sessionweave.workspace import Workspace
 from sessionweave.presets import BROKEN_SESSIONS, QUESTIONS, FeatureParams
 from sessionweave.sources import tables
 

@@ -31,6 +31,13 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/sessionweave/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """The same rows read back from a written copy: later uses all see one result."""
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Workspace:
     """Tables written by one job, by name."""
 

@@ -2,15 +2,16 @@
 
 import json
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from checks import queries as q
-from sessionweave.operators import chain, cleaning, models
+from sessionweave.operators import chain, cleaning, clicks, models
 from sessionweave.plans import training
-from sessionweave.plans.workspace import scratch_path
+from sessionweave.workspace import scratch_path
 from sessionweave.presets import QUESTIONS
 from sessionweave.sources import tables
 from tests.conftest import rows
@@ -111,6 +112,24 @@ def test_params_and_name_files(spark, tmp_path):
     assert rows(tables.read_name_list(spark, str(tmp_path / "names.json"))) == [("a.b",), ("c",)]
 
 
+def test_room_embedding_against_eigenvectors(spark, sf):
+    """Points equal the scaled grid projected on its first two eigenvectors, up to sign."""
+    slotted = clicks.with_slots(q.clipped(spark, sf), q.axes(spark, sf)).where("level_group = '5-12' and room_fqid = 'room.0'")
+    scale = {(r.room_x, r.room_y): r for r in q.scale(spark, sf).where("level_group = '5-12' and room_fqid = 'room.0'").collect()}
+    cells = slotted.collect()
+    ids = sorted({c.session_id for c in cells})
+    grid = np.zeros((len(ids), cells[0].grid_size))
+    for c in cells:
+        grid[ids.index(c.session_id), c.slot] = c.n / scale[c.room_x, c.room_y].scale
+    grid -= grid.mean(axis=0)
+    values, axes = np.linalg.eigh(np.cov(grid.T))
+    want = grid @ axes[:, np.argsort(values)[::-1][:2]]
+    got = {r.session_id: (r.axis0, r.axis1) for r in q.room_grid_pca(spark, sf).where("level_group = '5-12' and room_fqid = 'room.0'").collect()}
+    got = np.array([got[i] for i in ids])
+    for k in range(2):
+        assert np.allclose(np.abs(got[:, k]), np.abs(want[:, k]), atol=1e-6)
+
+
 def test_event_log_file(spark, tmp_path):
     df = spark.createDataFrame([(1, 0, 5, True)], "session_id long, index long, elapsed_time long, hq boolean")
     df.write.parquet(str(tmp_path / "log"))

@@ -1,18 +1,18 @@
 """A whole run over files in the data set's layout."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from checks.fixture import PARAMS
-from dataclasses import replace
-from sessionweave.operators import models, longtable
+from sessionweave.operators import models
 from sessionweave.plans import run as runs
 from sessionweave.plans.features import fit_dictionaries, session_features
-from sessionweave.plans.workspace import Workspace
 from sessionweave.sources import tables
+from sessionweave.workspace import Workspace
 from tests.conftest import rows
 
 SMALL = replace(PARAMS, version=2, time_parts=1)
