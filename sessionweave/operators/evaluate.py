@@ -7,9 +7,6 @@ them per threshold.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +21,7 @@ def grid(low: int = THRESHOLD_GRID[0], high: int = THRESHOLD_GRID[1]) -> list[fl
 def confusion(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     """``tp, fp, fn, tn`` per (question, threshold) from rows of ``(q, p, correct)``; positive is ``p > threshold``."""
     thresholds = sorted(thresholds)
-    passed = reduce(add, [(F.col("p") > F.lit(t)).cast("int") for t in thresholds])
+    passed = F.expr(" + ".join(f"cast(p > {t!r}D as int)" for t in thresholds))
     counts = scored.select("q", passed.alias("passed"), "correct").groupBy("q", "passed", "correct").agg(
         F.count(F.lit(1)).alias("n")
     )

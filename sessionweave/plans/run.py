@@ -148,7 +148,13 @@ def run(spark: SparkSession, path: str, output: str, name: str = "run", options:
         scores.withColumnRenamed("macro_f1", "value"),
         name,
         f"{output}/runs",
-        {"folds": options.folds, "questions": list(options.questions), "kind": options.model.kind, "threshold": overall.threshold},
+        {
+            "folds": options.folds,
+            "questions": list(options.questions),
+            "kind": options.model.kind,
+            "params": options.model.params,
+            "threshold": overall.threshold,
+        },
     )
 
     final = options.model

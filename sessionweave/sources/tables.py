@@ -58,6 +58,13 @@ def read_params(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first().value)
 
 
+def read_question_params(spark: SparkSession, folder: str) -> dict[int, dict]:
+    """Parameter files ``q<number>.json`` of a folder by question; questions without one are left out."""
+    files = spark.read.option("pathGlobFilter", "q*.json").text(folder, wholetext=True)
+    number = F.regexp_extract("_metadata.file_name", "^q([0-9]+)[.]json$", 1).cast("int")
+    return {row.q: json.loads(row.value) for row in files.select(number.alias("q"), "value").collect()}
+
+
 # --- predictions --------------------------------------------------------------
 
 

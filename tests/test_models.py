@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from checks import queries as q
-from sessionweave.operators import chain, cleaning, clicks, models
+from sessionweave.operators import chain, cleaning, clicks, longtable, models
 from sessionweave.plans import training
+from sessionweave.plans.features import Selection
 from sessionweave.workspace import scratch_path
 from sessionweave.presets import QUESTIONS
 from sessionweave.sources import tables
@@ -30,6 +31,23 @@ def groups(spark, sf):
     return out
 
 
+def test_vectors_keep_order_of_missing_values(spark):
+    """Missing below everything, counts zero inside the block and -1 outside."""
+    features = spark.createDataFrame(
+        [(1, "0-4", "base", "m", False, 4.0), (2, "0-4", "late", "c", True, 3.0), (2, "0-4", "base", "m", False, 0.0)],
+        "session_id long, level_group string, block string, feature string, zero boolean, value double",
+    )
+    members = spark.createDataFrame(
+        [(1, "0-4", "base"), (2, "0-4", "base"), (3, "0-4", "base"), (2, "0-4", "late"), (3, "0-4", "late")],
+        "session_id long, level_group string, block string",
+    )
+    summary = longtable.feature_summary(features, members)
+    table = training.group_tables(spark, Selection(features, members, summary, summary), ("0-4",))["0-4"]
+    assert table.names == ["c", "m"]
+    got = {r.session_id: list(r.features.toArray()) for r in table.rows.collect()}
+    assert got == {1: [-1.0, 5.0], 2: [3.0, 1.0], 3: [0.0, 0.0]}
+
+
 def test_folds_are_stable_and_complete(spark, sf):
     sessions = fx.sessions(spark, sf)
     folds = cleaning.assign_folds(sessions, 3)
@@ -108,6 +126,13 @@ def test_oof_csv_and_rows(spark, sf):
 def test_params_and_name_files(spark, tmp_path):
     (tmp_path / "p.json").write_text(json.dumps({"base": {"max_depth": 4}, "n_estimators": [10]}, indent=2))
     assert tables.read_params(spark, str(tmp_path / "p.json"))["n_estimators"] == [10]
+    each = tmp_path / "each"
+    each.mkdir()
+    (each / "q5.json").write_text('{"base": {"gamma": 0.5}, "n_estimators": [7]}')
+    (each / "q11.json").write_text('{"base": {}, "n_estimators": [8]}')
+    assert tables.read_question_params(spark, str(each)) == {
+        5: {"base": {"gamma": 0.5}, "n_estimators": [7]}, 11: {"base": {}, "n_estimators": [8]},
+    }
     (tmp_path / "names.json").write_text('[\n "a.b",\n "c"\n]')
     assert rows(tables.read_name_list(spark, str(tmp_path / "names.json"))) == [("a.b",), ("c",)]
 
