@@ -12,7 +12,7 @@ from checks import queries as q
 from sessionweave.operators import chain, cleaning, clicks, longtable, models
 from sessionweave.plans import training
 from sessionweave.plans.features import Selection
-from sessionweave.workspace import scratch_path
+from sessionweave.workspace import bucketed, scratch_path
 from sessionweave.presets import QUESTIONS
 from sessionweave.sources import tables
 from tests.conftest import rows
@@ -48,6 +48,23 @@ def test_vectors_keep_order_of_missing_values(spark):
     assert got == {1: [-1.0, 5.0], 2: [3.0, 1.0], 3: [0.0, 0.0]}
 
 
+def test_vectors_are_not_shuffled_again(spark):
+    rows_ = bucketed(spark.range(100).select(F.col("id").alias("session_id"), F.lit(1.0).alias("x")), "session_id")
+    labels = spark.range(100).select(F.col("id").alias("session_id"), F.lit(2).alias("q"), F.lit(1).alias("correct"))
+    scores = labels.select("session_id", F.lit(1).alias("q"), F.lit(0.5).alias("p"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = chain.chain_features(rows_, scores, labels, 2)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    wide = [line for line in plan.splitlines() if "sessionweave_" in line]
+    assert wide and all("Bucketed: true" in line for line in wide)
+    # One exchange for the scores' pivot and one for the labels, none for the vectors.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert joined.count() == 100
+
+
 def test_folds_are_stable_and_complete(spark, sf):
     sessions = fx.sessions(spark, sf)
     folds = cleaning.assign_folds(sessions, 3)
