@@ -484,7 +484,10 @@ def feature_ctes() -> str:
     ctes.append("""members AS (SELECT DISTINCT session_id, level_group, 'base' AS block FROM d
  UNION ALL SELECT DISTINCT session_id, level_group, 'above' FROM above WHERE level_group <> '13-22'
  UNION ALL SELECT DISTINCT session_id, level_group, 'navigate' FROM nav)""")
-    ctes.append(_summary("summary", "feats", "members"))
+    ctes.append("""listed AS (SELECT level_group, 'above' AS block, concat('index_count_', cast(level AS varchar), '_grp', level_group, '_above') AS feature, true AS zero, cast(NULL AS double) AS value
+ FROM (SELECT unnest(['0-4', '5-12']) AS level_group) g, (SELECT unnest(range(0, 23)) AS level) l),
+named AS (SELECT level_group, block, feature, zero, value FROM feats UNION ALL SELECT level_group, block, feature, zero, value FROM listed)""")
+    ctes.append(_summary("summary", "named", "members"))
     ctes.append("""kept AS (SELECT * FROM summary WHERE cast(sessions - present AS double) / sessions <= CASE WHEN feature LIKE '%\\_above' ESCAPE '\\' THEN 0.997 ELSE 0.97 END
  AND (low < high OR sessions > present))""")
     return ",\n".join(ctes)
@@ -493,7 +496,7 @@ def feature_ctes() -> str:
 def _summary(name: str, rows: str, members: str) -> str:
     return f"""{name} AS (SELECT level_group, block, feature, zero, sessions, CASE WHEN zero THEN members ELSE n END AS present,
  CASE WHEN zero AND n < members THEN least(low, 0) ELSE low END AS low, CASE WHEN zero AND n < members THEN greatest(high, 0) ELSE high END AS high
- FROM (SELECT level_group, block, feature, zero, count(*) AS n, min(value) AS low, max(value) AS high FROM {rows} GROUP BY ALL) f
+ FROM (SELECT level_group, block, feature, zero, count(value) AS n, min(value) AS low, max(value) AS high FROM {rows} GROUP BY ALL) f
  JOIN (SELECT level_group, block, count(*) AS members FROM {members} GROUP BY ALL) b USING (level_group, block)
  JOIN (SELECT level_group, count(*) AS sessions FROM {members} WHERE block = 'base' GROUP BY ALL) t USING (level_group))"""
 

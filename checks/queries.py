@@ -404,7 +404,7 @@ def join_feature_blocks(spark, sf):
 
 def feature_summary(spark, sf):
     made = features(spark, sf)
-    return longtable.feature_summary(made.rows, made.members)
+    return longtable.feature_summary(made.rows, made.members, longtable.listed_counts(spark, PARAMS))
 
 
 def summary(spark, sf):

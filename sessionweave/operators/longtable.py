@@ -10,12 +10,12 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionweave.functions.expressions import time_parts
 from sessionweave.operators.stats import KEYS
-from sessionweave.presets import NULL_RATE, NULL_RATE_ABOVE
+from sessionweave.presets import NULL_RATE, NULL_RATE_ABOVE, FeatureParams
 
 # Name templates (fixed values): {c} is the dimension's value, {S} the group suffix.
 # Each entry is (source column, template, count?).
@@ -119,11 +119,47 @@ def block_members(log: DataFrame, **blocks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, members).distinct()
 
 
-def feature_summary(features: DataFrame, members: DataFrame) -> DataFrame:
+def listed_counts(spark: SparkSession, params: FeatureParams) -> DataFrame:
+    """Names of the counts that ``above`` and ``navigate`` have even where no session has a row for them.
+
+    Such a count is 0 for the block's members and null for the others, so it still
+    tells them apart. Only listed values can be known without a row.
+    """
+    names = []
+    rooms = list(params.vocabularies.get("room_fqid") or ())
+    events = list(params.vocabularies.get("event_name") or ())
+    if params.cut_above:
+        for group in params.above_groups:
+            names += [(group, "above", f"index_count_{v}_grp{group}_above", True) for v in [*params.levels, *rooms, *events]]
+    if params.room_click:
+        for group in params.level_groups:
+            names += [
+                (group, "navigate", f"navigate_index_count{room}_{category}_grp{group}", True)
+                for room in rooms
+                for category in range(1, 6)
+            ]
+    return spark.createDataFrame(names, "level_group string, block string, feature string, zero boolean")
+
+
+def carry_names(names: DataFrame, order) -> DataFrame:
+    """The names each group has after ``merge_groups``."""
+    out = [names]
+    for i, group in enumerate(order):
+        own = names.where(F.col("level_group") == group).withColumn("block", F.concat("block", F.lit(f"@{group}")))
+        out += [own.withColumn("level_group", F.lit(later)) for later in order[i + 1 :]]
+    return stack_blocks(out)
+
+
+def feature_summary(features: DataFrame, members: DataFrame, listed: DataFrame | None = None) -> DataFrame:
     """Null rate and spread of every feature, from one aggregation over the long rows.
 
-    The implicit zeros and nulls come from the block sizes (a few rows).
+    The implicit zeros and nulls come from the block sizes (a few rows). ``listed``
+    adds names that may have no row.
     """
+    features = features.select("level_group", "block", "feature", "zero", "value")
+    if listed is not None:
+        names = listed.select("level_group", "block", "feature", "zero", F.lit(None).cast("double").alias("value"))
+        features = features.unionByName(names)
     sizes = members.groupBy("level_group", "block").agg(F.count(F.lit(1)).alias("members"))
     totals = sizes.where("block = 'base'").select("level_group", F.col("members").alias("sessions"))
     rows = features.groupBy("level_group", "block", "feature", "zero").agg(

@@ -168,7 +168,8 @@ def selected_features(
     keep: Keep = _lazy,
 ) -> Selection:
     """Prune, add time parts and noise, merge groups, drop listed names."""
-    pruned = longtable.prune(longtable.feature_summary(features.rows, features.members), params.null_rate)
+    listed = longtable.listed_counts(features.rows.sparkSession, params)
+    pruned = longtable.prune(longtable.feature_summary(features.rows, features.members, listed), params.null_rate)
     kept_names = keep("pruned", lambda: pruned)
     rows, members = longtable.keep_features(features.rows, kept_names), features.members
     extra = [longtable.time_rows(members, params.time_parts)]
@@ -180,8 +181,10 @@ def selected_features(
         # Time parts and noise belong to the first group and reach the others by the merge.
         extra = [e.where(F.col("level_group") == params.level_groups[0]) for e in extra]
     rows = longtable.stack_blocks([rows, *extra])
+    names = kept_names
     if merge:
         rows, members = longtable.merge_groups(rows, members, params.level_groups)
-    summary = keep("summary", lambda: longtable.feature_summary(rows, members))
+        names = longtable.carry_names(kept_names, params.level_groups)
+    summary = keep("summary", lambda: longtable.feature_summary(rows, members, names))
     kept = longtable.drop_listed(summary, drop) if drop is not None else summary
     return Selection(longtable.keep_features(rows, kept), members, summary, kept)

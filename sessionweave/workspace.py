@@ -41,7 +41,8 @@ def materialised(df: DataFrame) -> DataFrame:
 def bucketed(df: DataFrame, column: str) -> DataFrame:
     """The rows as a written table bucketed by ``column``: joins on it do not move them again."""
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), most)
     name = f"sessionweave_{uuid.uuid4().hex}"
     writer = df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
     writer.option("path", scratch_path(spark)).format("parquet").saveAsTable(name)

@@ -184,6 +184,19 @@ def test_prune_rates_and_constants(spark):
     assert kept == {"rare_above", "constant_or_null", "counted", "late_count"}
 
 
+def test_listed_counts_without_rows(spark):
+    """A count nobody has is 0 or null by membership: kept in a partial block, constant in none."""
+    rows, inside = long_rows(spark, [(s, "base", "m", False, s) for s in range(10)], [(s, "base") for s in range(10)] + [(1, "above"), (2, "above")])
+    names = longtable.listed_counts(spark, FeatureParams(levels=(0,), vocabularies={}))
+    assert {r.feature for r in names.collect()} == {"index_count_0_grp0-4_above", "index_count_0_grp5-12_above"}
+    summary = longtable.feature_summary(rows, inside, names)
+    row = summary.where("block = 'above'").first()
+    assert (row.feature, row.sessions, row.present, row.low, row.high) == ("index_count_0_grp0-4_above", 10, 2, 0.0, 0.0)
+    assert {r.feature for r in longtable.prune(summary).collect()} == {"m", "index_count_0_grp0-4_above"}
+    wide = longtable.to_wide(rows, inside, [("index_count_0_grp0-4_above", "above", True)]).collect()
+    assert {r.session_id: r.index_count_0_grp0_4_above for r in wide if r.session_id < 4} == {0: None, 1: 0.0, 2: 0.0, 3: None}
+
+
 def test_wide_fill_rules(spark):
     rows, inside = long_rows(spark, [(1, "base", "a.b", True, 2), (2, "late", "c", True, 3), (1, "base", "m", False, 4)],
                              [(1, "base"), (2, "base"), (3, "base"), (2, "late"), (3, "late")])
