@@ -8,19 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sessionweave.llm.common import table
 from sessionweave.llm.quality_rules import quality
+from sessionweave.llm.sentencepiece_codec import encoded, read_model
 from sessionweave.llm.sharding import document_shards
+from sessionweave.llm.warc import archive_pages
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), read_model(), digests=True)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_sharding, op5_warc, op6_sentencepiece, op10_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
