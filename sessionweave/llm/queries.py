@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sessionweave.llm.common import table
 from sessionweave.llm.quality_rules import quality
+from sessionweave.llm.secret_scan import secret_digests
 from sessionweave.llm.sentencepiece_codec import encoded, read_model
 from sessionweave.llm.sharding import document_shards
+from sessionweave.llm.toxicity import scored
 from sessionweave.llm.warc import archive_pages
 
 
@@ -25,12 +27,20 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(table(spark, sf_dir, "documents"), read_model(), digests=True)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_warc, op6_sentencepiece, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_sharding, op5_warc, op6_sentencepiece, op7_secret_scan, op9_toxicity, op10_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
