@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionweave.llm.common import table
+from sessionweave.llm.html_text import extracted
 from sessionweave.llm.quality_rules import quality
 from sessionweave.llm.secret_scan import secret_digests
 from sessionweave.llm.sentencepiece_codec import encoded, read_model
@@ -31,6 +32,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,7 +45,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_warc, op6_sentencepiece, op7_secret_scan, op9_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op3_sharding, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
