@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sessionweave.llm.common import table
 from sessionweave.llm.html_text import extracted
+from sessionweave.llm.ngram_join import near_duplicates
 from sessionweave.llm.quality_rules import quality
 from sessionweave.llm.secret_scan import secret_digests
 from sessionweave.llm.sentencepiece_codec import encoded, read_model
@@ -16,6 +17,10 @@ from sessionweave.llm.toxicity import scored
 from sessionweave.llm.warc import archive_pages
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(table(spark, sf_dir, "documents"))
 
@@ -45,7 +50,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_ngram_join, op3_sharding, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
