@@ -19,6 +19,8 @@ PIECE = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+#: White space and ASCII punctuation: words are then letters, digits and other characters.
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LETTER = np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 64, 256, dtype=np.uint64, endpoint=False)
 _LETTER[65:91] = _LETTER[97:123]
 _BASE = 0x9E3779B97F4A7C15
@@ -65,12 +67,12 @@ def _pieces(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word, and the index of the first word of each text (one more at the end)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word, and the index of the first word of each text (one more at the end); ``breaks`` part words."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    space = _SPACE[data]
+    space = breaks[data]
     before, after = np.empty(n, bool), np.empty(n, bool)
     before[0] = after[-1] = True
     before[1:], after[:-1] = space[:-1], space[1:]
@@ -85,14 +87,27 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return words, np.searchsorted(starts, offsets)
 
 
+def shingled(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` words from each position on."""
+    out = np.zeros(max(0, len(words) - k + 1), np.uint64)
+    for j in range(k):
+        out = out * _STEP + words[j : j + len(out)]
+    return mixed(out)
+
+
+def word_lists(texts: pa.Array, breaks: np.ndarray = _SPACE) -> Iterator[np.ndarray]:
+    """Word hashes of each text in order."""
+    for data, offsets in _pieces(texts):
+        words, first = word_hashes(data, offsets, breaks)
+        for a, b in zip(first[:-1], first[1:]):
+            yield words[a:b]
+
+
 def shingle_lists(texts: pa.Array, k: int = K) -> Iterator[np.ndarray]:
     """For each text the hashes of its ``k``-word shingles in order; with fewer words one hash of all; none without words."""
     for data, offsets in _pieces(texts):
         words, first = word_hashes(data, offsets)
-        every = np.zeros(max(0, len(words) - k + 1), np.uint64)
-        for j in range(k):
-            every = every * _STEP + words[j : j + len(every)]
-        every = mixed(every)
+        every = shingled(words, k)
         for a, b in zip(first[:-1], first[1:]):
             if b - a >= k:
                 yield every[a : b - k + 1]

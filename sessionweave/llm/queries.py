@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionweave.llm.common import table
+from sessionweave.llm.decontaminate import contaminated
 from sessionweave.llm.html_text import extracted
 from sessionweave.llm.ngram_join import near_duplicates
 from sessionweave.llm.quality_rules import quality
@@ -25,6 +26,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages"))
 
@@ -50,7 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_join, op3_sharding, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op2_ngram_join, op3_sharding, op4_decontaminate, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
