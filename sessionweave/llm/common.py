@@ -28,6 +28,23 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def most_frequent(rows: DataFrame, count: str, most: int) -> DataFrame:
+    """Rows with the greatest ``count``, at most ``most`` of them.
+
+    The least count comes from a histogram with 16 bins per power of two; of
+    ties in a bin all or none are taken. No task gets more than its own rows.
+    """
+    level = F.floor(F.log2(F.col(count)) * 16).cast("int")
+    bins = rows.where(F.col(count) > 0).groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()
+    taken, least = 0, None
+    for r in sorted(bins, key=lambda r: -r["level"]):
+        taken += r["n"]
+        if taken > most:
+            break
+        least = r["level"]
+    return rows.where(level >= least) if least is not None else rows.where(F.lit(False))
+
+
 def row_key(*columns: str) -> list[Column]:
     """Two hash columns that name a row by its values (nulls allowed): rows equal in all of them share a key."""
     values = [F.col(c) for c in columns]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sessionweave.llm.common import table
 from sessionweave.llm.decontaminate import contaminated
 from sessionweave.llm.html_text import extracted
+from sessionweave.llm.line_dedup import deduplicated
 from sessionweave.llm.ngram_join import near_duplicates
 from sessionweave.llm.quality_rules import quality
 from sessionweave.llm.secret_scan import secret_digests
@@ -18,6 +19,11 @@ from sessionweave.llm.toxicity import scored
 from sessionweave.llm.warc import archive_pages
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = deduplicated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "n_removed", "words_left")
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -55,7 +61,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_ngram_join, op3_sharding, op4_decontaminate, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_join, op3_sharding, op4_decontaminate, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
 
 
 def llm_oracles() -> dict[str, str]:
