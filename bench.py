@@ -42,8 +42,13 @@ HEADLINE = (
     "threshold_sweep",
     "macro_f1_by_question",
     "truth_matrix",
+    "oof_boosted",
     "oof_forest",
+    "oof_boosted_early_stop",
+    "oof_weighted",
     "train_final",
+    "save_models",
+    "room_grid_pca",
 )
 
 

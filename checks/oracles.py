@@ -396,11 +396,6 @@ def _third() -> dict[str, str]:
     )
     o["run_results_table"] = scored(f"""SELECT 'overall' AS score, round(macro_f1, 9) AS value FROM (SELECT * FROM sweep ORDER BY macro_f1 DESC, i LIMIT 1) s
  UNION ALL SELECT concat('q', cast(q AS varchar)), round({F1}, 9) FROM counts WHERE i = (SELECT i FROM sweep ORDER BY macro_f1 DESC, i LIMIT 1)""")
-    trees = "707, 390, 390, 548, 608, 439, 524, 274, 301, 305, 309, 261, 489, 365, 379, 329, 257, 378"
-    fixed = "('alpha', '8'), ('colsample_bytree', '0.5'), ('learning_rate', '0.02'), ('max_depth', '4'), ('random_state', '42'), ('subsample', '0.8')"
-    o["resolve_params"] = f"""WITH {ANSWERS}, asked AS (SELECT q, count(*) AS sessions FROM answers GROUP BY q)
- SELECT q, sessions, parameter, value FROM asked, (VALUES {fixed}) f(parameter, value)
- UNION ALL SELECT q, sessions, 'n_estimators', cast(([{trees}])[q] AS varchar) FROM asked"""
     return o
 
 
@@ -517,7 +512,11 @@ WIDE = (
     ("elapsed_time_diff_to_room.2_grp0-4_above", "above", False),
     ("navigate_index_countroom.0_5_grp0-4", "navigate", True),
 )
-DROPPED = ("session_number_grp0-4", "fq1_ET_mean_grp5-12", "tx.1_text_ET_quantile2_grp13-22", "no_such_feature")
+DROPPED = {
+    "0-4": ("session_number_grp0-4", "no_such_feature"),
+    "5-12": ("fq1_ET_mean_grp5-12", "tx.1_text_ET_quantile2_grp13-22"),
+    "13-22": ("tx.1_text_ET_quantile2_grp13-22",),
+}
 
 
 def _round(column: str) -> str:
@@ -532,7 +531,7 @@ def _fourth() -> dict[str, str]:
     o["feature_summary"] = f"{base}\nSELECT level_group, block, feature, zero, sessions, present, {_round('low')}, {_round('high')} FROM summary"
     o["prune_features"] = f"{base}\nSELECT level_group, block, feature, sessions, present FROM kept"
     o["feature_catalog"] = f"{base}\nSELECT level_group, feature, (level_group, feature) IN (SELECT level_group, feature FROM kept) AS kept FROM summary"
-    o["drop_listed_features"] = f"{base}\nSELECT level_group, feature, present FROM kept WHERE feature NOT IN ({', '.join(repr(n) for n in DROPPED)})"
+    o["drop_listed_features"] = f"{base}\nSELECT level_group, feature, present FROM kept WHERE (level_group, feature) NOT IN ({', '.join(repr((g, n)) for g, names in DROPPED.items() for n in names)})"
     merged = f"""kf AS (SELECT f.* FROM feats f SEMI JOIN kept USING (level_group, feature)),
 s2 AS (SELECT session_id FROM members WHERE level_group = '5-12' AND block = 'base'), s3 AS (SELECT session_id FROM members WHERE level_group = '13-22' AND block = 'base'),
 mf AS (SELECT * FROM kf UNION ALL SELECT session_id, '5-12', concat(block, '@0-4'), feature, zero, value FROM kf SEMI JOIN s2 USING (session_id) WHERE level_group = '0-4'
@@ -554,5 +553,14 @@ mm AS (SELECT * FROM members UNION ALL SELECT session_id, '5-12', concat(block,
     return o
 
 
+def _models() -> dict[str, str]:
+    """What is determined of model results: every session and question once, with a probability; rounds as saved."""
+    scores = f"WITH {ANSWERS} SELECT session_id, q, true AS valid FROM answers"
+    o = {n: scores for n in ("oof_boosted", "oof_forest", "oof_boosted_early_stop", "oof_weighted", "train_final")}
+    o["save_models"] = f"""WITH {ANSWERS} SELECT q, cast(k AS int) AS fold, true AS same_rounds, 3 AS rounds
+ FROM (SELECT DISTINCT q FROM answers) a, range(2) r(k)"""
+    return o
+
+
 def all_oracles() -> dict[str, str]:
-    return {**_first(), **_second(), **_third(), **_fourth()}
+    return {**_first(), **_second(), **_third(), **_fourth(), **_models()}

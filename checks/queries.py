@@ -234,7 +234,10 @@ def sample(spark, sf):
 
 
 def label_file(spark, sf):
-    return fx.answers(spark, sf).select(F.col("label_id").alias("session_id"), "correct")
+    """Labels as the file holds them, written and read by the label reader."""
+    path = scratch_path(spark)
+    fx.answers(spark, sf).select(F.col("label_id").alias("session_id"), "correct").write.parquet(path)
+    return tables.read_labels(spark, path)
 
 
 def stamped_sessions(spark, sf):
@@ -371,7 +374,7 @@ THIRD = {
 
 
 def keep_in(spark, sf):
-    return lambda name, build: written(spark, f"{sf}/features/{name}", build)
+    return lambda name, build, of=None: written(spark, f"{sf}/features/{name}", build)
 
 
 def features(spark, sf):
@@ -416,9 +419,11 @@ def pruned(spark, sf):
 
 
 def name_list(spark):
-    path = scratch_path(spark)
-    spark.createDataFrame([(json.dumps(DROPPED),)], "value string").coalesce(1).write.text(path)
-    return tables.read_name_list(spark, path)
+    """One list of names for each group, the groups' lists read from their own files."""
+    folder = scratch_path(spark)
+    for i, (group, names) in enumerate(DROPPED.items()):
+        spark.createDataFrame([(json.dumps(list(names)),)], "value string").coalesce(1).write.text(f"{folder}/{i}")
+    return tables.read_group_lists(spark, {group: f"{folder}/{i}" for i, group in enumerate(DROPPED)})
 
 
 def cumulative_group_merge(spark, sf):
@@ -451,11 +456,11 @@ FOURTH = {
 
 # --- models ---------------------------------------------------------------------
 
-BOOSTED = models.ModelOptions(overrides={"n_estimators": 3, "max_depth": 2, "learning_rate": 0.1})
-EARLY = models.ModelOptions(params=BOOSTED_EARLY_STOP_PARAMS, overrides={"n_estimators": 5, "max_depth": 2, "learning_rate": 0.1})
-FOREST = models.ModelOptions(kind="forest", params=FOREST_PARAMS, overrides={"n_estimators": 10})
+# The presets but for the number of boosted trees (FIXTURES.md).
+BOOSTED = models.ModelOptions(overrides={"n_estimators": 3})
+EARLY = models.ModelOptions(params=BOOSTED_EARLY_STOP_PARAMS, overrides={"n_estimators": 4})
+FOREST = models.ModelOptions(kind="forest", params=FOREST_PARAMS)
 WEIGHTED = models.ModelOptions(overrides=BOOSTED.overrides, weights=(0.5, 0.8, 1.5))
-ONE_PER_GROUP = (1, 4, 14)
 
 
 def vectors(spark, sf):
@@ -466,10 +471,15 @@ def vectors(spark, sf):
     return remembered(spark, f"{sf}/vectors", build)
 
 
+def scores_given(predictions):
+    """Every score once, and whether it is a probability."""
+    return predictions.select("session_id", "q", F.coalesce(F.col("p").between(0, 1), F.lit(False)).alias("valid"))
+
+
 def validation(options, questions=QUESTIONS):
     def run(spark, sf):
         result = training.run_validation(spark, vectors(spark, sf), fx.answers(spark, sf), options, questions)
-        return result.predictions
+        return scores_given(result.predictions)
 
     return run
 
@@ -477,29 +487,19 @@ def validation(options, questions=QUESTIONS):
 def train_final(spark, sf):
     labels, path = fx.answers(spark, sf), scratch_path(spark)
     groups = vectors(spark, sf)
-    training.train_final(spark, groups, labels, labels, BOOSTED, path, ONE_PER_GROUP)
-    return training.score_saved(spark, path, groups, ONE_PER_GROUP, labels.select("session_id", "q", "p"))
+    training.train_final(spark, groups, labels, labels, BOOSTED, path)
+    return scores_given(training.score_saved(spark, path, groups, QUESTIONS, labels.select("session_id", "q", "p")))
 
 
 def save_models(spark, sf):
     """Metadata of saved fold models, read back from the saved models."""
     result = training.run_validation(
-        spark, vectors(spark, sf), fx.answers(spark, sf), BOOSTED, ONE_PER_GROUP, save_models=True
+        spark, vectors(spark, sf), fx.answers(spark, sf), BOOSTED, save_models=True
     )
     loaded = [(q, k, models.rounds_of(PipelineModel.load(path))) for (q, k), path in sorted(result.models.items())]
-    return spark.createDataFrame(loaded, "q int, fold int, rounds int").join(result.rounds, ["q", "fold"])
-
-
-def training_plan(spark, sf):
-    """Resolved parameters of each question beside its number of training sessions."""
-    rows = [
-        (q, name, str(value))
-        for q in QUESTIONS
-        for name, value in sorted(models.resolve_params(models.ModelOptions(), q).items())
-    ]
-    params = spark.createDataFrame(rows, "q int, parameter string, value string")
-    asked = fx.answers(spark, sf).groupBy("q").agg(F.count("correct").alias("sessions"))
-    return asked.join(F.broadcast(params), "q")
+    saved = spark.createDataFrame(loaded, "q int, fold int, rounds int").join(result.rounds, ["q", "fold"])
+    asked = fx.answers(spark, sf).select("q").distinct()
+    return saved.join(asked, "q").select("q", "fold", (F.col("rounds") == F.col("best_iteration")).alias("same_rounds"), "rounds")
 
 
 def room_grid_pca(spark, sf):
@@ -509,12 +509,11 @@ def room_grid_pca(spark, sf):
 
 
 MODELS = {
-    "resolve_params": training_plan,
     "room_grid_pca": room_grid_pca,
     "oof_boosted": validation(BOOSTED),
-    "oof_forest": validation(FOREST, ONE_PER_GROUP),
-    "oof_boosted_early_stop": validation(EARLY, ONE_PER_GROUP),
-    "oof_weighted": validation(WEIGHTED, ONE_PER_GROUP),
+    "oof_forest": validation(FOREST),
+    "oof_boosted_early_stop": validation(EARLY),
+    "oof_weighted": validation(WEIGHTED),
     "train_final": train_final,
     "save_models": save_models,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionweave.functions.expressions import hash_int
+from sessionweave.workspace import materialised
 from sessionweave.operators.skew import SkewProfile, join_sessions
 
 
@@ -30,7 +31,17 @@ def sample_sessions(log: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """``n`` whole sessions' ids, chosen by a seeded hash of the id."""
     ids = log.select("session_id").distinct()
     order = F.md5(F.concat(F.col("session_id").cast("string"), F.lit(f":{seed}")))
-    return ids.orderBy(order, "session_id").limit(n)
+    ids = materialised(ids.select("session_id", order.alias("_o"), F.conv(F.substring(order, 1, 4), 16, 10).cast("int").alias("_b")))
+    before, cut = 0, None  # 65,536 prefixes of the hash: the one in which the n-th session lies
+    for b, count in sorted(tuple(r) for r in ids.groupBy("_b").count().collect()):
+        if before + count >= n:
+            cut = b
+            break
+        before += count
+    if cut is None:
+        return ids.select("session_id")
+    last = ids.where(F.col("_b") == cut).orderBy("_o", "session_id").limit(n - before)
+    return ids.where(F.col("_b") < cut).unionByName(last).select("session_id")
 
 
 def restrict_to(rows: DataFrame, sessions: DataFrame, skew: SkewProfile) -> DataFrame:

@@ -193,8 +193,20 @@ def keep_features(features: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def drop_listed(table: DataFrame, names: DataFrame) -> DataFrame:
-    """Drop the features of a one-column name table; unknown names do nothing."""
-    return table.join(names.select("feature").distinct(), "feature", "left_anti")
+    """Drop the features of a name table, in the groups it names or, without ``level_group``, in all; unknown names do nothing."""
+    keys = [c for c in ("level_group", "feature") if c in names.columns]
+    return table.join(names.select(*keys).distinct(), keys, "left_anti")
+
+
+def current_names(names: DataFrame) -> DataFrame:
+    """A name table with the names of RENAMED replaced by those in use."""
+    shapes = {"event": "(.+)", "level": "([0-9]+)", "S": "(grp.+)"}
+    feature = F.col("feature")
+    for old, new in RENAMED.items():
+        fields = re.findall(r"\{(\w+)\}", old)
+        pattern = "^" + re.sub(r"\{(\w+)\}", lambda m: shapes[m[1]], old) + "$"
+        feature = F.regexp_replace(feature, pattern, re.sub(r"\{(\w+)\}", lambda m: f"${fields.index(m[1]) + 1}", new))
+    return names.withColumn("feature", feature)
 
 
 def feature_catalog(summary: DataFrame, kept: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from sessionweave.functions.expressions import nearest_index
 from sessionweave.operators.skew import SkewProfile, keys_over, split_hot
+from sessionweave.workspace import materialised
 
 
-ARRAY_ROWS = 1_000_000
-# Large sessions are broadcast as a list up to this many; there are at most total / ARRAY_ROWS.
-MAX_LISTED = 2_000_000
+# The largest session whose values may sit in arrays: a task gathers several such sessions at a time.
+ARRAY_ROWS = 20_000
 
 
 def quantile_name(column: str, share: float) -> str:
@@ -40,9 +40,7 @@ def nearest_quantiles(
         return _by_arrays(df, keys, columns, shares)
     if array_rows <= 0:
         return _by_counts(df, keys, columns, shares, skew)
-    large = keys_over(df, [session], array_rows)
-    if skew.total // array_rows <= MAX_LISTED:
-        large = F.broadcast(large)
+    large = materialised(keys_over(df, [session], array_rows))  # its size decides how it is joined
     small_rows, large_rows = df.join(large, [session], "left_anti"), df.join(large, [session], "left_semi")
     return _by_arrays(small_rows, keys, columns, shares).unionByName(_by_counts(large_rows, keys, columns, shares, skew))
 

@@ -3,9 +3,8 @@
 One session may hold a large share of the log, so no window may hold a whole
 session. A session with more than ``limit`` rows is cut into ordered chunks of
 about ``limit / 2`` rows; windows run per (session, chunk) and the few values that
-cross a chunk border are aggregated apart and joined back. ``limit`` grows with
-the log so that there are never more than ``MAX_HOT`` such sessions: that bounds
-every table broadcast here.
+cross a chunk border are aggregated apart and joined back. The limit is the same
+for every log, so no task's window grows with it.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 from sessionweave.workspace import materialised
 
 ROWS_PER_TASK = 1_000_000
-MAX_HOT = 20_000
 
 
 @dataclass(frozen=True)
@@ -45,7 +43,7 @@ def profile(df: DataFrame, key: str = "session_id", rows_per_task: int = ROWS_PE
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.coalesce(F.max("n"), F.lit(0)).alias("largest"))
         .first()
     )
-    return SkewProfile(row.total, row.largest, max(rows_per_task, row.total // MAX_HOT))
+    return SkewProfile(row.total, row.largest, rows_per_task)
 
 
 def keys_over(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
@@ -54,7 +52,7 @@ def keys_over(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, keys: list[str], skew: SkewProfile) -> DataFrame:
-    """Keys above the profile's limit, of which there are at most ``MAX_HOT``."""
+    """Keys above the profile's limit: at most ``total / limit``."""
     return keys_over(df, keys, skew.limit)
 
 

@@ -16,10 +16,10 @@ KEYS = stats.KEYS
 SHARES = (0.1, 0.2, 0.4, 0.6, 0.8, 0.9)
 VALUE_SHARES = (0.2, 0.7, 0.9)
 
-Keep = Callable[[str, Callable[[], DataFrame]], DataFrame]
+Keep = Callable[..., DataFrame]
 
 
-def _lazy(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _lazy(name: str, build: Callable[[], DataFrame], of: DataFrame | None = None) -> DataFrame:
     return build()
 
 
@@ -42,9 +42,9 @@ class Dictionaries:
 
 def fit_dictionaries(log: DataFrame, params: FeatureParams, keep: Keep = _lazy) -> Dictionaries:
     sessions = combos.group_sessions(log)
-    fqid = keep("fqid_cells", lambda: combos.combo_cells(log, combos.FQID_COMBO))
-    text = keep("text_cells", lambda: combos.combo_cells(log, combos.TEXT_COMBO))
-    navigate = keep("navigate_cells", lambda: clicks.navigate_cells(log, params))
+    fqid = keep("fqid_cells", lambda: combos.combo_cells(log, combos.FQID_COMBO), of=log)
+    text = keep("text_cells", lambda: combos.combo_cells(log, combos.TEXT_COMBO), of=log)
+    navigate = keep("navigate_cells", lambda: clicks.navigate_cells(log, params), of=log)
     return Dictionaries(
         keep("flr_list", lambda: combos.mine_combos(fqid, sessions, combos.FQID_COMBO, params.support)),
         keep("tl_list", lambda: combos.mine_combos(text, sessions, combos.TEXT_COMBO, params.text_support)),
@@ -115,8 +115,8 @@ def session_features(
     if params.version >= 2 or params.room_click:
         fitted = fitted or fit_dictionaries(x, params, keep)
     if params.version >= 2:
-        fqid = keep("fqid_cells", lambda: combos.combo_cells(x, combos.FQID_COMBO))
-        text = keep("text_cells", lambda: combos.combo_cells(x, combos.TEXT_COMBO))
+        fqid = keep("fqid_cells", lambda: combos.combo_cells(x, combos.FQID_COMBO), of=x)
+        text = keep("text_cells", lambda: combos.combo_cells(x, combos.TEXT_COMBO), of=x)
         blocks += [
             longtable.melt(
                 combos.combo_features(fqid, fitted.flr_list, combos.FQID_COMBO),
@@ -137,11 +137,11 @@ def session_features(
         blocks.append(longtable.melt_columns(levels.level_time_features(x, params)))
     if params.cut_above:
         late = x.where(F.col("level_group").isin(list(params.above_groups)))
-        above = keep("above", lambda: levels.above_threshold_features(late, params, skew))
+        above = keep("above", lambda: levels.above_threshold_features(late, params, skew), of=x)
         blocks.append(longtable.melt(above, "above", longtable.ABOVE_TEMPLATES, F.col("value")))
         members["above"] = above
     if params.room_click:
-        cells = keep("navigate_cells", lambda: clicks.navigate_cells(x, params))
+        cells = keep("navigate_cells", lambda: clicks.navigate_cells(x, params), of=x)
         counts = clicks.navigate_category_counts(cells, fitted.navigate_master, params)
         name = F.concat_ws("_", "room_fqid", F.col("category").cast("string"))
         blocks.append(longtable.melt(counts, "navigate", longtable.NAVIGATE_TEMPLATES, name))

@@ -58,9 +58,10 @@ class RunOptions:
     features: FeatureParams = field(default_factory=FeatureParams)
     model: models.ModelOptions = field(default_factory=models.ModelOptions)
     merge: bool = False
-    drop_list: str | None = None
+    drop_list: str | dict[str, str] | None = None  # one file for all groups, or a file for each
     noise: int = 0
     oof_file: str | None = None
+    zero_start: bool = False
     questions: Sequence[int] = QUESTIONS
     folds: int = 2
     seed: int = 42
@@ -107,7 +108,10 @@ def make_features(
     made = session_features(log, options.features, data.skew, dictionaries, space.keep)
     made.rows = space.keep("rows", lambda: made.rows, ("level_group",))
     made.members = space.keep("members", lambda: made.members)
-    drop = tables.read_name_list(spark, options.drop_list) if options.drop_list else None
+    lists = options.drop_list
+    if isinstance(lists, str):
+        lists = {group: lists for group in options.features.level_groups}
+    drop = tables.read_group_lists(spark, lists) if lists else None
     return selected_features(made, options.features, drop, options.merge, options.noise, space.keep)
 
 
@@ -129,7 +133,7 @@ def run(spark: SparkSession, path: str, output: str, name: str = "run", options:
     selection = make_features(spark, data, options, space)
     groups = training.group_tables(spark, selection, options.features.level_groups)
 
-    start = None
+    start = training.starting_scores(groups, zero=True) if options.zero_start else None
     if options.oof_file:
         start = tables.oof_rows(tables.read_oof_csv(spark, options.oof_file, QUESTIONS), QUESTIONS)
     result = training.run_validation(
@@ -139,7 +143,8 @@ def run(spark: SparkSession, path: str, output: str, name: str = "run", options:
     mean_rounds = models.mean_best_iterations(result.rounds)
     tables.write_csv(mean_rounds, f"{output}/{name}/best_num_trees")
 
-    best, by_question = evaluate_scores(result.predictions, data, options.fixed_threshold)
+    asked = result.predictions.where(F.col("q").isin(list(options.questions)))
+    best, by_question = evaluate_scores(asked, data, options.fixed_threshold)
     overall = best.first()
     scores = best.select(F.lit("overall").alias("score"), "macro_f1").unionByName(
         by_question.select(F.concat(F.lit("q"), F.col("q").cast("string")).alias("score"), "macro_f1")
@@ -153,6 +158,7 @@ def run(spark: SparkSession, path: str, output: str, name: str = "run", options:
             "questions": list(options.questions),
             "kind": options.model.kind,
             "params": options.model.params,
+            "ignored": models.ignored_params(models.resolve_params(options.model, options.questions[0])),
             "threshold": overall.threshold,
         },
     )
@@ -161,11 +167,7 @@ def run(spark: SparkSession, path: str, output: str, name: str = "run", options:
     if any(models.wants_early_stop(final, q) for q in options.questions):
         # One row per question.
         final = replace(final, best_rounds={r.q: max(1, r.best_iteration) for r in mean_rounds.collect()})
-    scores_so_far = result.predictions
-    if len(options.questions) < len(QUESTIONS):
-        rest = start if start is not None else training.starting_scores(groups)
-        scores_so_far = rest.where(~F.col("q").isin(list(options.questions))).unionByName(result.predictions)
     saved = training.train_final(
-        spark, groups, data.labels, scores_so_far, final, f"{output}/{name}/final", options.questions, overall.threshold
+        spark, groups, data.labels, result.predictions, final, f"{output}/{name}/final", options.questions, overall.threshold
     )
     return RunResult(result.predictions, best, by_question, result.rounds, saved)

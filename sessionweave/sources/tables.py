@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionweave.operators import longtable
+
 UNUSED = ("fullscreen", "hq", "music")
 
 FQID_COMBO_SCHEMA = "level_group string, fqid string, level int, room_fqid string"
@@ -53,6 +55,12 @@ def read_name_list(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(F.from_json("value", "array<string>")).alias("feature"))
 
 
+def read_group_lists(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """Name lists of several groups as ``(level_group, feature)``; names that changed are given as they are now."""
+    lists = [read_name_list(spark, path).select(F.lit(group).alias("level_group"), "feature") for group, path in paths.items()]
+    return longtable.current_names(longtable.stack_blocks(lists))
+
+
 def read_params(spark: SparkSession, path: str) -> dict:
     """A JSON parameter file: a handful of numbers, read on the driver."""
     return json.loads(spark.read.text(path, wholetext=True).first().value)

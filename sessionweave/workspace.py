@@ -49,23 +49,56 @@ def bucketed(df: DataFrame, column: str) -> DataFrame:
     return spark.table(name)
 
 
+def _origin(df: DataFrame) -> int | None:
+    """A number for the files a table is read from; None if it is read from none."""
+    files = df.inputFiles()  # names only
+    return hash(tuple(sorted(files))) if files else None
+
+
 class Workspace:
-    """Tables written by one job, by name."""
+    """Tables written by one job, by name.
+
+    A workspace belongs to one log: a table made ``of`` a log is not handed out for
+    another one. Close it, or use it in a ``with``, to remove what it wrote.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._tables: dict[str, tuple] = {}
         self._values: dict[str, object] = {}
+        self._origins: dict[str, int | None] = {}
 
-    def keep(self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> DataFrame:
-        """Table ``name``, built and written on first use."""
+    def keep(
+        self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = (), of: DataFrame | None = None
+    ) -> DataFrame:
+        """Table ``name``, built and written on first use; an error if it was made of another log than ``of``."""
+        origin = None if of is None else _origin(of)
         if name not in self._tables:
             table, path = build(), scratch_path(self.spark)
             table.write.partitionBy(*partition_by).parquet(path)
             self._tables[name] = (path, table.schema)
+            self._origins[name] = origin
+        elif self._origins[name] != origin and None not in (self._origins[name], origin):
+            raise ValueError(f"table {name!r} of this workspace belongs to another log: use a workspace for each log")
         path, schema = self._tables[name]
         return self.spark.read.schema(schema).parquet(path)
 
+    def close(self) -> None:
+        """Remove the tables written here; what was read from them cannot be used any more."""
+        jvm = self.spark._jvm
+        for path, _ in self._tables.values():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self._tables.clear()
+        self._origins.clear()
+        self._values.clear()
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def remember(self, name: str, compute: Callable[[], object]) -> object:
         """A small driver-side value, computed on first use."""
         if name not in self._values:

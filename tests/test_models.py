@@ -78,7 +78,7 @@ def test_out_of_fold_scores(spark, sf, groups, options):
     result = training.run_validation(spark, groups, fx.answers(spark, sf), options, questions, save_models=options is q.BOOSTED)
     got = result.predictions.collect()
     sessions = fx.sessions(spark, sf).count()
-    assert len(got) == len({(r.session_id, r.q) for r in got}) == sessions * len(questions)
+    assert len(got) == len({(r.session_id, r.q) for r in got}) == sessions * 18
     assert all(0.0 <= r.p <= 1.0 for r in got)
     assert result.rounds.count() == 6
     if options is q.BOOSTED:
@@ -90,7 +90,7 @@ def test_scores_come_from_models_that_did_not_see_the_session(spark, sf, groups)
     sessions = cleaning.assign_folds(fx.sessions(spark, sf), 2)
     labels = sessions.select("session_id", F.lit(1).alias("q"), F.col("fold").alias("correct"))
     result = training.run_validation(spark, groups, labels, q.FOREST, (1,), folds=2)
-    joined = result.predictions.join(sessions, "session_id").collect()
+    joined = result.predictions.where("q = 1").join(sessions, "session_id").collect()
     assert all(abs(r.p - (1 - r.fold)) < 1e-6 for r in joined)
 
 
@@ -98,7 +98,7 @@ def test_saved_models_score_as_trained(spark, sf, groups):
     labels, path = fx.answers(spark, sf), scratch_path(spark)
     training.train_final(spark, groups, labels, labels, q.BOOSTED, path, (1, 2))
     scores = training.score_saved(spark, path, groups, (1, 2), labels.select("session_id", "q", "p"))
-    assert scores.count() == 2 * fx.sessions(spark, sf).count()
+    assert scores.where("q <= 2").count() == 2 * fx.sessions(spark, sf).count()
     meta = {r.q: r for r in spark.read.parquet(f"{path}/metadata").collect()}
     assert meta[2].inputs == ["features", "p_q1"] and meta[1].level_group == "0-4" and meta[1].features == ["n", "m"]
 
@@ -184,3 +184,35 @@ def test_run_results_append(spark, tmp_path):
         tables.append_run_result(scores, run, str(tmp_path / "runs"), {"folds": 2})
     back = tables.read_run_results(spark, str(tmp_path / "runs"))
     assert {(r.run, r.value, r.options) for r in back.collect()} == {("a", 0.7, '{"folds": 2}'), ("b", 0.7, '{"folds": 2}')}
+
+
+def test_early_stopping_keeps_the_best_round_within_patience(spark):
+    assert models.best_round([0.9, 0.8, 0.85, 0.7], 1) == 2
+    assert models.best_round([0.9, 0.8, 0.85, 0.7], 5) == 4
+    assert models.best_round([0.5, 0.6, 0.7], 2) == 1
+    rows = spark.range(400).select(
+        F.col("id").alias("session_id"), ((F.col("id") * 7) % 10 < 6).cast("int").alias("correct"), (F.col("id") % 10).cast("double").alias("x")
+    )
+    params = {"base": {"learning_rate": 0.02, "max_depth": 2, "early_stopping_rounds": 5}, "n_estimators": [12]}
+    options = models.ModelOptions(params=params)
+    kept = models.fit_stopped(rows.where("session_id < 200"), rows.where("session_id >= 200"), ["x"], options, 1, False)
+    assert models.rounds_of(kept) == 12
+    noise = rows.withColumn("correct", F.when(F.col("session_id") < 200, F.col("correct")).otherwise(1 - F.col("correct")))
+    stopped = models.fit_stopped(noise.where("session_id < 200"), noise.where("session_id >= 200"), ["x"], options, 1, False)
+    assert models.rounds_of(stopped) == 1
+
+
+def test_unknown_parameters_are_errors():
+    with pytest.raises(ValueError, match="no_such"):
+        models.spark_params({"n_estimators": 1, "no_such": 2}, "boosted")
+    assert models.ignored_params({"alpha": 8, "max_depth": 3}) == ["alpha"]
+
+
+def test_sessions_without_rows_keep_their_starting_score(spark, sf, groups):
+    lone = spark.createDataFrame([(-5,)], "session_id long")
+    start = chain.oof_init(lone.unionByName(fx.sessions(spark, sf)))
+    result = training.run_validation(spark, groups, fx.answers(spark, sf), q.BOOSTED, (1,), start=start)
+    got = {r.q: r.p for r in result.predictions.where("session_id = -5").collect()}
+    assert got == {r.q: r.p for r in chain.oof_init(lone).collect()} and len(got) == 18
+    zeros = training.starting_scores(groups, zero=True)
+    assert zeros.where("p <> 0").count() == 0 and zeros.count() == 18 * fx.sessions(spark, sf).count()

@@ -6,7 +6,6 @@ import __spark_entry__ as entry
 from checks.compare import compare, connect
 
 ORACLES = entry.oracle_sql()
-MODELS = {"oof_boosted", "oof_forest", "oof_boosted_early_stop", "oof_weighted", "train_final", "save_models"}
 
 
 @pytest.fixture(scope="module")

@@ -12,7 +12,8 @@ from sessionweave.operators import models
 from sessionweave.plans import run as runs
 from sessionweave.plans.features import fit_dictionaries, session_features
 from sessionweave.sources import tables
-from sessionweave.workspace import Workspace
+from sessionweave.operators import longtable
+from sessionweave.workspace import Workspace, materialised
 from tests.conftest import rows
 
 SMALL = replace(PARAMS, version=2, time_parts=1)
@@ -54,7 +55,7 @@ def test_whole_run(spark, files, tmp_path):
     )
     result = runs.run(spark, files, str(tmp_path), "first", options)
     sessions = runs.load_dataset(spark, files, options.load).log.select("session_id").distinct().count()
-    assert result.predictions.count() == 2 * sessions
+    assert result.predictions.count() == 18 * sessions
     assert {r.q for r in result.by_question.collect()} == {1, 4}
     assert {r.score for r in tables.read_run_results(spark, f"{tmp_path}/runs").collect()} == {"overall", "q1", "q4"}
     meta = {r.q: r for r in spark.read.parquet(f"{result.models}/metadata").collect()}
@@ -129,3 +130,25 @@ def test_feature_names(spark, sf):
     }
     assert expected <= names, expected - names
     assert not any("fqid_None" in n and "_ET_sum" not in n and "_counts" not in n and "ET_count" not in n for n in names)
+
+
+def test_a_workspace_belongs_to_one_log(spark, sf):
+    log, skew = fx.log(spark, sf), fx.skew(spark, sf)
+    first, second = (materialised(log.where(f"session_id % 2 = {i}")) for i in (0, 1))
+    with Workspace(spark) as space:
+        fitted = fit_dictionaries(first, PARAMS, space.keep)
+        with pytest.raises(ValueError, match="another log"):
+            session_features(second, PARAMS, skew, fitted, space.keep)
+        with Workspace(spark) as other:
+            made = session_features(second, PARAMS, skew, fitted, other.keep)
+            got = made.rows.where("block = 'navigate' or feature like '%navigate%'").select("session_id").distinct()
+            assert made.rows.where("session_id % 2 = 0").isEmpty() and not got.isEmpty()
+        path = space._tables["fqid_cells"][0]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_listed_names_follow_renamings(spark):
+    names = spark.createDataFrame([("click_3_ET_min_grp0-4",), ("map_hover_ET_min_grp0-4",), ("click_same_over5_count_grp0-4",)], "feature string")
+    got = {r.feature for r in longtable.current_names(names).collect()}
+    assert got == {"click_3_count_grp0-4", "map_hover_ET_min_grp0-4", "click_same_over_grp0-4"}
