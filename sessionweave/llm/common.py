@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionweave.workspace import materialised, scratch_path, shared_folder
+from sessionweave.workspace import materialised, scratch_path, shared_folder  # noqa: F401
 
-__all__ = ["materialised", "scratch_path", "shared_folder", "table", "words", "row_key", "text_or_empty"]
 
 #: White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = " \t\n\x0b\f\r"
-#: A document of fewer characters never costs enough to be worth a finer split.
 WORD_BREAK = "[ \\t-\\r]+"
 
 
+#: Bytes of an Arrow batch between the JVM and a Python worker, unless the session sets its own.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARK_DEFAULT = "67108864b"
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, after the session has been told to send its rows to Python in small batches.
+
+    A batch is held several times over (as Arrow, as Python strings, as arrays), in
+    every worker of an executor, and the text of a row is never cut.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING, _SPARK_DEFAULT) == _SPARK_DEFAULT:
+        conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,10 +40,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
 
 
-def text_or_empty(text: Column) -> Column:
-    return F.coalesce(text, F.lit(""))
-
-
 def most_frequent(rows: DataFrame, count: str, most: int) -> DataFrame:
     """Rows with the greatest ``count``, at most ``most`` of them.
 

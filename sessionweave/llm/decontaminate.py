@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import materialised
+from sessionweave.llm.common import bounded_batches, materialised
 from sessionweave.llm.fingerprints import K, PUNCTUATION, shingled, word_lists
 
 SIMILARITY = 0.8
@@ -194,7 +194,7 @@ def _one_pass(docs: DataFrame, items: DataFrame, kinds: list[str]) -> DataFrame:
             names = ["doc_id", "item_id", "start", "words", "distance", "similarity"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
-    return docs.select("doc_id", "text").mapInArrow(search, HITS.format(kind=kinds[0], item=kinds[1]))
+    return bounded_batches(docs).select("doc_id", "text").mapInArrow(search, HITS.format(kind=kinds[0], item=kinds[1]))
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

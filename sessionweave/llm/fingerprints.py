@@ -15,7 +15,7 @@ import pyarrow as pa
 
 K = 5
 #: Bytes of text that are hashed at a time (a longer text is taken whole).
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True

@@ -17,6 +17,8 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from sessionweave.llm.common import bounded_batches
+
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
     "boilerplate", "article", "heading", "article_on_page",
@@ -259,4 +261,4 @@ def extracted(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
     spec = f"page_id {kinds[0]}, url {kinds[1]}, text string, n_chars long"
-    return pages.select("page_id", "url", "html").mapInArrow(extract, spec)
+    return bounded_batches(pages).select("page_id", "url", "html").mapInArrow(extract, spec)

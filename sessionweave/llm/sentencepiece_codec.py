@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import materialised
+from sessionweave.llm.common import bounded_batches, materialised, most_frequent
 
 MARK = "▁"
 #: Rows of the chunk table that every task gets, and the longest chunk among them: at most about 10 MB.
 HEAD_ROWS = 1 << 16
 LONGEST = 32
 #: Distinct chunks a task keeps before it lets them go.
-TASK_ROWS = 300_000
+TASK_ROWS = 150_000
 
 _CHUNK = re.compile(" +[^ ]*")
 
@@ -105,14 +105,14 @@ def chunk_table(docs: DataFrame, model: bytes) -> DataFrame:
             columns = [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32())), decoded]
             yield pa.RecordBatch.from_arrays(columns, ["chunk", "n", "ids", "decoded"])
 
-    counted = docs.select("text").mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    counted = bounded_batches(docs).select("text").mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
     return materialised(counted.mapInArrow(encode, "chunk string, n long, ids array<int>, decoded string"))
 
 
 def head_of(chunk_rows: DataFrame, rows: int = HEAD_ROWS) -> dict:
-    """The most frequent ``rows`` chunks with ids as text and decoded text."""
+    """The most frequent chunks, ``rows`` at most, with ids as text and decoded text."""
     ids = F.concat(F.lit(" "), F.array_join(F.col("ids").cast("array<string>"), " "))
-    top = chunk_rows.orderBy(F.desc("n"), "chunk").limit(rows).select("chunk", ids.alias("ids"), "decoded")
+    top = most_frequent(chunk_rows, "n", rows).select("chunk", ids.alias("ids"), "decoded")
     found = top.toArrow()
     return dict(zip(found["chunk"].to_pylist(), zip(found["ids"].to_pylist(), found["decoded"].to_pylist())))
 

@@ -26,9 +26,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import materialised
+from sessionweave.llm.common import bounded_batches, materialised
 
-#: Most labelled documents that terms, label model and classifier are fitted on (lowest hashes first).
+#: Most labelled documents that terms, label model and classifier are fitted on (a hash range).
 MAX_LABELLED = 10_000
 #: Most terms learned from them; a term needs TERM_DOCUMENTS and a TERM_SHARE of the
 #: toxic documents and an odds ratio of TERM_ODDS.
@@ -122,7 +122,7 @@ def voted(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "votes", "hits", "distinct", "n_words"])
 
     spec = f"doc_id {kind}, votes int, hits int, distinct int, n_words int"
-    return materialised(docs.select("doc_id", "text").mapInArrow(vote, spec))
+    return materialised(bounded_batches(docs).select("doc_id", "text").mapInArrow(vote, spec))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -133,7 +133,12 @@ def training_labels(labels: DataFrame) -> DataFrame:
     """``doc_id, toxic`` of at most MAX_LABELLED labelled documents outside the held-out third; one label each."""
     rows = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     rows = rows.groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    return materialised(rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED))
+    rows = materialised(rows)
+    share = MAX_LABELLED / max(1, rows.count())
+    if share < 1:  # a hash range of nearly that share; the limit only bounds what chance adds
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+        rows = materialised(rows.where(place < int(0.95 * share * (1 << 30))).limit(MAX_LABELLED))
+    return rows
 
 
 def learned_terms(docs: DataFrame, labels: DataFrame) -> set[str]:
@@ -157,7 +162,7 @@ def learned_terms(docs: DataFrame, labels: DataFrame) -> set[str]:
             columns = [pa.array(terms, pa.string()), *(pa.array([found[c][t] for t in terms], pa.int64()) for c in (1, 0))]
             yield pa.RecordBatch.from_arrays(columns, ["term", "bad", "good"])
 
-    rows = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("toxic", "text")
+    rows = bounded_batches(docs).select("doc_id", "text").join(F.broadcast(labels), "doc_id").select("toxic", "text")
     counted = rows.mapInArrow(count, "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = ((F.col("bad") + 0.5) / sizes[1]) / ((F.col("good") + 0.5) / sizes[0])
     share = max(TERM_DOCUMENTS, sizes[1] * TERM_SHARE)

@@ -21,7 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import materialised, scratch_path
+from sessionweave.llm.common import bounded_batches, materialised, scratch_path
 
 #: Payloads below this size are stored each time.
 LEAST_REVISIT = 1000
@@ -108,7 +108,7 @@ def roles(pages: DataFrame) -> DataFrame:
     page_id are all stored. Only digests are grouped, combined before they move.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    sized = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
+    sized = bounded_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     sized = sized.withColumn("payload_digest", F.sha1("payload"))
     large = F.octet_length("payload") >= LEAST_REVISIT
     groups = sized.where(large).groupBy(F.col("payload_digest").alias("_digest"))
