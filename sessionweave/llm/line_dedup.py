@@ -2,100 +2,120 @@
 
 Lines are cut into pieces after sentences and clauses and after words that end with
 certain letters, so that a passage in the middle of a line has pieces of its own.
-A rolling hash over the hashes of the last WINDOW pieces is taken at every piece; a
-piece whose rolling hash is least among REACH neighbours on both sides ends a
-chunk. Boundaries depend on nearby pieces only, so a passage shifted into other
-text keeps its inner chunks, and any passage of a few pieces has one. Chunks are
-grouped by hash over all documents; each repeated chunk is compared byte by byte
-with its first occurrence and extended piece by piece into both neighbouring
-chunks. Runs of repeated pieces of LEAST_WORDS words or more are removed, except
-where they occur first.
+A rolling hash over the hashes of the last two pieces is taken at every piece; a
+piece whose rolling hash is less than those of both neighbours ends a chunk.
+Boundaries depend on nearby pieces only, so a passage shifted into other text
+keeps its inner chunks. Chunks are grouped by hash over all documents. Successive
+chunks of a document that occur first as successive chunks of another form a run;
+its text is compared byte by byte with the first one and extended word by
+word into the chunks on both sides. Repeated stretches of LEAST_WORDS words or
+more are removed, except where they occur first.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import materialised
+from sessionweave.llm.common import bounded_batches, materialised
+from sessionweave.llm.fingerprints import _LETTER, _pieces, mixed, powers
 
 #: A piece ends at a line break, or after a word that ends with one of these.
-ENDS = ".!?;:,。、！？*%dyta"
-#: Pieces in a rolling hash, neighbours a boundary is least among, fewest words of a chunk of one or two pieces
-#: that is looked up (longer chunks all are).
-WINDOW, REACH, CHUNK_WORDS = 2, 1, 6
-#: Fewest words and pieces of a removed run.
-LEAST_WORDS, LEAST_PIECES = 40, 2
-#: Fewest words of a chunk with what it was extended by, for it to count in a run.
-LEAST_MATCH = 8
-#: A document of which less than this share of words is left is a copy and goes as a whole.
+ENDS = ".!?;:,*%dyta"
+#: Fewest words of a chunk of one or two pieces that is looked up (longer chunks all are).
+CHUNK_WORDS = 6
+#: Fewest words of a removed stretch, and of a run with what it was extended by for it to count.
+LEAST_WORDS, LEAST_MATCH = 40, 8
+#: A document of which less than this share of bytes is left is a copy and goes as a whole.
 LEFT = 0.2
-
-_END = re.compile(rf"[{ENDS}][ \t\n]+|\n+")
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
 #: Names a text: its doc_id and, should several texts share that, its checksum.
 KEY = ["_doc", "_crc"]
 NAMES = "_doc long, _crc long"
 
-
-def pieces(text: str) -> list[tuple[int, int]]:
-    """Start and end of every piece, white space after it included; together they are the text."""
-    ends = [m.end() for m in _END.finditer(text)]
-    if len(text) > (ends[-1] if ends else 0):
-        ends.append(len(text))
-    return list(zip([0, *ends], ends))
-
-
-def piece_hashes(text: str, places: list[tuple[int, int]]) -> np.ndarray:
-    """Hash of every piece without the white space around it."""
-    digest = xxhash.xxh3_64_intdigest
-    return np.array([digest(text[a:b].strip().encode("utf-8", "surrogatepass")) for a, b in places], np.uint64)
-
-
-def boundaries(hashes: np.ndarray) -> np.ndarray:
-    """Index of the first piece of each chunk, and the number of pieces at the end."""
-    n = len(hashes)
-    if not n:
-        return np.zeros(1, np.int64)
-    rolled = hashes.copy()
-    for k in range(1, WINDOW):
-        rolled[k:] = rolled[k:] * _STEP + hashes[:-k]
-    rolled ^= rolled >> np.uint64(29)
-    rolled *= _STEP
-    least = np.ones(n, bool)
-    for k in range(1, REACH + 1):
-        least[k:] &= rolled[k:] < rolled[:-k]
-        least[:-k] &= rolled[:-k] <= rolled[k:]
-    cut = np.flatnonzero(least) + 1
-    return np.unique(np.concatenate([[0], cut[cut < n], [n]]))
-
-
-def chunked(text: str) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """Pieces of a text, their hashes and the chunk boundaries."""
-    places = pieces(text)
-    hashes = piece_hashes(text, places)
-    return places, hashes, boundaries(hashes)
-
-
-def chunk_hash(hashes: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
+_WHITE = np.zeros(256, bool)
+_WHITE[[32, 9, 10]] = True
+_END = np.zeros(256, bool)
+_END[list(ENDS.encode())] = True
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _keys() -> list:
+@dataclass
+class Layout:
+    """Pieces (``start .. end`` in bytes) and chunks (first pieces, one more at the end) of a run of texts."""
+
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    doc: np.ndarray
+    index: np.ndarray
+    hash: np.ndarray
+    words: np.ndarray
+    word_at: np.ndarray
+
+
+def layout(data: np.ndarray, offsets: np.ndarray) -> Layout:
+    """Pieces and chunks of the texts ``data[offsets[i] : offsets[i + 1]]``; together the pieces are the texts."""
+    n = len(data)
+    if n == 0:
+        none = np.zeros(0, np.int64)
+        return Layout(none, none, np.zeros(1, np.int64), none, none, none, none, none)
+    full = offsets[1:] > offsets[:-1]
+    begins, last = np.zeros(n, bool), np.zeros(n, bool)
+    begins[offsets[:-1][full]] = True
+    last[offsets[1:][full] - 1] = True
+    white = _WHITE[data]
+    before, after = np.zeros(n, bool), np.zeros(n, bool)
+    before[1:], after[:-1] = white[:-1], white[1:]
+    opens = white & (~before | begins)
+    gap, close = np.flatnonzero(opens), np.flatnonzero(white & (~after | last)) + 1
+    lines = np.concatenate([[0], np.cumsum(data == 10)])
+    parts = (lines[close] > lines[gap]) | (_END[data[np.maximum(gap - 1, 0)]] & ~begins[gap]) | last[close - 1]
+    loose = np.flatnonzero(last & ~white) + 1
+    end = np.concatenate([close[parts], loose])
+    by = np.argsort(end, kind="stable")
+    end, inner = end[by], np.concatenate([gap[parts], loose])[by]
+    start = np.concatenate([[0], end[:-1]])
+    doc = np.searchsorted(offsets, start, "right") - 1
+
+    up, down = powers(n)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * up[:n], dtype=np.uint64)])
+    h = mixed((total[np.maximum(inner, start)] - total[start]) * down[start])
+    new = np.ones(len(h), bool)
+    new[1:] = doc[1:] != doc[:-1]
+    rolled = h.copy()
+    rolled[1:] += np.where(new[1:], np.uint64(0), h[:-1] * _STEP)
+    rolled = mixed(rolled)
+    left, right = new.copy(), np.ones(len(h), bool)
+    left[1:] |= rolled[1:] < rolled[:-1]
+    right[:-1] = new[1:] | (rolled[:-1] <= rolled[1:])
+    head = new.copy()
+    head[1:] |= (left & right)[:-1]
+    first = np.flatnonzero(head)
+    until = np.append(first[1:], len(h))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)])
+    chunks = mixed((sums[until] - sums[first]) * down[first])
+    word = np.concatenate([[0], np.cumsum(opens)])
+    words = word[np.maximum(inner[until - 1], start[first])] - word[start[first]] + 1
+    of = doc[first]
+    lead = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    index = np.arange(len(first)) - np.repeat(lead, np.diff(np.append(lead, len(first))))
+    return Layout(start, end, np.append(first, len(h)), of, index, chunks.view(np.int64), words, word[start])
+
+
+def _keys() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("_doc"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_crc")]
 
 
 def _joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on KEY, a null doc_id being equal to itself."""
     right = right.select(*[F.col(c).alias(f"r{c}") if c in KEY else F.col(c) for c in right.columns])
-    same = left["_crc"].eqNullSafe(right["r_crc"]) & left["_doc"].eqNullSafe(right["r_doc"])
+    same = F.col("_crc").eqNullSafe(F.col("r_crc")) & F.col("_doc").eqNullSafe(F.col("r_doc"))
     return left.join(right, same, how).drop("r_crc", "r_doc")
 
 
@@ -104,23 +124,21 @@ def chunk_index(docs: DataFrame) -> DataFrame:
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, found, at = [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                places, hashes, cuts = chunked(text or "")
-                for j, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-                    if b - a > 2 or text.count(" ", places[a][0], places[b - 1][1]) >= CHUNK_WORDS - 1:
-                        rows.append(i)
-                        found.append(chunk_hash(hashes[a:b]))
-                        at.append(j)
-            take = pa.array(rows, pa.int64())
-            columns = [batch.column(c).take(take) for c in range(2)] + [pa.array(found, pa.int64()), pa.array(at, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "h", "idx"])
+            base = 0
+            for data, offsets in _pieces(batch.column(2)):
+                found = layout(data, offsets)
+                long = (np.diff(found.first) > 2) | (found.words >= CHUNK_WORDS)
+                take = pa.array(found.doc[long] + base)
+                base += len(offsets) - 1
+                columns = [batch.column(c).take(take) for c in range(2)]
+                columns += [pa.array(found.hash[long]), pa.array(found.index[long].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, [*KEY, "h", "idx"])
 
-    return materialised(docs.select(*_keys(), "text").mapInArrow(index, f"{NAMES}, h long, idx int"))
+    return materialised(bounded_batches(docs).select(*_keys(), "text").mapInArrow(index, f"{NAMES}, h long, idx int"))
 
 
-def repeated_chunks(index: DataFrame) -> DataFrame:
-    """Rows of ``index`` whose hash occurs more than once, with ``first``: whether they are the first such chunk.
+def runs(index: DataFrame) -> DataFrame:
+    """``_doc, _crc, a, n, f_doc, f_crc, fa``: chunks ``a .. a+n-1`` occur first as ``fa ..`` of another place.
 
     First is the least doc_id, then checksum, then position. A hash of a third of all
     rows is counted before it moves, and its rows are joined to one row.
@@ -128,102 +146,146 @@ def repeated_chunks(index: DataFrame) -> DataFrame:
     place = F.struct(*KEY, "idx")
     groups = index.groupBy("h").agg(F.min(place).alias("lo"), F.count(F.lit(1)).alias("n")).where("n > 1")
     groups = materialised(groups.select("h", "lo"))
-    return index.join(groups, "h").select(*index.columns, (place == F.col("lo")).alias("first"))
+    rows = index.join(groups, "h").where(place != F.col("lo")).distinct()
+    rows = rows.select(*KEY, "idx", F.col("lo._doc").alias("f_doc"), F.col("lo._crc").alias("f_crc"), (F.col("lo.idx") - F.col("idx")).alias("d"))
+    order = W.partitionBy(*KEY).orderBy("idx")  # a document's own chunks
+    origin = F.struct("f_doc", "f_crc", F.col("idx") - 1, "d")
+    last = F.lag(F.struct("f_doc", "f_crc", "idx", "d")).over(order)
+    rows = rows.withColumn("_new", (~last.eqNullSafe(origin)).cast("int"))
+    rows = rows.withColumn("_run", F.sum("_new").over(order))
+    found = rows.groupBy(*KEY, "_run", "f_doc", "f_crc", "d").agg(F.min("idx").alias("a"), F.count(F.lit(1)).cast("int").alias("n"))
+    return materialised(found.select(*KEY, "a", "n", "f_doc", "f_crc", (F.col("a") + F.col("d")).alias("fa")))
+
+
+SLICE = "a int, n int, at int, word int, before string, text string, after string"
 
 
-def occurrences(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Texts of repeated chunks and their neighbours: one row per occurrence.
+def slices(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the runs ``_doc, _crc, a, n`` in ``wanted``, each once, with the chunks on both sides.
 
-    ``_doc, _crc, h, first, piece, before, text, after``: the pieces of the chunk before, of
-    the chunk and of the one after it, and the number of the chunk's first piece.
+    ``at`` and ``word`` are the byte and the word at which ``text`` starts.
     """
-    rows = repeated.select(*KEY, F.struct("idx", "h", "first").alias("c"))
-    wanted = rows.groupBy(*KEY).agg(F.collect_set("c").alias("chunks"))  # at most a document's own chunks
-    joined = _joined(docs.select(*_keys(), "text"), wanted).select(*KEY, "text", "chunks")
+    per = wanted.distinct().groupBy(*KEY).agg(F.collect_list(F.struct("a", "n")).alias("runs"))  # of one document
+    joined = _joined(docs.select(*_keys(), "text"), per).select(*KEY, "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
+        names = [*KEY, "a", "n", "at", "word", "before", "text", "after"]
         for batch in batches:
-            out: list[tuple] = []
-            for k1, k2, text, chunks in zip(*(c.to_pylist() for c in batch.columns)):
-                places, _, cuts = chunked(text)
-                part = lambda a, b: [text[s:e] for s, e in places[a:b]]  # noqa: B023, E731
-                for c in chunks:
-                    j = c["idx"]
-                    a, b = cuts[j], cuts[j + 1]
-                    low = cuts[j - 1] if j else a
-                    high = cuts[j + 2] if j + 2 < len(cuts) else b
-                    out.append((k1, k2, c["h"], c["first"], int(a), part(low, a), part(a, b), part(b, high)))
-                if len(out) > 2000:
-                    yield _occurrence_batch(out)
-                    out = []
-            yield _occurrence_batch(out)
-
-    return materialised(joined.mapInArrow(cut, f"{NAMES}, h long, first boolean, piece int, before array<string>, text array<string>, after array<string>"))
-
-
-def _occurrence_batch(rows: list[tuple]) -> pa.RecordBatch:
-    strings = pa.list_(pa.string())
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), strings, strings, strings]
-    columns = list(zip(*rows)) if rows else [()] * len(types)
-    names = [*KEY, "h", "first", "piece", "before", "text", "after"]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
-
-
-def _same(x: list[str], y: list[str]) -> bool:
-    return len(x) == len(y) and all(a.strip() == b.strip() for a, b in zip(x, y))
-
-
-def _alike(x, y) -> int:
-    """Pieces that two lists share from their start."""
+            rows: list[tuple] = []
+            for doc, crc, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
+                data = text.encode()
+                found = layout(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+                edge = np.append(found.start, len(data))[found.first]
+                for r in asked:
+                    a, b = r["a"], r["a"] + r["n"]
+                    low, high = edge[max(a - 1, 0)], edge[min(b + 1, len(edge) - 1)]
+                    part = [data[x:y].decode() for x, y in ((low, edge[a]), (edge[a], edge[b]), (edge[b], high))]
+                    rows.append((doc, crc, a, r["n"], int(edge[a]), int(found.word_at[found.first[a]]), *part))
+                if len(rows) > 1000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+    return materialised(joined.mapInArrow(cut, f"{NAMES}, {SLICE}"))
+
+
+def pieces(text: str) -> list[str]:
+    """Pieces of a text, white space after each included."""
+    data = text.encode()
+    found = layout(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    return [data[a:b].decode() for a, b in zip(found.start, found.end)]
+
+
+def same_text(x: str, y: str) -> bool:
+    """Equal apart from white space."""
+    return x == y or x.split() == y.split()
+
+
+def alike(x: list[str], y: list[str]) -> int:
+    """How many words two lists share from their start."""
     n = 0
     for a, b in zip(x, y):
-        if a.strip() != b.strip():
+        if a != b:
             break
         n += 1
     return n
 
 
-def repeated_runs(found: DataFrame) -> DataFrame:
-    """``_doc, _crc, a, b``: pieces ``a .. b-1`` of a document that repeat a first occurrence byte for byte."""
-    first = found.where("first").select("h", *[F.col(c).alias(f"f_{c}") for c in ("before", "text", "after")])
-    pairs = found.where("not first").join(first.dropDuplicates(["h"]), "h")
-    pairs = pairs.select(*KEY, "piece", "before", "text", "after", "f_before", "f_text", "f_after")
+def shared_end(x: str, y: str) -> tuple[str, int]:
+    """The end of ``x`` that has the words ``y`` ends with too, and their number."""
+    n = alike(x.split()[::-1], y.split()[::-1])
+    if not n:
+        return "", 0
+    parts = x.rsplit(None, n)
+    return x[len(parts[0]) :].lstrip() if len(parts) > n else x, n
+
+
+def shared_start(x: str, y: str) -> tuple[str, int]:
+    """The start of ``x`` that has the words ``y`` starts with too, and their number."""
+    n = alike(x.split(), y.split())
+    if not n:
+        return "", 0
+    parts = x.split(None, n)
+    return x[: len(x) - len(parts[n])] if len(parts) > n else x, n
+
+
+def repeats(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """``_doc, _crc, b0, b1, w0, w1``: bytes and words of each run that its first occurrence equals, with its extension."""
+    own = texts.select(*KEY, "a", "n", "at", "word", "before", "text", "after")
+    first = texts.select(F.col("_doc").alias("f_doc"), F.col("_crc").alias("f_crc"), F.col("a").alias("fa"), "n", *[F.col(c).alias(f"f_{c}") for c in ("before", "text", "after")])
+    pairs = _joined(found, own.withColumnsRenamed({"a": "oa", "n": "on"})).where("a = oa and n = on")
+    x, y = pairs.alias("x"), first.alias("y")
+    same = F.col("x.f_crc").eqNullSafe(F.col("y.f_crc")) & F.col("x.f_doc").eqNullSafe(F.col("y.f_doc"))
+    both = x.join(y, same & (F.col("x.fa") == F.col("y.fa")) & (F.col("x.n") == F.col("y.n")))
+    both = both.select("_doc", "_crc", "at", "word", "before", "text", "after", "f_before", "f_text", "f_after")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k1, k2, low, high = [], [], [], []
-            for x, y, piece, before, text, after, fb, ft, fa in zip(*(c.to_pylist() for c in batch.columns)):
-                if _same(text, ft):
-                    k1.append(x)
-                    k2.append(y)
-                    low.append(piece - _alike(before[::-1], fb[::-1]))
-                    high.append(piece + len(text) + _alike(after, fa))
-            columns = [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(low, pa.int32()), pa.array(high, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, [*KEY, "a", "b"])
-
-    return pairs.mapInArrow(compare, f"{NAMES}, a int, b int")
-
-
-def cut_text(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without its long enough runs of pieces, and the number of runs taken out."""
-    places = pieces(text)
-    joined: list[list[int]] = []
-    size = lambda a, b: len(text[places[a][0] : places[b - 1][1]].split())
-    for a, b in sorted(r for r in runs if size(*r) >= LEAST_MATCH):
-        if joined and a <= joined[-1][1]:
-            joined[-1][1] = max(joined[-1][1], b)
-        else:
-            joined.append([a, b])
-    out, at, taken = [], 0, 0
-    for a, b in joined:
-        if b - a >= LEAST_PIECES and size(a, b) >= LEAST_WORDS:
-            out.append(text[at : places[a][0]])
-            at, taken = places[b - 1][1], taken + 1
-    return "".join([*out, text[at:]]), taken
+            rows = []
+            for doc, crc, at, word, before, text, after, fb, ft, fa in zip(*(c.to_pylist() for c in batch.columns)):
+                if same_text(text, ft):
+                    (low, more), (high, further) = shared_end(before, fb), shared_start(after, fa)
+                    end = at + len(text.encode()) + len(high.encode())
+                    rows.append((doc, crc, at - len(low.encode()), end, word - more, word + len(text.split()) + further))
+            columns = list(zip(*rows)) if rows else [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [*KEY, "b0", "b1", "w0", "w1"])
+
+    return both.mapInArrow(compare, f"{NAMES}, b0 long, b1 long, w0 long, w1 long")
+
+
+def removed_ranges(found: DataFrame) -> DataFrame:
+    """``_doc, _crc, _cut``: byte ranges to remove of each document, in order and apart.
+
+    Runs that touch or overlap form one stretch; it counts if it has LEAST_WORDS words.
+    """
+    counted = found.where(F.col("w1") - F.col("w0") >= LEAST_MATCH)
+    per = counted.groupBy(*KEY).agg(F.sort_array(F.collect_set(F.struct("b0", "b1", "w0", "w1"))).alias("r"))  # of one document
+
+    def step(done: Column, r: Column) -> Column:
+        last = F.element_at(done, -1)
+        wider = F.struct(last["b0"].alias("b0"), F.greatest(last["b1"], r["b1"]).alias("b1"), last["w0"].alias("w0"), F.greatest(last["w1"], r["w1"]).alias("w1"))
+        met = (F.size(done) > 0) & (r["b0"] <= F.try_element_at(done, F.lit(-1))["b1"])
+        return F.when(met, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(done, F.array(r)))
+
+    empty = F.array().cast("array<struct<b0:bigint,b1:bigint,w0:bigint,w1:bigint>>")
+    merged = F.aggregate("r", empty, step)
+    cut = F.filter(merged, lambda s: s["w1"] - s["w0"] >= LEAST_WORDS)
+    return per.select(*KEY, cut.alias("_cut")).where(F.size("_cut") > 0)
+
+
+def _without(text: Column, ranges: Column) -> Column:
+    """``text`` without the byte ranges."""
+    data = text.cast("binary")
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("kept"))
+    part = lambda a, b: F.substring(data, (a + 1).cast("int"), (b - a).cast("int")).cast("string")
+    step = lambda s, r: F.struct(r["b1"].alias("at"), F.concat(s["kept"], F.array(part(s["at"], r["b0"]))).alias("kept"))
+    return F.aggregate(ranges, start, step, lambda s: F.concat(F.array_join(s["kept"], ""), part(s["at"], F.octet_length(text).cast("long"))))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated passages taken out of ``text``, and ``n_removed`` (passages) and ``words_left`` (share).
+    """``docs`` with repeated passages taken out of ``text``, and ``n_removed`` (passages) and ``share_left`` (of the bytes).
 
     Every row stays, its other columns as they are. A null text stays null, an empty
     one empty, with nothing removed. Rows equal in doc_id and text are one document:
@@ -231,30 +293,20 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     document stays where it is first. Input columns with the names of the two added
     ones are replaced.
     """
-    repeated = materialised(repeated_chunks(chunk_index(docs)))
-    runs = repeated_runs(occurrences(docs, repeated))
-    per = runs.groupBy(*KEY).agg(F.collect_set(F.struct("a", "b")).alias("_runs"))
-    columns = [c for c in docs.columns if c not in ("n_removed", "words_left")]
-    keyed = _joined(docs.select(*columns, *_keys()), materialised(per), "left")
-
-    @F.pandas_udf("struct<text:string,n:int,share:double>")
-    def cut(text, runs):
-        import pandas as pd
-
-        out = []
-        for t, r in zip(text, runs):
-            if t is None or r is None:
-                out.append((t, 0, 1.0))
-            else:
-                left, n = cut_text(t, [(x["a"], x["b"]) for x in r])
-                out.append((left, n, len(left.split()) / max(1, len(t.split()))))
-        return pd.DataFrame(out, columns=["text", "n", "share"])
-
-    done = keyed.withColumn("_cut", cut("text", "_runs"))
-    shown = [F.col("_cut.text").alias(c) if c == "text" else F.col(c) for c in columns]
-    return done.select(*shown, F.col("_cut.n").alias("n_removed"), F.col("_cut.share").alias("words_left"))
+    bare = docs.select("doc_id", "text")
+    found = runs(chunk_index(bare))
+    wanted = found.select(*KEY, "a", "n").unionByName(found.select(F.col("f_doc").alias("_doc"), F.col("f_crc").alias("_crc"), F.col("fa").alias("a"), "n"))
+    ranges = materialised(removed_ranges(repeats(found, slices(bare, wanted))))
+    columns = [c for c in docs.columns if c not in ("n_removed", "share_left")]
+    whole = docs.select(F.struct(*columns).alias("_row"), *_keys())
+    keyed = _joined(whole, ranges, "left")
+    text = F.col("_row.text")
+    left = keyed.select("_row", F.when(F.col("_cut").isNull(), text).otherwise(_without(text, F.col("_cut"))).alias("_text"), F.when(F.col("_cut").isNull(), 0).otherwise(F.size("_cut")).alias("n_removed"))
+    share = F.when(F.col("n_removed") == 0, 1.0).otherwise(F.octet_length("_text") / F.octet_length(text))
+    shown = [F.col("_text").alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in columns]
+    return left.select(*shown, "n_removed", share.alias("share_left"))
 
 
 def without_repeats(docs: DataFrame, left: float = LEFT) -> DataFrame:
-    """``docs`` without repeated passages, and without documents of which less than ``left`` of the words remains."""
-    return deduplicated(docs).where(F.col("words_left") >= left).select(*docs.columns)
+    """``docs`` without repeated passages, and without documents of which less than ``left`` of the bytes remains."""
+    return deduplicated(docs).where(F.col("share_left") >= left).select(*docs.columns)

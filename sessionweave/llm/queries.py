@@ -21,7 +21,7 @@ from sessionweave.llm.warc import archive_pages
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = deduplicated(table(spark, sf_dir, "documents"))
-    return kept.select("doc_id", "text", "n_removed", "words_left")
+    return kept.select("doc_id", "text", "n_removed", "share_left")
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
