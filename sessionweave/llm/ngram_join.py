@@ -4,13 +4,15 @@ Documents with equal shingle sets form one class, and classes are joined. Two se
 that reach the similarity share an n-gram among the first ``n - ceil(0.8 n) + 1`` of
 each in any one global order, so only those columns of the incidence matrix are
 grouped; n-grams found often (passages that many documents hold) come last in the
-order. Two rounds of products follow. In the first every column's least document
-is multiplied with the column's other documents, in blocks. Columns whose
-documents are then in one component are done; of the others, documents outside the
-column's largest component are multiplied with all, tile by tile. A tile
-accumulates overlap counts over blocks of columns and drops pairs that cannot
-reach the bound their sizes give. Only links leave a tile, so no column's
-pairs are listed.
+order. First the least document of every column of more than FEW documents is
+multiplied with the column's other documents, in blocks. Then documents of different
+components that share a column of few documents are met; the number of columns
+they share bounds their overlap, and pairs that cannot reach the similarity are
+dropped before their sets are multiplied. In longer columns that still hold several
+components, documents outside the largest one are multiplied with all on those
+first columns, tile by tile, for the same bound. A tile of whole sets accumulates
+overlap counts over blocks of columns and drops pairs that cannot reach the
+bound their sizes give; only links leave it.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import materialised
+from sessionweave.llm.common import bounded_batches, materialised, most_frequent
 from sessionweave.llm.components import components
 from sessionweave.llm.fingerprints import K, shingle_sets
 
@@ -36,8 +38,14 @@ LEAST_FREQUENT = 12
 COUNTED, LOCAL, REPORTED = 2_000_000, 4, 20_000
 #: Documents and shingles of one side of a tile.
 TILE_ROWS, TILE_SHINGLES = 128, 400_000
+#: Columns of more than FEW documents start with a star; of those of up to SOME the rest is compared by pairs, of others by tiles.
+FEW, SOME = 8, 32
+#: Most nodes (8 bytes each) that are broadcast to pick their texts.
+LOOKED_UP = 500_000
 #: Columns of a tile multiplied at a time.
 COLUMNS = 4096
+#: Stands for the end of all rare columns of a set.
+ALL = (1 << 63) - 1
 #: Stands for a null doc_id, which counts as one document.
 NO_ID = -(1 << 63)
 
@@ -86,7 +94,7 @@ def profiles(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
             h, c = frequent()
             yield rows(1, h, c, h, h)
 
-    keyed = docs.select(node_of(F.col("doc_id")).alias("node"), "text")
+    keyed = bounded_batches(docs).select(node_of(F.col("doc_id")).alias("node"), "text")
     both = materialised(keyed.mapInArrow(profile, "kind long, node long, n long, d1 long, d2 long"))
     counted = both.where("kind = 1").groupBy(F.col("node").alias("h")).agg(F.sum("n").alias("c"))
     return both.where("kind = 0").drop("kind"), counted
@@ -94,7 +102,7 @@ def profiles(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
 
 def frequent_order(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted frequent n-grams and the rank of each by count; FREQUENT at most."""
-    top = counted.where(F.col("c") >= LEAST_FREQUENT).orderBy(F.desc("c"), "h").limit(FREQUENT).toArrow()
+    top = most_frequent(counted.where(F.col("c") >= LEAST_FREQUENT), "c", FREQUENT).toArrow()
     h, c = (top[x].to_numpy().astype(np.int64) for x in ("h", "c"))
     order = np.lexsort((h, c))
     rank = np.empty(len(h), np.int64)
@@ -103,27 +111,44 @@ def frequent_order(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[by], rank[by]
 
 
+def first_columns(s: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The n-grams of a set of which every partner shares one: frequent ones come last, else by value."""
+    most = bound_length(len(s))
+    known, rank = order
+    if not len(known):
+        return s[:most]
+    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+    often = known[at] == s
+    rare = s[~often]
+    if len(rare) >= most:
+        return rare[:most]
+    common = at[often]
+    return np.concatenate([rare, known[common[np.argsort(rank[common])[: most - len(rare)]]]])
+
+
+def rare_columns(s: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first columns of a set that are not frequent; ALL at the end if the set has no other rare ones."""
+    known, _ = order
+    if len(known):
+        s_at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+        rare = s[known[s_at] != s]
+    else:
+        rare = s
+    most = bound_length(len(s))
+    return rare[:most] if len(rare) > most else np.append(rare, ALL)
+
+
 def columns_of(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int = K) -> DataFrame:
     """``h, node``: for each document the n-grams of which a partner shares one."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rank = shared.value
         for batch in batches:
             found, nodes = [], []
             for node, s in zip(batch.column(0).to_numpy(zero_copy_only=False), shingle_sets(batch.column(1), k)):
                 if not len(s):
                     continue
-                most = bound_length(len(s))
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    often = known[at] == s
-                    rare = s[~often]
-                    if len(rare) < most:
-                        common = at[often]
-                        rare = np.concatenate([rare, known[common[np.argsort(rank[common])[: most - len(rare)]]]])
-                    s = rare
-                found.append(s[:most])
+                found.append(first_columns(s, shared.value))
                 nodes.append(np.full(len(found[-1]), node, np.int64))
             if found:
                 columns = [pa.array(np.concatenate(x)) for x in (found, nodes)]
@@ -133,12 +158,21 @@ def columns_of(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int = K
     return keyed.mapInArrow(first, "h long, node long")
 
 
-def shingle_table(docs: DataFrame, wanted: DataFrame, k: int = K) -> DataFrame:
-    """``node, set`` of the documents whose node is in ``wanted``; one row for each of a node's different texts."""
+def shingle_table(docs: DataFrame, wanted: DataFrame, k: int = K, order: tuple | None = None) -> DataFrame:
+    """``node, set`` of the documents whose node is in ``wanted``; one row for each of a node's different texts.
+
+    With ``order`` only the rare ones of the first columns of each set. ``wanted`` is broadcast up to
+    LOOKED_UP nodes (then texts need not move), and joined by a shuffle beyond.
+    """
+    wanted = materialised(wanted.distinct())
+    wanted = F.broadcast(wanted) if wanted.count() <= LOOKED_UP else wanted
+    shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shingle_sets(batch.column(1), k))
+            if shared.value is not None:
+                found = [rare_columns(s, shared.value) for s in found]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             values = np.concatenate(found) if found else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -148,11 +182,11 @@ def shingle_table(docs: DataFrame, wanted: DataFrame, k: int = K) -> DataFrame:
     return keyed.mapInArrow(sets, "node long, set array<long>")
 
 
-def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int | None = PERCENT) -> np.ndarray:
     """Overlap counts of sorted sets ``a`` by ``b``: a product of incidence matrices over blocks of columns.
 
     Pairs that the counts so far and the columns to come cannot lift to the bound
-    ``percent / (100 + percent) * (|a| + |b|)`` are dropped (count 0).
+    ``percent / (100 + percent) * (|a| + |b|)`` are dropped (count 0); none without ``percent``.
     """
     na, nb = np.array([len(s) for s in a]), np.array([len(s) for s in b])
     universe = np.unique(np.concatenate(a))
@@ -164,6 +198,7 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int = PERCENT) -
     rows, place = rows[same], place[same]
     if len(a) == 1:
         return np.bincount(rows, minlength=len(b))[None, :]
+    percent = percent or 0
     least = percent * (na[:, None] + nb[None, :]) / (100 + percent)
     alive = 100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
     counts = np.zeros((len(a), len(b)), np.float32)
@@ -186,14 +221,40 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int = PERCENT) -
     return np.where(alive, counts, 0).astype(np.int64)
 
 
+def _sets(table: pa.Table) -> list[np.ndarray]:
+    column = table["set"].combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def _tile_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of side 0 and side 1 whose rare columns do not rule them out; rows of one label are not met.
+
+    Up to the column at which the first of the two lists ends, all shared ones are
+    known: ``a`` of them. Beyond it, no more can be shared than either set has left.
+    """
+    side, node, label, n = (table[c].to_numpy() for c in ("side", "node", "label", "n"))
+    sets = _sets(table)
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    u, v, nv = (np.zeros(0, np.int64),) * 3
+    if len(left) and len(right):
+        a = overlaps([sets[i] for i in left], [sets[i] for i in right], None)
+        nl, nr = n[left][:, None], n[right][None, :]
+        ends = np.minimum([[sets[i][-1]] for i in left], [[sets[j][-1] for j in right]])
+        used = np.array([np.searchsorted(sets[i], row, "right") for i, row in zip(left, ends)])
+        met = np.array([np.searchsorted(sets[j], column, "right") for j, column in zip(right, ends.T)]).T
+        possible = (100 + PERCENT) * (a + np.minimum(nl - used, nr - met)) >= PERCENT * (nl + nr)
+        possible &= 100 * np.minimum(nl, nr) >= PERCENT * np.maximum(nl, nr)
+        i, j = np.nonzero(possible & (label[left][:, None] != label[right][None, :]))
+        u, v, nv = node[left][i], node[right][j], n[right][j]
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "nv": pa.array(nv, pa.int64())})
+
+
 def _tile_links(table: pa.Table) -> pa.Table:
     """Links between side 0 and side 1 of one tile; rows of one label are not compared."""
-    table = table.combine_chunks()
     side, node, label = (table[c].to_numpy() for c in ("side", "node", "label"))
-    column = table["set"].combine_chunks() if isinstance(table["set"], pa.ChunkedArray) else table["set"]
-    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
-    sets = [values[offsets[i] : offsets[i + 1]] for i in range(len(node))]
+    sets = _sets(table)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     u, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(left) and len(right):
@@ -217,12 +278,56 @@ def _multiplied(tiles: DataFrame, sets: DataFrame, key: list[str]) -> DataFrame:
     return full.groupBy(*key).applyInArrow(_tile_links, LINKS)
 
 
+def _linked(pairs: DataFrame, sets_of) -> DataFrame:
+    """Links among the pairs ``u, v, nv``: every ``u`` is multiplied with its partners, block by block."""
+    if pairs.isEmpty():
+        return pairs.select("u", "v")
+    sets = sets_of(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))))
+    per = pairs.groupBy("u").agg(_tiles(F.count(F.lit(1)), F.sum("nv")).alias("t"))
+    right = pairs.join(per, "u").select("u", F.pmod(F.xxhash64("v"), "t").cast("int").alias("j"), F.lit(1).alias("side"), F.col("v").alias("node"))
+    left = per.select("u", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("j"), F.lit(0).alias("side"), F.col("u").alias("node"))
+    tiles = right.unionByName(left).select(F.col("u").alias("g"), "j", "side", "node", F.col("node").alias("label"))
+    return materialised(_multiplied(tiles, sets, ["g", "j"]))
+
+
+def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after more links."""
+    if links.isEmpty():
+        return roots
+    return materialised(components(links.unionByName(roots.select(F.col("node").alias("u"), F.col("component").alias("v")))))
+
+
+def _labelled(inside: DataFrame, pivots: DataFrame, roots: DataFrame) -> DataFrame:
+    rows = inside.join(pivots.select("h", "m"), "h").join(roots, "node", "left")
+    return rows.select("h", "m", "node", "n", F.coalesce("component", "node").alias("label"))
+
+
+def _pairs(inside: DataFrame, pivots: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``u, v, nv`` of different components from columns of at most SOME documents that their counts do not rule out.
+
+    A column gives each of its documents fewer than SOME partners, so rows stay in
+    proportion. ``a`` counts the columns a pair shares. Of the one whose columns end
+    first in the order, all are known, so at most ``ceil(0.8 n) - 1`` more can be shared,
+    n being its size: a pair whose ``a`` cannot reach the bound is dropped. (A pair
+    that also shares a larger column is found there.)
+    """
+    rows = materialised(_labelled(inside, pivots.where(F.col("m") <= SOME), roots))
+    x, y = rows.alias("x"), rows.alias("y")
+    near = 100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & near)
+    met = met.groupBy(F.col("x.node").alias("u"), F.col("y.node").alias("v"), F.col("x.n").alias("nu"), F.col("y.n").alias("nv"))
+    met = met.agg(F.count(F.lit(1)).alias("a"))
+    more = F.ceil(F.greatest("nu", "nv") * PERCENT / 100) - 1
+    return met.where((100 + PERCENT) * (F.col("a") + more) >= PERCENT * (F.col("nu") + F.col("nv"))).groupBy("u", "v").agg(F.max("nv").alias("nv"))
+
+
 def linked_classes(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
     """``sizes`` (``node, n`` of every row) and ``roots`` (``node, component`` of every linked node)."""
     sizes, counted = profiles(docs, k)
     classes = sizes.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("node").alias("rep"))
     members = materialised(sizes.where("n > 0").join(classes, ["d1", "d2", "n"]).select("node", "n", "rep").distinct())
-    column_rows = columns_of(docs, frequent_order(counted), k)
+    order = frequent_order(counted)
+    column_rows = columns_of(docs, order, k)
 
     many = column_rows.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     many = materialised(many.select("h"))
@@ -232,36 +337,31 @@ def linked_classes(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
     pivots = inside.groupBy("h").agg(F.min(F.struct("node", "n")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1")
     pivots = materialised(pivots.select("h", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), "m"))
 
+    sets_of = lambda nodes: materialised(shingle_table(docs, nodes, k))
     near = 100 * F.least("n", "pn") >= PERCENT * F.greatest("n", "pn")
-    stars = inside.join(pivots, "h").where((F.col("node") != F.col("pivot")) & near)
-    stars = materialised(stars.select("pivot", "node", "n").distinct())
-    sets_of = lambda nodes: materialised(shingle_table(docs, nodes.distinct(), k))
-    star_nodes = stars.select("node").unionByName(stars.select(F.col("pivot").alias("node")))
-    sets = sets_of(star_nodes)
-    per = stars.groupBy("pivot").agg(_tiles(F.count(F.lit(1)), F.sum("n")).alias("t"))
-    right = stars.join(per, "pivot").select("pivot", F.pmod(F.xxhash64("node"), "t").cast("int").alias("j"), F.lit(1).alias("side"), "node")
-    left = per.select("pivot", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("j"), F.lit(0).alias("side"), F.col("pivot").alias("node"))
-    tiles = right.unionByName(left).withColumn("label", F.col("node"))
-    links = materialised(_multiplied(tiles, sets, ["pivot", "j"]))
+    stars = inside.join(pivots.where(F.col("m") > FEW), "h").where((F.col("node") != F.col("pivot")) & near)
+    stars = materialised(stars.select(F.col("pivot").alias("u"), F.col("node").alias("v"), F.col("n").alias("nv")).distinct())
+    links = _linked(stars, sets_of)
 
     same_node = members.where("node <> rep").select(F.col("node").alias("u"), F.col("rep").alias("v"))
     roots = materialised(components(links.unionByName(same_node)))
-    rest = _unresolved(inside, pivots.where("m > 2"), roots)
+    pairs = _pairs(inside, pivots, roots)
+    rest = _unresolved(inside, pivots.where(F.col("m") > SOME), roots)
     if not rest.isEmpty():
-        more = materialised(_multiplied(rest, sets_of(rest.select("node")), ["g", "i", "j"]))
-        if not more.isEmpty():
-            roots = materialised(components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("component").alias("v")))))
+        full = rest.join(materialised(shingle_table(docs, rest.select("node"), k, order)), "node")
+        met = full.groupBy("g", "i", "j").applyInArrow(_tile_pairs, "u long, v long, nv long")
+        pairs = pairs.unionByName(met).groupBy("u", "v").agg(F.max("nv").alias("nv"))
+    roots = _grown(roots, _linked(materialised(pairs), sets_of))
     return sizes.select("node", "n"), roots
 
 
 def _unresolved(inside: DataFrame, pivots: DataFrame, roots: DataFrame) -> DataFrame:
-    """Tiles ``g, i, j, side, node, label`` of columns that more than one component holds.
+    """Tiles ``g, i, j, side, node, label, n`` of columns that more than one component holds.
 
     Side 0 has the nodes outside the column's largest component, side 1 all.
     Columns with the same nodes are taken once.
     """
-    rows = inside.join(pivots.select("h", "m"), "h").join(roots, "node", "left")
-    rows = rows.select("h", "m", "node", "n", F.coalesce("component", "node").alias("label"))
+    rows = _labelled(inside, pivots, roots)
     labels = rows.groupBy("h", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("x"))
     whole = labels.groupBy("h").agg(
         F.count(F.lit(1)).alias("labels"), F.sum("c").alias("c"), F.sum("s").alias("s"), F.sum("x").alias("x"), F.max(F.struct("c", "s", "label")).alias("top")
@@ -271,8 +371,8 @@ def _unresolved(inside: DataFrame, pivots: DataFrame, roots: DataFrame) -> DataF
     rows = materialised(rows.join(once, "h"))
     slot = lambda k: F.pmod(F.xxhash64("node"), k).cast("int")
     every = lambda k: F.explode(F.sequence(F.lit(0), F.col(k) - 1))
-    left = rows.where("label <> top").select(F.col("h").alias("g"), slot("ka").alias("i"), every("kb").alias("j"), F.lit(0).alias("side"), "node", "label")
-    right = rows.select(F.col("h").alias("g"), every("ka").alias("i"), slot("kb").alias("j"), F.lit(1).alias("side"), "node", "label")
+    left = rows.where("label <> top").select(F.col("h").alias("g"), slot("ka").alias("i"), every("kb").alias("j"), F.lit(0).alias("side"), "node", "label", "n")
+    right = rows.select(F.col("h").alias("g"), every("ka").alias("i"), slot("kb").alias("j"), F.lit(1).alias("side"), "node", "label", "n")
     return materialised(left.unionByName(right))
 
 
