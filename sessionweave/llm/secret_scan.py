@@ -3,9 +3,9 @@
 A candidate token gets an encoding (hex, base32, base64, base64url or letters and
 digits) and three tests of "its characters are independent and uniform over the
 alphabet": chi-squared on character-class counts, a runs test on the halves of the
-alphabet, and a serial correlation of neighbours. The worst of the three, times
-three, is its p-value. Random tokens have p-values spread evenly, words have
-small ones. For every encoding and length class the counts of p-values over the
+alphabet, and a serial correlation of neighbours. The worst of them, held against
+simulated random tokens of like length and alphabet, gives its p-value. Random
+tokens have p-values spread evenly, words have small ones. For every encoding and length class the counts of p-values over the
 whole corpus give, for each threshold, the share of tokens above it that random
 ones cannot explain; the lowest threshold at which this false-discovery estimate
 stays within the limit is used. Short tokens, whose tests have little power, thus
@@ -14,8 +14,10 @@ get a stricter threshold or none at all.
 
 from __future__ import annotations
 
-import hashlib
+import bisect
+import functools
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import materialised
+from sessionweave.llm.common import bounded_batches, materialised
 
 # The base patterns, in the order in which kinds are listed.
 KINDS = ("assign", "access", "hex", "random")
@@ -51,6 +53,8 @@ FDR = 0.05
 #: Fewest tokens of a class for an estimate of its own; smaller classes take the fixed threshold.
 LEAST = 200
 FIXED = 0.2
+#: Random tokens simulated per alphabet and length class.
+SIMULATED = 1000
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 FOUND = f"doc_id {{kind}}, base {SPANS}, tokens array<struct<encoding:string,size:int,bin:int,start:int,end:int>>"
@@ -128,16 +132,37 @@ def serial(codes: list[int], size: int) -> float:
     return _normal_tail((r + 1 / n) * math.sqrt(n))
 
 
+TESTS = (uniformity, repeats, runs, serial)
+
+
+def worst(codes: list[int], size: int) -> float:
+    return min(test(codes, size) for test in TESTS)
+
+
+@functools.cache
+def calibration(alphabet: int, length_class: int) -> list[float]:
+    """Sorted worst p-values of SIMULATED random tokens (fixed seed) over ``alphabet`` letters, of the middle length of a class."""
+    rng, n = random.Random(1000 * alphabet + length_class), 3 << length_class >> 1
+    return sorted(worst([rng.randrange(alphabet) for _ in range(n)], alphabet) for _ in range(SIMULATED))
+
+
+def length_class(n: int) -> int:
+    return min(8, n.bit_length() - 1)
+
+
 def randomness(token: str) -> tuple[str, float] | None:
-    """Encoding of a token and the p-value of "random over its alphabet"; None if nothing fits."""
+    """Encoding of a token and the p-value of "random over its alphabet"; None if nothing fits.
+
+    The share of random tokens of such length and alphabet whose worst test is at least as bad.
+    """
     name = encoding_of(token)
     if name is None:
         return None
     body = token.rstrip("=")
     letters = ALPHABETS[name]
     codes = [letters.index(c) for c in (body.lower() if name == "hex" else body)]
-    tests = (uniformity, repeats, runs, serial)
-    return name, min(1.0, len(tests) * min(test(codes, len(letters)) for test in tests))
+    known = calibration(len(letters), length_class(len(token)))
+    return name, bisect.bisect_right(known, worst(codes, len(letters))) / len(known)
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
@@ -148,8 +173,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple]:
             continue
         tested = randomness(m[0])
         if tested:
-            size = min(8, int(math.log2(m.end() - m.start())))
-            found.append((tested[0], size, min(BINS - 1, int(tested[1] * BINS)), m.start(), m.end()))
+            found.append((tested[0], length_class(m.end() - m.start()), min(BINS - 1, int(tested[1] * BINS)), m.start(), m.end()))
     return found
 
 
@@ -169,7 +193,7 @@ def scanned(docs: DataFrame) -> DataFrame:
                 tokens.append([dict(zip(("encoding", "size", "bin", "start", "end"), t)) for t in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bases, span), pa.array(tokens, token)], ["doc_id", "base", "tokens"])
 
-    return materialised(docs.select("doc_id", "text").mapInArrow(scan, FOUND.format(kind=kind)))
+    return materialised(bounded_batches(docs).select("doc_id", "text").mapInArrow(scan, FOUND.format(kind=kind)))
 
 
 def threshold(counts: list[int], fdr: float = FDR) -> int | None:
@@ -179,7 +203,7 @@ def threshold(counts: list[int], fdr: float = FDR) -> int | None:
     put into each; what a tail holds beyond is false.
     """
     upper = counts[BINS // 2 :]
-    each = sum(sorted(upper)[: len(upper) // 2 + 1]) / (len(upper) // 2 + 1)
+    each = sum(upper) / len(upper)
     for start in range(BINS):
         tail = sum(counts[start:])
         if tail and 1 - each * (BINS - start) / tail <= fdr:
@@ -208,8 +232,8 @@ def secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     limit = F.create_map(*[F.lit(x) for e, s, b in limits for x in (f"{e}/{s}", b)]) if limits else F.create_map(F.lit(""), F.lit(BINS))
     key = lambda t: F.concat(t["encoding"], F.lit("/"), t["size"].cast("string"))
     passed = F.filter("tokens", lambda t: t["bin"] >= F.coalesce(F.element_at(limit, key(t)), F.lit(BINS)))
-    random = F.transform(passed, lambda t: F.struct(F.lit("random").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
-    return found.select("doc_id", "base", random.alias("random"))
+    spans = F.transform(passed, lambda t: F.struct(F.lit("random").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
+    return found.select("doc_id", "base", spans.alias("random"))
 
 
 def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
