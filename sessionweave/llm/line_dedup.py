@@ -1,15 +1,14 @@
-"""Removal of repeated passages by content-defined chunks of lines.
-
-Lines are cut into pieces after sentences and clauses and after words that end with
-certain letters, so that a passage in the middle of a line has pieces of its own.
-A rolling hash over the hashes of the last two pieces is taken at every piece; a
-piece whose rolling hash is less than those of both neighbours ends a chunk.
-Boundaries depend on nearby pieces only, so a passage shifted into other text
-keeps its inner chunks. Chunks are grouped by hash over all documents. Successive
-chunks of a document that occur first as successive chunks of another form a run;
-its text is compared byte by byte with the first one and extended word by
-word into the chunks on both sides. Repeated stretches of LEAST_WORDS words or
-more are removed, except where they occur first.
+"""Removal of repeated passages by fingerprints of word windows.
+
+Every WINDOW successive shingles of SHINGLE words choose the one with the least hash
+(winnowing). The choice depends on those words only, so that any SHINGLE + WINDOW - 1
+= 39 words that two places share, in any script with words between white space and in
+any context, share a fingerprint. Fingerprints are grouped by hash over all documents.
+Overlapping fingerprints of a document that occur first at one distance in another
+place form a run; its words are compared with those of the first one, and it is extended word by word on both sides. The next
+fingerprint of a longer match would lie within WINDOW words, so that no more words
+than these are looked at. Repeated stretches of
+LEAST_WORDS words or more are removed, except where they occur first.
 """
 
 from __future__ import annotations
@@ -24,12 +23,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sessionweave.llm.common import bounded_batches, materialised
-from sessionweave.llm.fingerprints import _LETTER, _pieces, mixed, powers
+from sessionweave.llm.fingerprints import _LETTER, _SPACE, _pieces, mixed, powers
 
-#: A piece ends at a line break, or after a word that ends with one of these.
-ENDS = ".!?;:,*%dyta"
-#: Fewest words of a chunk of one or two pieces that is looked up (longer chunks all are).
-CHUNK_WORDS = 6
+#: Words of a shingle, and successive shingles of which one at least is a fingerprint.
+SHINGLE, WINDOW = 27, 13
 #: Fewest words of a removed stretch, and of a run with what it was extended by for it to count.
 LEAST_WORDS, LEAST_MATCH = 40, 8
 #: A document of which less than this share of bytes is left is a copy and goes as a whole.
@@ -38,74 +35,67 @@ LEFT = 0.2
 KEY = ["_doc", "_crc"]
 NAMES = "_doc long, _crc long"
 
-_WHITE = np.zeros(256, bool)
-_WHITE[[32, 9, 10]] = True
-_END = np.zeros(256, bool)
-_END[list(ENDS.encode())] = True
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
 @dataclass
 class Layout:
-    """Pieces (``start .. end`` in bytes) and chunks (first pieces, one more at the end) of a run of texts."""
+    """Fingerprints of a run of texts: text, position among the text's own, hash, first word in the text, words."""
 
-    start: np.ndarray
-    end: np.ndarray
-    first: np.ndarray
     doc: np.ndarray
     index: np.ndarray
     hash: np.ndarray
+    word: np.ndarray
     words: np.ndarray
-    word_at: np.ndarray
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and end of every word of the texts ``data[offsets[i] : offsets[i + 1]]``."""
+    inside = ~_SPACE[data]
+    starts, ends = inside.copy(), inside.copy()
+    starts[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    starts[edges] = inside[edges]
+    ends[edges - 1] = inside[edges - 1]
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+
+
+def _windowed(x: np.ndarray, pick: np.ufunc) -> np.ndarray:
+    """``pick`` (least or greatest) of the WINDOW values from each position on."""
+    n, wide = 1, x
+    while 2 * n <= WINDOW:
+        wide = pick(wide[:-n], wide[n:])
+        n *= 2
+    rest = WINDOW - n
+    return pick(wide[: len(wide) - rest], wide[rest:])
 
 
 def layout(data: np.ndarray, offsets: np.ndarray) -> Layout:
-    """Pieces and chunks of the texts ``data[offsets[i] : offsets[i + 1]]``; together the pieces are the texts."""
-    n = len(data)
-    if n == 0:
-        none = np.zeros(0, np.int64)
-        return Layout(none, none, np.zeros(1, np.int64), none, none, none, none, none)
-    full = offsets[1:] > offsets[:-1]
-    begins, last = np.zeros(n, bool), np.zeros(n, bool)
-    begins[offsets[:-1][full]] = True
-    last[offsets[1:][full] - 1] = True
-    white = _WHITE[data]
-    before, after = np.zeros(n, bool), np.zeros(n, bool)
-    before[1:], after[:-1] = white[:-1], white[1:]
-    opens = white & (~before | begins)
-    gap, close = np.flatnonzero(opens), np.flatnonzero(white & (~after | last)) + 1
-    lines = np.concatenate([[0], np.cumsum(data == 10)])
-    parts = (lines[close] > lines[gap]) | (_END[data[np.maximum(gap - 1, 0)]] & ~begins[gap]) | last[close - 1]
-    loose = np.flatnonzero(last & ~white) + 1
-    end = np.concatenate([close[parts], loose])
-    by = np.argsort(end, kind="stable")
-    end, inner = end[by], np.concatenate([gap[parts], loose])[by]
-    start = np.concatenate([[0], end[:-1]])
-    doc = np.searchsorted(offsets, start, "right") - 1
-
-    up, down = powers(n)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * up[:n], dtype=np.uint64)])
-    h = mixed((total[np.maximum(inner, start)] - total[start]) * down[start])
-    new = np.ones(len(h), bool)
-    new[1:] = doc[1:] != doc[:-1]
-    rolled = h.copy()
-    rolled[1:] += np.where(new[1:], np.uint64(0), h[:-1] * _STEP)
-    rolled = mixed(rolled)
-    left, right = new.copy(), np.ones(len(h), bool)
-    left[1:] |= rolled[1:] < rolled[:-1]
-    right[:-1] = new[1:] | (rolled[:-1] <= rolled[1:])
-    head = new.copy()
-    head[1:] |= (left & right)[:-1]
-    first = np.flatnonzero(head)
-    until = np.append(first[1:], len(h))
+    """Fingerprints of the texts ``data[offsets[i] : offsets[i + 1]]``; a text too short for a window has one, of all its words."""
+    starts, ends = word_places(data, offsets)
+    first = np.searchsorted(starts, offsets)
+    count = np.diff(first)
+    up, down = powers(max(len(data), len(starts)) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * up[: len(data)], dtype=np.uint64)])
+    h = mixed((total[ends] - total[starts]) * down[starts])
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)])
-    chunks = mixed((sums[until] - sums[first]) * down[first])
-    word = np.concatenate([[0], np.cumsum(opens)])
-    words = word[np.maximum(inner[until - 1], start[first])] - word[start[first]] + 1
-    of = doc[first]
-    lead = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
-    index = np.arange(len(first)) - np.repeat(lead, np.diff(np.append(lead, len(first))))
-    return Layout(start, end, np.append(first, len(h)), of, index, chunks.view(np.int64), words, word[start])
+    of = np.repeat(np.arange(len(count)), count)
+    chosen = np.zeros(0, np.int64)
+    if len(h) >= SHINGLE + WINDOW - 1:
+        n = len(h) - SHINGLE + 1
+        shingles = mixed((sums[SHINGLE:] - sums[:n]) * down[:n])
+        least = _windowed(shingles, np.minimum)
+        least[of[: len(least)] != of[SHINGLE + WINDOW - 2 :]] = 0
+        none = np.zeros(WINDOW - 1, np.uint64)
+        chosen = np.flatnonzero(_windowed(np.concatenate([none, least, none]), np.maximum) == shingles)
+    short = np.flatnonzero((np.diff(offsets) > 0) & (count < SHINGLE + WINDOW - 1))
+    at = np.concatenate([chosen, first[short]])
+    words = np.concatenate([np.full(len(chosen), SHINGLE), count[short]])
+    doc = np.concatenate([of[chosen], short])
+    by = np.argsort(doc, kind="stable")
+    at, words, doc = at[by], words[by], doc[by]
+    lead = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else doc
+    index = np.arange(len(doc)) - np.repeat(lead, np.diff(np.append(lead, len(doc))))
+    hashes = mixed((sums[at + words] - sums[at]) * down[at])
+    return Layout(doc, index, hashes.view(np.int64), at - first[doc], words)
 
 
 def _keys() -> list[Column]:
@@ -119,69 +109,69 @@ def _joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     return left.join(right, same, how).drop("r_crc", "r_doc")
 
 
-def chunk_index(docs: DataFrame) -> DataFrame:
-    """``_doc, _crc, h, idx``: hash and position of each chunk that is long enough, written once."""
+def fingerprint_index(docs: DataFrame) -> DataFrame:
+    """``_doc, _crc, h, word``: hash and first word of each fingerprint of SHINGLE words, written once."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             base = 0
             for data, offsets in _pieces(batch.column(2)):
                 found = layout(data, offsets)
-                long = (np.diff(found.first) > 2) | (found.words >= CHUNK_WORDS)
-                take = pa.array(found.doc[long] + base)
+                whole = found.words == SHINGLE
+                take = pa.array(found.doc[whole] + base)
                 base += len(offsets) - 1
                 columns = [batch.column(c).take(take) for c in range(2)]
-                columns += [pa.array(found.hash[long]), pa.array(found.index[long].astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, [*KEY, "h", "idx"])
+                columns += [pa.array(found.hash[whole]), pa.array(found.word[whole].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, [*KEY, "h", "word"])
 
-    return materialised(bounded_batches(docs).select(*_keys(), "text").mapInArrow(index, f"{NAMES}, h long, idx int"))
+    return materialised(bounded_batches(docs).select(*_keys(), "text").mapInArrow(index, f"{NAMES}, h long, word int"))
 
 
 def runs(index: DataFrame) -> DataFrame:
-    """``_doc, _crc, a, n, f_doc, f_crc, fa``: chunks ``a .. a+n-1`` occur first as ``fa ..`` of another place.
+    """``_doc, _crc, a, n, f_doc, f_crc, fa``: words ``a .. a+n-1`` occur first as ``fa ..`` of another place.
 
-    First is the least doc_id, then checksum, then position. A hash of a third of all
+    First is the least doc_id, then checksum, then position. Hashes alone are counted
+    first; places are compared for repeated ones only. A hash of a third of all
     rows is counted before it moves, and its rows are joined to one row.
     """
-    place = F.struct(*KEY, "idx")
-    groups = index.groupBy("h").agg(F.min(place).alias("lo"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    groups = materialised(groups.select("h", "lo"))
-    rows = index.join(groups, "h").where(place != F.col("lo")).distinct()
-    rows = rows.select(*KEY, "idx", F.col("lo._doc").alias("f_doc"), F.col("lo._crc").alias("f_crc"), (F.col("lo.idx") - F.col("idx")).alias("d"))
-    order = W.partitionBy(*KEY).orderBy("idx")  # a document's own chunks
-    origin = F.struct("f_doc", "f_crc", F.col("idx") - 1, "d")
-    last = F.lag(F.struct("f_doc", "f_crc", "idx", "d")).over(order)
-    rows = rows.withColumn("_new", (~last.eqNullSafe(origin)).cast("int"))
+    place = F.struct(*KEY, "word")
+    repeated = materialised(index.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
+    rows = materialised(index.join(repeated, "h", "left_semi"))
+    groups = rows.groupBy("h").agg(F.min(place).alias("lo"))
+    rows = rows.join(groups, "h").where(place != F.col("lo")).distinct()
+    rows = rows.select(*KEY, "word", F.col("lo._doc").alias("f_doc"), F.col("lo._crc").alias("f_crc"), (F.col("lo.word") - F.col("word")).alias("d"))
+    order = W.partitionBy(*KEY).orderBy("word")  # a document's own fingerprints
+    origin = F.struct("f_doc", "f_crc", "d")
+    goes_on = F.lag(origin).over(order).eqNullSafe(origin) & (F.col("word") - F.lag("word").over(order) <= SHINGLE)
+    rows = rows.withColumn("_new", (~F.coalesce(goes_on, F.lit(False))).cast("int"))
     rows = rows.withColumn("_run", F.sum("_new").over(order))
-    found = rows.groupBy(*KEY, "_run", "f_doc", "f_crc", "d").agg(F.min("idx").alias("a"), F.count(F.lit(1)).cast("int").alias("n"))
+    found = rows.groupBy(*KEY, "_run", "f_doc", "f_crc", "d").agg(F.min("word").alias("a"), (F.max("word") - F.min("word") + SHINGLE).alias("n"))
     return materialised(found.select(*KEY, "a", "n", "f_doc", "f_crc", (F.col("a") + F.col("d")).alias("fa")))
 
 
-SLICE = "a int, n int, at int, word int, before string, text string, after string"
+SLICE = "a int, n int, at int, before binary, text binary, after binary"
 
 
 def slices(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of the runs ``_doc, _crc, a, n`` in ``wanted``, each once, with the chunks on both sides.
+    """Texts of the runs ``_doc, _crc, a, n`` in ``wanted``, each once, with WINDOW words on both sides.
 
-    ``at`` and ``word`` are the byte and the word at which ``text`` starts.
+    ``at`` is the byte at which ``text`` starts.
     """
     per = wanted.distinct().groupBy(*KEY).agg(F.collect_list(F.struct("a", "n")).alias("runs"))  # of one document
     joined = _joined(docs.select(*_keys(), "text"), per).select(*KEY, "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
-        names = [*KEY, "a", "n", "at", "word", "before", "text", "after"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        names = [*KEY, "a", "n", "at", "before", "text", "after"]
         for batch in batches:
             rows: list[tuple] = []
             for doc, crc, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
-                found = layout(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-                edge = np.append(found.start, len(data))[found.first]
+                edge = np.append(word_places(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0], len(data))
                 for r in asked:
                     a, b = r["a"], r["a"] + r["n"]
-                    low, high = edge[max(a - 1, 0)], edge[min(b + 1, len(edge) - 1)]
-                    part = [data[x:y].decode() for x, y in ((low, edge[a]), (edge[a], edge[b]), (edge[b], high))]
-                    rows.append((doc, crc, a, r["n"], int(edge[a]), int(found.word_at[found.first[a]]), *part))
+                    low, high = edge[max(a - WINDOW, 0)], edge[min(b + WINDOW, len(edge) - 1)]
+                    rows.append((doc, crc, a, r["n"], int(edge[a]), data[low : edge[a]], data[edge[a] : edge[b]], data[edge[b] : high]))
                 if len(rows) > 1000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
                     rows = []
@@ -192,18 +182,19 @@ def slices(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def pieces(text: str) -> list[str]:
-    """Pieces of a text, white space after each included."""
+    """Words of a text, white space after each included, and what is before the first one."""
     data = text.encode()
-    found = layout(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-    return [data[a:b].decode() for a, b in zip(found.start, found.end)]
+    starts = word_places(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0].tolist()
+    edges = sorted({0, *starts, len(data)})
+    return [data[a:b].decode() for a, b in zip(edges, edges[1:])]
 
 
-def same_text(x: str, y: str) -> bool:
+def same_text[T: (str, bytes)](x: T, y: T) -> bool:
     """Equal apart from white space."""
     return x == y or x.split() == y.split()
 
 
-def alike(x: list[str], y: list[str]) -> int:
+def alike(x: list, y: list) -> int:
     """How many words two lists share from their start."""
     n = 0
     for a, b in zip(x, y):
@@ -213,33 +204,33 @@ def alike(x: list[str], y: list[str]) -> int:
     return n
 
 
-def shared_end(x: str, y: str) -> tuple[str, int]:
+def shared_end[T: (str, bytes)](x: T, y: T) -> tuple[T, int]:
     """The end of ``x`` that has the words ``y`` ends with too, and their number."""
     n = alike(x.split()[::-1], y.split()[::-1])
     if not n:
-        return "", 0
+        return x[:0], 0
     parts = x.rsplit(None, n)
     return x[len(parts[0]) :].lstrip() if len(parts) > n else x, n
 
 
-def shared_start(x: str, y: str) -> tuple[str, int]:
+def shared_start[T: (str, bytes)](x: T, y: T) -> tuple[T, int]:
     """The start of ``x`` that has the words ``y`` starts with too, and their number."""
     n = alike(x.split(), y.split())
     if not n:
-        return "", 0
+        return x[:0], 0
     parts = x.split(None, n)
     return x[: len(x) - len(parts[n])] if len(parts) > n else x, n
 
 
 def repeats(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """``_doc, _crc, b0, b1, w0, w1``: bytes and words of each run that its first occurrence equals, with its extension."""
-    own = texts.select(*KEY, "a", "n", "at", "word", "before", "text", "after")
+    """``_doc, _crc, b0, b1, w0, w1``: bytes and words of each stretch of a run that equals its first occurrence, with its extension."""
+    own = texts.select(*KEY, "a", "n", "at", "before", "text", "after")
     first = texts.select(F.col("_doc").alias("f_doc"), F.col("_crc").alias("f_crc"), F.col("a").alias("fa"), "n", *[F.col(c).alias(f"f_{c}") for c in ("before", "text", "after")])
     pairs = _joined(found, own.withColumnsRenamed({"a": "oa", "n": "on"})).where("a = oa and n = on")
     x, y = pairs.alias("x"), first.alias("y")
     same = F.col("x.f_crc").eqNullSafe(F.col("y.f_crc")) & F.col("x.f_doc").eqNullSafe(F.col("y.f_doc"))
     both = x.join(y, same & (F.col("x.fa") == F.col("y.fa")) & (F.col("x.n") == F.col("y.n")))
-    both = both.select("_doc", "_crc", "at", "word", "before", "text", "after", "f_before", "f_text", "f_after")
+    both = both.select("_doc", "_crc", "at", F.col("x.a").alias("word"), "before", "text", "after", "f_before", "f_text", "f_after")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,8 +238,7 @@ def repeats(found: DataFrame, texts: DataFrame) -> DataFrame:
             for doc, crc, at, word, before, text, after, fb, ft, fa in zip(*(c.to_pylist() for c in batch.columns)):
                 if same_text(text, ft):
                     (low, more), (high, further) = shared_end(before, fb), shared_start(after, fa)
-                    end = at + len(text.encode()) + len(high.encode())
-                    rows.append((doc, crc, at - len(low.encode()), end, word - more, word + len(text.split()) + further))
+                    rows.append((doc, crc, at - len(low), at + len(text) + len(high), word - more, word + len(text.split()) + further))
             columns = list(zip(*rows)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [*KEY, "b0", "b1", "w0", "w1"])
 
@@ -294,7 +284,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     ones are replaced.
     """
     bare = docs.select("doc_id", "text")
-    found = runs(chunk_index(bare))
+    found = runs(fingerprint_index(bare))
     wanted = found.select(*KEY, "a", "n").unionByName(found.select(F.col("f_doc").alias("_doc"), F.col("f_crc").alias("_crc"), F.col("fa").alias("a"), "n"))
     ranges = materialised(removed_ranges(repeats(found, slices(bare, wanted))))
     columns = [c for c in docs.columns if c not in ("n_removed", "share_left")]

@@ -86,3 +86,41 @@ def test_pieces_cover_the_text():
     assert same_text("a\nb", "a b ") and not same_text("ab", "a b")
     assert shared_start("a b  c d", "a b\nc e") == ("a b  c ", 3) and shared_start("a", "b") == ("", 0) and shared_start("a b", "a b") == ("a b", 2)
     assert shared_end("x a b ", "y a b") == ("a b ", 2) and shared_end("", "a") == ("", 0) and shared_end("a b", "a b") == ("a b", 2)
+
+
+SCRIPTS = {
+    "en": "abcdefghiklmnoprstuvwy",
+    "de": "abcdefghiklmnoprstuwzäöüß",
+    "fr": "abcdefghilmnopqrstuvxéèàç",
+    "es": "abcdefghijlmnopqrstuvzñáéí",
+    "ru": "абвгдежзиклмнопрстуфхцчшщыэюя",
+    "el": "αβγδεζηθικλμνξοπρστυφχψω",
+    "hi": "अआइईउऊएकखगघचछजटडतदनपबमयरलवसह",
+}
+
+
+def test_passages_of_51_to_60_words_go_in_every_script(spark):
+    rng = random.Random(7)
+    words = lambda letters, n: ["".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(n)]
+    rows, want = [], {}
+    for i, (letters, n) in enumerate((x, n) for x in SCRIPTS.values() for n in range(51, 61) for _ in range(6)):
+        passage, gap = " ".join(words(letters, n)), rng.choice([" ", "\n"])
+        for doc in (2 * i, 2 * i + 1):
+            before, after = (" ".join(words(letters, rng.randint(0, 90))) for _ in range(2))
+            rows.append((doc, f"{before}{gap}{passage}{gap}{after}"))
+        want[doc] = f"{before}{gap}{after}"
+    got = {r.doc_id: r for r in deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) == 420
+    for doc, text in rows:
+        assert got[doc].text == want.get(doc, text) and got[doc].n_removed == (doc in want)
+
+
+def test_any_39_words_share_a_fingerprint():
+    rng = random.Random(8)
+    words = lambda n: ["".join(rng.choices("abcde", k=5)) for _ in range(n)]
+    for _ in range(300):
+        shared, found = words(39), []
+        for _ in range(2):
+            text = " ".join(words(rng.randint(0, 60)) + shared + words(rng.randint(0, 60))).encode()
+            found.append(set(layout(np.frombuffer(text, np.uint8), np.array([0, len(text)])).hash.tolist()))
+        assert found[0] & found[1]
