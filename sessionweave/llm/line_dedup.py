@@ -5,9 +5,10 @@ Every WINDOW successive shingles of SHINGLE words choose the one with the least
 = 39 words that two places share, in any script with words between white space and in
 any context, share a fingerprint. Fingerprints are grouped by hash over all documents.
 Overlapping fingerprints of a document that occur first at one distance in another
-place form a run; its words are compared with those of the first one, and it is extended word by word on both sides. The next
+place form a run; its words are compared with those of the first one, a word that
+differs parts the run, and it is extended word by word on both sides. The next
 fingerprint of a longer match would lie within WINDOW words, so that no more words
-than these are looked at. Repeated stretches of
+than these are looked at. Case counts, white space does not. Repeated stretches of
 LEAST_WORDS words or more are removed, except where they occur first.
 """
 
@@ -23,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sessionweave.llm.common import bounded_batches, materialised
-from sessionweave.llm.fingerprints import _LETTER, _SPACE, _pieces, mixed, powers
+from sessionweave.llm.fingerprints import _SPACE, _pieces, mixed, powers
 
 #: Words of a shingle, and successive shingles of which one at least is a fingerprint.
 SHINGLE, WINDOW = 27, 13
@@ -35,6 +36,10 @@ LEFT = 0.2
 KEY = ["_doc", "_crc"]
 NAMES = "_doc long, _crc long"
 
+#: Every byte, upper case too, has a value of its own.
+_BYTE = np.random.Generator(np.random.PCG64(20240811)).integers(1, 1 << 64, 256, dtype=np.uint64, endpoint=False)
+
+
 @dataclass
 class Layout:
     """Fingerprints of a run of texts: text, position among the text's own, hash, first word in the text, words."""
@@ -74,7 +79,7 @@ def layout(data: np.ndarray, offsets: np.ndarray) -> Layout:
     first = np.searchsorted(starts, offsets)
     count = np.diff(first)
     up, down = powers(max(len(data), len(starts)) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_LETTER[data] * up[: len(data)], dtype=np.uint64)])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[: len(data)], dtype=np.uint64)])
     h = mixed((total[ends] - total[starts]) * down[starts])
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)])
     of = np.repeat(np.arange(len(count)), count)
@@ -194,6 +199,21 @@ def same_text[T: (str, bytes)](x: T, y: T) -> bool:
     return x == y or x.split() == y.split()
 
 
+def same_stretches(x: bytes, y: bytes) -> list[tuple[int, int, int, int]]:
+    """``b0, b1, w0, w1``: bytes of ``x``, and words, of the stretches in which words of one place are equal."""
+    if same_text(x, y):
+        return [(0, len(x), 0, len(x.split()))]
+    edge = np.append(word_places(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[0], len(x)).tolist()
+    found, since = [], None
+    for i, (a, b) in enumerate([*zip(x.split(), y.split()), (b"", None)]):
+        if a == b and since is None:
+            since = i
+        elif a != b and since is not None:
+            found.append((edge[since], edge[i], since, i))
+            since = None
+    return found
+
+
 def alike(x: list, y: list) -> int:
     """How many words two lists share from their start."""
     n = 0
@@ -236,9 +256,10 @@ def repeats(found: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for doc, crc, at, word, before, text, after, fb, ft, fa in zip(*(c.to_pylist() for c in batch.columns)):
-                if same_text(text, ft):
-                    (low, more), (high, further) = shared_end(before, fb), shared_start(after, fa)
-                    rows.append((doc, crc, at - len(low), at + len(text) + len(high), word - more, word + len(text.split()) + further))
+                for b0, b1, w0, w1 in same_stretches(text, ft):
+                    low, more = shared_end(before, fb) if b0 == 0 else (b"", 0)
+                    high, further = shared_start(after, fa) if b1 == len(text) else (b"", 0)
+                    rows.append((doc, crc, at + b0 - len(low), at + b1 + len(high), word + w0 - more, word + w1 + further))
             columns = list(zip(*rows)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [*KEY, "b0", "b1", "w0", "w1"])
 

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from sessionweave.llm.fingerprints import _pieces
-from sessionweave.llm.line_dedup import deduplicated, layout, pieces, same_text, shared_end, shared_start, without_repeats
+from sessionweave.llm.line_dedup import deduplicated, layout, pieces, same_stretches, same_text, shared_end, shared_start, without_repeats
 from tests.llm.conftest import PASSAGE
 
 
@@ -124,3 +124,18 @@ def test_any_39_words_share_a_fingerprint():
             text = " ".join(words(rng.randint(0, 60)) + shared + words(rng.randint(0, 60))).encode()
             found.append(set(layout(np.frombuffer(text, np.uint8), np.array([0, len(text)])).hash.tolist()))
         assert found[0] & found[1]
+
+
+def test_case_parts_runs_and_groups(spark):
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    left, right, other = words(80), words(80), words(100)
+    rows = [(1, f"{left} blue {right}"), (2, f"{left} Blue {right}"), (3, other.upper()), (4, other), (5, other), (6, other)]
+    got = {r.doc_id: r.text.strip() for r in deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "Blue", 3: other.upper(), 4: other, 5: "", 6: ""}
+
+
+def test_a_differing_word_parts_a_run():
+    assert same_stretches(b"a b\nc d", b"a b c  d") == [(0, 7, 0, 4)]
+    assert same_stretches(b"a  b X d ", b"a b c d") == [(0, 5, 0, 2), (7, 9, 3, 4)]
+    assert same_stretches(b"X b", b"a b") == [(2, 3, 1, 2)] and same_stretches(b"a", b"b") == []
