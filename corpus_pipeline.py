@@ -25,7 +25,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages are cut out of all but their first document; copies that lose nearly all go."""
+    """Repeated passages are cut out of all but their first document; copies that lose every word go."""
     return without_repeats(docs)
 
 

@@ -23,15 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import bounded_batches, materialised
+from sessionweave.llm.common import SPACES, bounded_batches, materialised
 from sessionweave.llm.fingerprints import _SPACE, _pieces, mixed, powers
 
 #: Words of a shingle, and successive shingles of which one at least is a fingerprint.
 SHINGLE, WINDOW = 27, 13
 #: Fewest words of a removed stretch, and of a run with what it was extended by for it to count.
 LEAST_WORDS, LEAST_MATCH = 40, 8
-#: A document of which less than this share of bytes is left is a copy and goes as a whole.
-LEFT = 0.2
 #: Names a text: its doc_id and, should several texts share that, its checksum.
 KEY = ["_doc", "_crc"]
 NAMES = "_doc long, _crc long"
@@ -318,6 +316,11 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     return left.select(*shown, "n_removed", share.alias("share_left"))
 
 
-def without_repeats(docs: DataFrame, left: float = LEFT) -> DataFrame:
-    """``docs`` without repeated passages, and without documents of which less than ``left`` of the bytes remains."""
-    return deduplicated(docs).where(F.col("share_left") >= left).select(*docs.columns)
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` without repeated passages, and without documents of which no word remains.
+
+    A document with words of its own left stays, however few, as later holders of
+    its passages may have lost them to it: every passage is left in some document.
+    """
+    done = deduplicated(docs)
+    return done.where((F.col("n_removed") == 0) | (F.translate("text", SPACES, "") != "")).select(*docs.columns)

@@ -139,3 +139,14 @@ def test_a_differing_word_parts_a_run():
     assert same_stretches(b"a b\nc d", b"a b c  d") == [(0, 7, 0, 4)]
     assert same_stretches(b"a  b X d ", b"a b c d") == [(0, 5, 0, 2), (7, 9, 3, 4)]
     assert same_stretches(b"X b", b"a b") == [(2, 3, 1, 2)] and same_stretches(b"a", b"b") == []
+
+
+def test_every_passage_is_left_in_some_document(spark):
+    rng = random.Random(10)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    copied, own = words(500), words(60)
+    rows = [(1, copied), (5, f"{copied} {own}"), (9, f"{words(50)} {own} {words(50)}"), (12, f"{own} {words(50)}"), (13, f" {copied}\n"), (14, ""), (15, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in without_repeats(docs).collect()}
+    assert got.keys() == {1, 5, 9, 12, 14, 15}
+    assert got[1] == copied and got[5].strip() == own and own not in got[9] and own not in got[12]
