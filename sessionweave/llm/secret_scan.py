@@ -38,7 +38,7 @@ _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(ACCESS)
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")  # the runs of HEX that are long enough
 _WORDS = re.compile("passw(?:or)?d|secret|token|api_?key", re.IGNORECASE | re.ASCII)
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?(?![A-Za-z0-9+/_-])")
 
 ALPHABETS = {
     "hex": "0123456789abcdef",

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from sessionweave.llm.secret_scan import base_spans, encoding_of, randomness, redacted, secret_digests, secrets, threshold
+from sessionweave.llm.secret_scan import base_spans, candidates, encoding_of, randomness, redacted, secret_digests, secrets, threshold
 
 def brute(t):
     either = lambda w: "".join(f"[{c}{c.upper()}]" for c in w)
@@ -65,3 +65,22 @@ def test_digests(spark, edge_docs, no_docs):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for k, _, _ in want) for x in ("assign", "access", "hex"))
         assert set(shown.split(",")) <= set(r.spans.split(","))
     assert secret_digests(no_docs).count() == 0
+
+
+def test_values_after_an_equals_sign_are_candidates(spark):
+    random.seed(5)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    value = lambda letters, n=40: "".join(random.choices(letters, k=n))
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "export AUTH={}\n", "see https://a.b/c?x=1&sig={}&y=2", "https://a.b/?sig={}", "AUTH = '{}'", "k={}==", "k={}= and"]
+    for form in forms:
+        url = value(b64.replace("+", "-").replace("/", "_"))
+        for v in (url, value(b64)):
+            text = form.format(v)
+            spans = [text[s:e] for *_, s, e in candidates(text, [])]
+            assert v in [x.rstrip("=") for x in spans], text
+            if form.startswith("k="):
+                assert v + form[4:].split()[0] in spans
+    assert candidates("a=" + "=" * 30 + " b=short", []) == []
+    docs = spark.createDataFrame([(i, forms[i % 4].format(value(b64[:-2] + "-_"))) for i in range(1200)], "doc_id long, text string")
+    shown = {r.doc_id: [r.text[x["start"] : x["end"]] for x in r.random] for r in secrets(docs).join(docs, "doc_id").collect()}
+    assert sum(any(len(x) == 40 for x in v) for v in shown.values()) >= 1080
