@@ -24,9 +24,12 @@ FEATURES = (
     "boilerplate", "article", "heading", "article_on_page",
 )
 
-_SKIPPED = "script|style|noscript|template|svg|math|iframe|object|canvas|textarea|select|button|title|audio|video"
+# Elements whose content is no markup and runs to the page's end if unclosed, and others that are left out once closed.
+_RAW = "script|style|noscript|iframe|textarea|title"
+SKIPPED = frozenset("template svg math object canvas select button audio video".split())
+FOREIGN = frozenset(("svg", "math"))
 _TAG = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_SKIPPED})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})(?=[\s/>])([^>]*)>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-z][^>]*(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
@@ -88,6 +91,37 @@ def _part(tag: str, names: set[str]) -> str:
     return ""
 
 
+def tags(page: str) -> list[tuple[int, int, bool, str, str]]:
+    """``start, end, closing, name, attributes`` of the markup in order; no name if only its place matters.
+
+    A skipped element and all in it is one entry, if it is closed: a closing tag ends
+    the nearest open one of its name. Without closing tag its tags are ordinary ones.
+    ``<svg/>`` and ``<math/>`` are empty, and so is any such tag inside them.
+    """
+    found: list[tuple[int, int, bool, str, str]] = []
+    opened: list[tuple[str, int]] = []  # skipped elements that are open, and where they are in ``found``
+    number = dict.fromkeys(SKIPPED, 0)
+    at = 0
+    while m := _TAG.search(page, at):
+        at = m.end()
+        if m[1] is not None and m[2].endswith("/") and any(number[x] for x in FOREIGN):
+            at = m.end(2) + 1
+        name = (m[4] or "").lower()
+        found.append((m.start(), at, m[3] == "/", name, m[5] or ""))
+        if name not in SKIPPED or (name in FOREIGN and m[5].endswith("/")):
+            continue
+        if m[3] != "/":
+            opened.append((name, len(found) - 1))
+            number[name] += 1
+        elif number[name]:
+            last, i = "", 0
+            while last != name:
+                last, i = opened.pop()
+                number[last] -= 1
+            found[i:] = [(found[i][0], at, False, "", "")]
+    return found
+
+
 def blocks(page: str) -> list[Block]:
     """Text blocks of a page in order; markup may be unclosed or misnested."""
     found: list[Block] = []
@@ -114,13 +148,12 @@ def blocks(page: str) -> list[Block]:
             link_words[0] += len(text.split())
 
     at = 0
-    for m in _TAG.finditer(page):
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        if m[3] is None:
+    for start, end, closing, tag, attributes in tags(page):
+        if start > at:
+            add(page[at:start])
+        at = end
+        if not tag:
             continue
-        tag, closing = m[3].lower(), m[2] == "/"
         if tag == "br":
             texts.append(" ")
             continue
@@ -130,7 +163,7 @@ def blocks(page: str) -> list[Block]:
             flush()
             state["link"] = 0
             state["heading"] = tag in HEADINGS and not closing
-        if tag not in HOLDER_TAGS or m[4].rstrip().endswith("/"):
+        if tag not in HOLDER_TAGS or attributes.rstrip().endswith("/"):
             continue
         if closing:
             for i in range(len(open_tags) - 1, -1, -1):
@@ -140,7 +173,7 @@ def blocks(page: str) -> list[Block]:
                     del open_tags[i:]
                     break
         else:
-            part = _part(tag, _names(m[4]) if m[4].strip() else set())
+            part = _part(tag, _names(attributes) if attributes.strip() else set())
             if tag in ("p", "span", "td") and not part:
                 continue
             if part and tag not in BLOCK_TAGS:

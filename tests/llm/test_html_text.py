@@ -43,3 +43,20 @@ def test_odd_rows(spark):
     got = sorted(((r.page_id or 0, r.n_chars) for r in extracted(pages).collect()))
     assert got[:1] == [(0, 999_999)] and got[1:3] == [(1, 0), (1, 0)] and len(got) == 5
     assert extracted(pages.limit(0)).count() == 0
+
+
+def test_skipped_elements_end_where_they_close():
+    texts = lambda page: " ".join(b.text for b in blocks(page)).split()
+    for tag in ("svg", "math"):
+        assert texts(f"<p>a<{tag} class='x'/>b</p><p>c<{tag}/>d") == ["ab", "cd"]
+    for tag in ("svg-icon", "video-player", "button-group", "select-menu", "object-view", "title-bar", "script-note"):
+        assert texts(f"<p>a <{tag} x=1>b</{tag}> c</p><p>d</p>") == ["a", "b", "c", "d"]
+    for tag in ("button", "select", "object", "video", "canvas", "audio", "template", "svg"):
+        assert texts(f"<p>a<{tag} x=1>b<p>c<p>d") == ["ab", "c", "d"]
+        assert texts(f"<p>a<{tag}>b<p>c</p><{tag}>no</{tag} ><p>d") == ["ab", "c", "d"]
+        assert texts(f"<p>a <{tag}>no<{tag}>no</{tag}>no</{tag}> b</{tag}> c") == ["a", "b", "c"]
+    for tag in ("script", "style", "textarea", "title", "iframe", "noscript"):
+        assert texts(f"<p>a<{tag} x=1>no<p>no</p>") == ["a"] and texts(f"<p>a <{tag}/>no</{tag}\n> b") == ["a", "b"]
+    assert texts("<p>a <svg><title/><path d='M0'/><text>no</text></svg> b") == ["a", "b"]
+    assert texts("<p>a <svg><button></svg> b") == ["a", "b"]
+    assert texts("<button>" * 20_000 + "a" + "</svg>" * 20_000 + "b") == ["ab"]
