@@ -4,9 +4,10 @@ Every WINDOW successive shingles of SHINGLE words choose the one with the least
 (winnowing). The choice depends on those words only, so that any SHINGLE + WINDOW - 1
 = 39 words that two places share, in any script with words between white space and in
 any context, share a fingerprint. Fingerprints are grouped by hash over all documents.
-Overlapping fingerprints of a document that occur first at one distance in another
-place form a run; its words are compared with those of the first one, a word that
-differs parts the run, and it is extended word by word on both sides. The next
+A repeated one comes from where it is last before in its own document, so that a line
+repeated over and over is one run, else from its first document. Overlapping
+fingerprints that come from one place form a run; its words are compared with those
+of that place, a word that differs parts the run, and it is extended word by word on both sides. The next
 fingerprint of a longer match would lie within WINDOW words, so that no more words
 than these are looked at. Case counts, white space does not. Repeated stretches of
 LEAST_WORDS words or more are removed, except where they occur first.
@@ -131,18 +132,23 @@ def fingerprint_index(docs: DataFrame) -> DataFrame:
 
 
 def runs(index: DataFrame) -> DataFrame:
-    """``_doc, _crc, a, n, f_doc, f_crc, fa``: words ``a .. a+n-1`` occur first as ``fa ..`` of another place.
+    """``_doc, _crc, a, n, f_doc, f_crc, fa``: words ``a .. a+n-1`` are also, earlier, the words ``fa ..`` of another place.
 
-    First is the least doc_id, then checksum, then position. Hashes alone are counted
-    first; places are compared for repeated ones only. A hash of a third of all
-    rows is counted before it moves, and its rows are joined to one row.
+    Earlier is the last place before in the same document, else the first one of all by
+    doc_id, then checksum, then position. Hashes alone are counted first; places are
+    compared for repeated ones only. A hash of a third of all rows is counted before it
+    moves, and its rows are joined to one row.
     """
     place = F.struct(*KEY, "word")
     repeated = materialised(index.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     rows = materialised(index.join(repeated, "h", "left_semi"))
     groups = rows.groupBy("h").agg(F.min(place).alias("lo"))
-    rows = rows.join(groups, "h").where(place != F.col("lo")).distinct()
-    rows = rows.select(*KEY, "word", F.col("lo._doc").alias("f_doc"), F.col("lo._crc").alias("f_crc"), (F.col("lo.word") - F.col("word")).alias("d"))
+    rows = rows.join(groups, "h").repartition(*KEY).distinct()
+    before = F.lag("word").over(W.partitionBy(*KEY, "h").orderBy("word"))
+    rows = rows.withColumn("_before", before).where(F.col("_before").isNotNull() | (place != F.col("lo")))
+    own = F.col("_before").isNotNull()
+    source = [F.when(own, F.col(k)).otherwise(F.col(f"lo.{k}")).alias(f) for k, f in zip(KEY, ("f_doc", "f_crc"))]
+    rows = rows.select(*KEY, "word", *source, (F.coalesce("_before", "lo.word") - F.col("word")).alias("d"))
     order = W.partitionBy(*KEY).orderBy("word")  # a document's own fingerprints
     origin = F.struct("f_doc", "f_crc", "d")
     goes_on = F.lag(origin).over(order).eqNullSafe(origin) & (F.col("word") - F.lag("word").over(order) <= SHINGLE)
@@ -152,29 +158,34 @@ def runs(index: DataFrame) -> DataFrame:
     return materialised(found.select(*KEY, "a", "n", "f_doc", "f_crc", (F.col("a") + F.col("d")).alias("fa")))
 
 
-SLICE = "a int, n int, at int, before binary, text binary, after binary"
+SLICE = "a int, n int, f_doc long, f_crc long, fa int, at int, before binary, text binary, after binary"
 
 
-def slices(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Texts of the runs ``_doc, _crc, a, n`` in ``wanted``, each once, with WINDOW words on both sides.
+def slices(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Texts of the runs ``found`` and, each once and with a null ``fa``, of their sources, with WINDOW words on both sides.
 
     ``at`` is the byte at which ``text`` starts.
     """
-    per = wanted.distinct().groupBy(*KEY).agg(F.collect_list(F.struct("a", "n")).alias("runs"))  # of one document
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("f_doc", "long"), ("f_crc", "long"), ("fa", "int"))]
+    sources = found.select(F.col("f_doc").alias("_doc"), F.col("f_crc").alias("_crc"), F.col("fa").alias("a"), "n").distinct()
+    asked = ["a", "n", "f_doc", "f_crc", "fa"]
+    wanted = found.select(*KEY, *asked).unionByName(sources.select("*", *nothing))
+    per = wanted.groupBy(*KEY).agg(F.collect_list(F.struct(*asked)).alias("runs"))  # of one document
     joined = _joined(docs.select(*_keys(), "text"), per).select(*KEY, "text", "runs")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-        names = [*KEY, "a", "n", "at", "before", "text", "after"]
+        longs, ints, texts = [pa.int64()] * 2, [pa.int32()] * 2, [pa.binary()] * 3
+        kinds = [*longs, *ints, *longs, *ints, *texts]
+        names = [*KEY, *asked, "at", "before", "text", "after"]
         for batch in batches:
             rows: list[tuple] = []
-            for doc, crc, text, asked in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, crc, text, runs_ in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
                 edge = np.append(word_places(np.frombuffer(data, np.uint8), np.array([0, len(data)]))[0], len(data))
-                for r in asked:
+                for r in runs_:
                     a, b = r["a"], r["a"] + r["n"]
                     low, high = edge[max(a - WINDOW, 0)], edge[min(b + WINDOW, len(edge) - 1)]
-                    rows.append((doc, crc, a, r["n"], int(edge[a]), data[low : edge[a]], data[edge[a] : edge[b]], data[edge[b] : high]))
+                    rows.append((doc, crc, *(r[c] for c in asked), int(edge[a]), data[low : edge[a]], data[edge[a] : edge[b]], data[edge[b] : high]))
                 if len(rows) > 1000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
                     rows = []
@@ -240,15 +251,13 @@ def shared_start[T: (str, bytes)](x: T, y: T) -> tuple[T, int]:
     return x[: len(x) - len(parts[n])] if len(parts) > n else x, n
 
 
-def repeats(found: DataFrame, texts: DataFrame) -> DataFrame:
-    """``_doc, _crc, b0, b1, w0, w1``: bytes and words of each stretch of a run that equals its first occurrence, with its extension."""
-    own = texts.select(*KEY, "a", "n", "at", "before", "text", "after")
-    first = texts.select(F.col("_doc").alias("f_doc"), F.col("_crc").alias("f_crc"), F.col("a").alias("fa"), "n", *[F.col(c).alias(f"f_{c}") for c in ("before", "text", "after")])
-    pairs = _joined(found, own.withColumnsRenamed({"a": "oa", "n": "on"})).where("a = oa and n = on")
-    x, y = pairs.alias("x"), first.alias("y")
-    same = F.col("x.f_crc").eqNullSafe(F.col("y.f_crc")) & F.col("x.f_doc").eqNullSafe(F.col("y.f_doc"))
-    both = x.join(y, same & (F.col("x.fa") == F.col("y.fa")) & (F.col("x.n") == F.col("y.n")))
-    both = both.select("_doc", "_crc", "at", F.col("x.a").alias("word"), "before", "text", "after", "f_before", "f_text", "f_after")
+def repeats(texts: DataFrame) -> DataFrame:
+    """``_doc, _crc, b0, b1, w0, w1``: bytes and words of each stretch of a run that equals its source, with its extension."""
+    own = texts.where("fa is not null").alias("x")
+    source = texts.where("fa is null").select(*KEY, "a", "n", *[F.col(c).alias(f"f_{c}") for c in ("before", "text", "after")]).alias("y")
+    same = F.col("x.f_crc").eqNullSafe(F.col("y._crc")) & F.col("x.f_doc").eqNullSafe(F.col("y._doc"))
+    both = own.join(source, same & (F.col("x.fa") == F.col("y.a")) & (F.col("x.n") == F.col("y.n")))
+    both = both.select("x._doc", "x._crc", "at", F.col("x.a").alias("word"), "before", "text", "after", "f_before", "f_text", "f_after")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,8 +313,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     bare = docs.select("doc_id", "text")
     found = runs(fingerprint_index(bare))
-    wanted = found.select(*KEY, "a", "n").unionByName(found.select(F.col("f_doc").alias("_doc"), F.col("f_crc").alias("_crc"), F.col("fa").alias("a"), "n"))
-    ranges = materialised(removed_ranges(repeats(found, slices(bare, wanted))))
+    ranges = materialised(removed_ranges(repeats(slices(bare, found))))
     columns = [c for c in docs.columns if c not in ("n_removed", "share_left")]
     whole = docs.select(F.struct(*columns).alias("_row"), *_keys())
     keyed = _joined(whole, ranges, "left")
