@@ -15,6 +15,7 @@ from sessionweave.llm.quality_rules import quality
 from sessionweave.llm.secret_scan import secret_digests
 from sessionweave.llm.sentencepiece_codec import encoded, read_model
 from sessionweave.llm.sharding import document_shards
+from sessionweave.llm.spelling import spelling_variants
 from sessionweave.llm.toxicity import scored
 from sessionweave.llm.warc import archive_pages
 
@@ -60,8 +61,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_ngram_join, op3_sharding, op4_decontaminate, op5_warc, op6_sentencepiece, op7_secret_scan, op8_html_text, op9_toxicity, op10_quality_rules)}
+    every = (
+        op1_line_dedup,
+        op2_ngram_join,
+        op3_sharding,
+        op4_decontaminate,
+        op5_warc,
+        op6_sentencepiece,
+        op7_secret_scan,
+        op8_html_text,
+        op9_toxicity,
+        op10_quality_rules,
+        op12_spelling_variants,
+    )
+    return {f.__name__: f for f in every}
 
 
 def llm_oracles() -> dict[str, str]:
