@@ -16,6 +16,7 @@ from sessionweave.llm.secret_scan import secret_digests
 from sessionweave.llm.sentencepiece_codec import encoded, read_model
 from sessionweave.llm.sharding import document_shards
 from sessionweave.llm.spelling import spelling_variants
+from sessionweave.llm.tokenizer_links import linked_tokens, read_tokenizers
 from sessionweave.llm.toxicity import scored
 from sessionweave.llm.warc import archive_pages
 
@@ -61,6 +62,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op11_tokenizer_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_tokens(table(spark, sf_dir, "documents"), read_tokenizers())
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_html_text,
         op9_toxicity,
         op10_quality_rules,
+        op11_tokenizer_links,
         op12_spelling_variants,
     )
     return {f.__name__: f for f in every}
