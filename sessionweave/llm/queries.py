@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sessionweave.llm.common import table
 from sessionweave.llm.decontaminate import contaminated
@@ -17,6 +18,7 @@ from sessionweave.llm.sentencepiece_codec import encoded, read_model
 from sessionweave.llm.sharding import document_shards
 from sessionweave.llm.spelling import spelling_variants
 from sessionweave.llm.tokenizer_links import linked_tokens, read_tokenizers
+from sessionweave.llm.topk_search import nearest
 from sessionweave.llm.toxicity import scored
 from sessionweave.llm.warc import archive_pages
 
@@ -70,6 +72,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_line_dedup,
@@ -84,6 +90,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op10_quality_rules,
         op11_tokenizer_links,
         op12_spelling_variants,
+        op13_topk_search,
     )
     return {f.__name__: f for f in every}
 
