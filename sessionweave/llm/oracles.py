@@ -3,9 +3,9 @@
 ORACLES: dict[str, str] = {
     "op13_topk_search": """
 WITH v AS (
- SELECT vec_id, list_transform(embedding, x -> floor(64 * cast(x AS double))) AS v
+ SELECT vec_id, list_transform(embedding, lambda x: floor(64 * cast(x AS double))) AS v
  FROM embeddings
- WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
  SELECT q.vec_id AS query_id, c.vec_id, cast(list_inner_product(q.v, c.v) AS bigint) AS score
  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id

@@ -187,13 +187,16 @@ def align(a_lists: list[np.ndarray], b_lists: list[np.ndarray], a_sizes: np.ndar
     a_doc, b_doc = np.repeat(documents, [len(x) for x in a_lists]), np.repeat(documents, [len(x) for x in b_lists])
     # Both cover the same bytes, so offsets may run on over all documents.
     a_end, b_end = np.cumsum(a_sizes[a]), np.cumsum(b_sizes[b])
-    common = np.intersect1d(a_end, b_end, assume_unique=True)
-    cuts = np.union1d(a_end, b_end)
+    marks = np.zeros((2, int(a_end[-1]) + 1 if len(a) else 1), bool)
+    marks[0, a_end] = marks[1, b_end] = True
+    both = marks[0] & marks[1]
+    common, cuts = np.flatnonzero(both), np.flatnonzero(marks[0] | marks[1])
+    # Tokens that end before each byte offset, and groups.
+    a_before, b_before, groups_before = (np.cumsum(x, dtype=np.int64) - x for x in (marks[0], marks[1], both))
     # Between two cuts lies one token of each side, and each overlapping pair has one such stretch.
-    link_a, link_b = np.searchsorted(a_end, cuts), np.searchsorted(b_end, cuts)
-    a_group, b_group = np.searchsorted(common, a_end), np.searchsorted(common, b_end)
-    group_doc = a_doc[np.searchsorted(a_end, common)]
-    return Aligned(a, b, a_doc, b_doc, a_group, b_group, link_a, link_b, a_doc[link_a], group_doc)
+    link_a, link_b = a_before[cuts], b_before[cuts]
+    group_doc = a_doc[a_before[common]]
+    return Aligned(a, b, a_doc, b_doc, groups_before[a_end], groups_before[b_end], link_a, link_b, a_doc[link_a], group_doc)
 
 
 def pair_keys(found: Aligned, b_ids: int) -> np.ndarray:
