@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sessionweave.operators.deltas import event_deltas
 from sessionweave.operators.skew import SkewProfile, profile
+from sessionweave.plans.features import log_bucket
 from sessionweave.workspace import remembered, written
 from sessionweave.presets import FeatureParams, Milestone, Transition
 from sessionweave.sources.adapters import answers_for_sessions, events_as_log
@@ -58,9 +59,9 @@ def raw_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def log(spark: SparkSession, sf: str) -> DataFrame:
-    """Event log with deltas and sentinels, written once."""
+    """Event log with deltas and sentinels, written once and bucketed by session."""
     build = lambda: event_deltas(raw_log(spark, sf), skew(spark, sf))
-    return written(spark, f"{sf}/log", build, ("level_group",))
+    return written(spark, f"{sf}/log", build, ("level_group",), log_bucket(skew(spark, sf)))
 
 
 def sessions(spark: SparkSession, sf: str) -> DataFrame:

@@ -358,14 +358,6 @@ def _third() -> dict[str, str]:
  SELECT session_id, q, cast(w.s - t.s AS double) / (w.n - t.n) AS p FROM f JOIN t USING (q, fold) JOIN w USING (q)"""
     o["labels_for_question"] = f"WITH {ANSWERS} SELECT session_id, correct FROM answers WHERE q = 7"
     o["question_subset"] = f"WITH {ANSWERS} SELECT session_id, q, correct, p FROM answers WHERE q IN (1, 4, 14)"
-    o["chain_features"] = more(
-        ANSWERS,
-        """SELECT f.session_id, session_number, et_mean, p1 AS p_q1, p2 AS p_q2, p3 AS p_q3, p4 AS p_q4, correct FROM
- (SELECT session_id, count(*) AS session_number, round(avg(cast(elapsed_time_diff AS double)), 4) AS et_mean FROM d WHERE level_group = '5-12' GROUP BY session_id) f
- LEFT JOIN (SELECT session_id, max(p) FILTER (WHERE q = 1) AS p1, max(p) FILTER (WHERE q = 2) AS p2, max(p) FILTER (WHERE q = 3) AS p3,
-  max(p) FILTER (WHERE q = 4) AS p4 FROM answers GROUP BY session_id) a USING (session_id)
- JOIN (SELECT session_id, correct FROM answers WHERE q = 5) l USING (session_id)""",
-    )
     o["truth_matrix"] = (
         f"WITH {ANSWERS} SELECT session_id, "
         + ", ".join(f"max(correct) FILTER (WHERE q = {q}) AS q{q}" for q in range(1, 19))
@@ -502,16 +494,6 @@ def _aliases(select: str) -> list[str]:
     return re.findall(r' AS ("[^"]+"|\w+?)(?=,|$| FROM d)', select)
 
 
-WIDE = (
-    ("session_number_grp0-4", "base", False),
-    ("click_event_name_countsgrp0-4", "base", True),
-    ("signup_ET_std_grp0-4", "base", False),
-    ("hover_duration_quantile8_grp0-4", "base", False),
-    ("room.1_room_fqid_countsgrp0-4", "base", True),
-    ("index_count_error_grp0-4_above", "above", True),
-    ("elapsed_time_diff_to_room.2_grp0-4_above", "above", False),
-    ("navigate_index_countroom.0_5_grp0-4", "navigate", True),
-)
 DROPPED = {
     "0-4": ("session_number_grp0-4", "no_such_feature"),
     "5-12": ("fq1_ET_mean_grp5-12", "tx.1_text_ET_quantile2_grp13-22"),
@@ -542,21 +524,85 @@ mm AS (SELECT * FROM members UNION ALL SELECT session_id, '5-12', concat(block,
  UNION ALL SELECT session_id, '13-22', concat(block, '@0-4') FROM members SEMI JOIN s2 USING (session_id) SEMI JOIN s3 USING (session_id) WHERE level_group = '0-4'),
 {_summary('msummary', 'mf', 'mm')}"""
     o["cumulative_group_merge"] = f"{base},\n{merged}\nSELECT level_group, block, feature, zero, sessions, present, {_round('low')}, {_round('high')} FROM msummary"
-    cells = []
-    for name, block, zero in WIDE:
-        value = f"max(value) FILTER (WHERE feature = '{name}')"
-        if zero:
-            value = f"coalesce({value}, CASE WHEN session_id IN (SELECT session_id FROM members WHERE level_group = '0-4' AND block = '{block}') THEN 0 END)"
-        alias = "".join(ch if ch.isalnum() or ch == "_" else "_" for ch in name)
-        cells.append(f"round(coalesce({value}, -1), 2) AS {alias}")
-    o["fill_missing_features"] = f"{base}\nSELECT session_id, {', '.join(cells)} FROM feats WHERE level_group = '0-4' GROUP BY session_id"
+    o["fill_missing_features"] = f"{base},\n{FILLED}\nSELECT session_id, level_group, feature, {_round('value')} FROM filled"
+    groups = "CASE WHEN q <= 3 THEN '0-4' WHEN q <= 13 THEN '5-12' ELSE '13-22' END"
+    o["chain_features"] = f"""{base},
+{FILLED},
+{ANSWERS}
+SELECT a.session_id, a.q, a.correct, n_features, n_missing, coalesce((SELECT string_agg(cast(p1000 AS varchar), ',' ORDER BY b.q) FROM answers b
+ WHERE b.session_id = a.session_id AND b.q < a.q), '') AS earlier
+FROM answers a JOIN (SELECT session_id, level_group, count(*) AS n_features, count(*) FILTER (WHERE value = -1) AS n_missing FROM filled GROUP BY ALL) c
+ ON c.session_id = a.session_id AND c.level_group = {groups}"""
+    o["fit_vocabulary"] = f"""WITH {DELTAS}, {_VALUES}
+SELECT level_group, dimension, value, support FROM ({_SUPPORTED})"""
     return o
 
 
+# Every kept feature of every session: its value, 0 for a count in the block, else -1.
+FILLED = """filled AS (SELECT m.session_id, m.level_group, k.feature, coalesce(f.value, CASE WHEN k.zero AND i.session_id IS NOT NULL THEN 0 END, -1) AS value
+ FROM members m JOIN kept k ON m.block = 'base' AND k.level_group = m.level_group
+ LEFT JOIN feats f ON f.session_id = m.session_id AND f.level_group = m.level_group AND f.feature = k.feature
+ LEFT JOIN members i ON i.session_id = m.session_id AND i.level_group = m.level_group AND i.block = k.block)"""
+_VALUES = """vals AS (SELECT DISTINCT session_id, level_group, 'fqid' AS dimension, fqid AS value, 0.5 AS share FROM d WHERE fqid <> 'fqid_None'
+ UNION ALL SELECT DISTINCT session_id, level_group, 'text_fqid', text_fqid, 0.45 FROM d WHERE text_fqid <> 'text_fqid_None')"""
+_SUPPORTED = """SELECT level_group, dimension, value, count(*) AS support, any_value(share) AS share, any_value(sessions) AS sessions
+ FROM vals JOIN (SELECT level_group, count(DISTINCT session_id) AS sessions FROM d GROUP BY level_group) t USING (level_group)
+ GROUP BY level_group, dimension, value HAVING count(*) >= greatest(floor(round(any_value(sessions) * any_value(share), 9)), 1)"""
+
+
+def _new_log() -> str:
+    """Features of the sessions with odd ids: dictionaries, vocabulary and pruning of the even ones."""
+    even = "session_id % 2 = 0"
+    ctes = feature_ctes()
+    for old in (
+        "AS sessions FROM d GROUP BY level_group",
+        "AS support FROM d GROUP BY ALL",
+        "AS sessions FROM nav GROUP BY ALL",
+        "value FROM feats UNION ALL",
+        "AS members FROM members GROUP BY ALL",
+    ):
+        assert old in ctes
+        name = old.split(" FROM ")[1].split(" ")[0]
+        ctes = ctes.replace(old, old.replace(f"FROM {name}", f"FROM {name} WHERE {even}"))
+    ctes = ctes.replace("AS sessions FROM members WHERE block = 'base'", f"AS sessions FROM members WHERE {even} AND block = 'base'")
+    words = f"{_VALUES},\nvocabulary AS ({_SUPPORTED})".replace("FROM vals JOIN", f"FROM (SELECT * FROM vals WHERE {even}) v JOIN").replace(
+        "FROM d GROUP BY level_group", f"FROM d WHERE {even} GROUP BY level_group"
+    )
+    for dimension, tables in (("fqid", ("v_fqid",)), ("text_fqid", ("v_text_fqid", "q_by_text_quantiles"))):
+        for t in tables:
+            assert f"FROM {t} WHERE" in ctes
+            listed = f"(SELECT * FROM {t} SEMI JOIN (SELECT level_group, value FROM vocabulary WHERE dimension = '{dimension}') w USING (level_group, value)) l"
+            ctes = ctes.replace(f"FROM {t} WHERE", f"FROM {listed} WHERE")
+    ctes = ctes.replace("\nt_counts AS (", f"\n{words},\nt_counts AS (", 1)
+    return f"WITH {ctes},\n{FILLED}\nSELECT session_id, level_group, feature, {_round('value')} FROM filled WHERE session_id % 2 = 1"
+
+
+# Of all cuts between two neighbouring numbers of events, the first of greatest gain by weighted Gini impurity; a side's share of
+# right answers is the forest's score, and the boosted tree's margin is that share from -1 to 1.
+STUMPS = """obs AS (SELECT a.session_id, a.q, a.correct, cast(e.x AS double) AS x, k.kind,
+  CASE WHEN k.kind = 'forest' THEN 1.0 WHEN a.session_id % 3 = 0 THEN 0.5 WHEN a.session_id % 3 = 1 THEN 1.0 ELSE 2.0 END AS w
+ FROM answers a JOIN (SELECT session_id, level_group, count(*) AS x FROM d GROUP BY ALL) e
+  ON e.session_id = a.session_id AND e.level_group = CASE WHEN a.q <= 3 THEN '0-4' WHEN a.q <= 13 THEN '5-12' ELSE '13-22' END,
+  (SELECT unnest(['forest', 'boosted']) AS kind) k),
+steps AS (SELECT kind, q, x, cast(sum(w) AS double) AS n, cast(sum(w * correct) AS double) AS s FROM obs GROUP BY ALL),
+run AS (SELECT kind, q, x, sum(n) OVER u AS ln, sum(s) OVER u AS ls, sum(n) OVER t AS n, sum(s) OVER t AS s, max(x) OVER t AS top FROM steps
+ WINDOW u AS (PARTITION BY kind, q ORDER BY x), t AS (PARTITION BY kind, q)),
+gains AS (SELECT *, 2 * (s / n) * (1 - s / n) - ln / n * 2 * (ls / ln) * (1 - ls / ln) - (n - ln) / n * 2 * ((s - ls) / (n - ln)) * (1 - (s - ls) / (n - ln)) AS gain
+ FROM run WHERE x < top),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kind, q ORDER BY round(gain, 12) DESC, x) AS r FROM gains) g WHERE r = 1 AND gain > 1e-12),
+whole AS (SELECT DISTINCT kind, q, n, s FROM run),
+shares AS (SELECT o.session_id, o.q, o.kind, CASE WHEN b.x IS NULL THEN t.s / t.n WHEN o.x <= b.x THEN b.ls / b.ln ELSE (b.s - b.ls) / (b.n - b.ln) END AS share
+ FROM obs o JOIN whole t USING (kind, q) LEFT JOIN best b USING (kind, q))
+SELECT session_id, q, kind, round(CASE WHEN kind = 'forest' THEN share ELSE 1 / (1 + exp(-2 * (2 * share - 1))) END, 6) AS p FROM shares"""
+
+
 def _models() -> dict[str, str]:
     """What is determined of model results: every session and question once, with a probability; rounds as saved."""
     scores = f"WITH {ANSWERS} SELECT session_id, q, true AS valid FROM answers"
     o = {n: scores for n in ("oof_boosted", "oof_forest", "oof_boosted_early_stop", "oof_weighted", "train_final")}
+    o["stump_scores"] = f"WITH {DELTAS},\n{ANSWERS},\n{STUMPS}"
+    o["score_new_log"] = f"{scores} WHERE session_id % 2 = 1"
+    o["new_log_features"] = _new_log()
     o["save_models"] = f"""WITH {ANSWERS} SELECT q, cast(k AS int) AS fold, true AS same_rounds, 3 AS rounds
  FROM (SELECT DISTINCT q FROM answers) a, range(2) r(k)"""
     return o

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from checks import fixture as fx
 from checks.fixture import PARAMS
-from checks.oracles import DROPPED, WIDE
+from checks.oracles import DROPPED
 from sessionweave.functions.expressions import grid_bin, time_parts, year_weight
 from sessionweave.operators import (
     chain,
@@ -26,11 +26,13 @@ from sessionweave.operators import (
     models,
     quantiles,
     stats,
+    vocabulary,
 )
+from sessionweave.plans import bundle as saved_run
 from sessionweave.plans import features as plan
 from sessionweave.plans import training
-from sessionweave.workspace import remembered, scratch_path, written
-from sessionweave.presets import BOOSTED_EARLY_STOP_PARAMS, DEFAULT_THRESHOLD, FOREST_PARAMS, QUESTIONS
+from sessionweave.workspace import Workspace, materialised, remembered, scratch_path, written
+from sessionweave.presets import BOOSTED_EARLY_STOP_PARAMS, BOOSTED_PARAMS, DEFAULT_THRESHOLD, FOREST_PARAMS, QUESTIONS
 from sessionweave.sources import tables
 
 KEYS = stats.KEYS
@@ -254,15 +256,6 @@ def session_time_parts(spark, sf):
     return stamped_sessions(spark, sf).select("session_id", *[c.alias(n) for n, c in time_parts(F.col("stamp")).items()])
 
 
-def chain_features(spark, sf):
-    rows = fx.log(spark, sf).where("level_group = '5-12'")
-    features = rows.groupBy("session_id").agg(
-        F.count("idx").alias("session_number"), F.round(F.avg("elapsed_time_diff"), 4).alias("et_mean")
-    )
-    answers = fx.answers(spark, sf)
-    return chain.chain_features(features, answers, answers, 5)
-
-
 def originals(spark, sf):
     signups = F.count_if(F.col("event_type") == "signup")
     users = fx.table(spark, sf, "events").groupBy(F.col("user_id").alias("session_id")).agg(signups.alias("n"))
@@ -352,7 +345,6 @@ THIRD = {
     "oof_init_learned": oof_init_learned,
     "labels_for_question": lambda s, sf: chain.require_labels(fx.sessions(s, sf), fx.answers(s, sf), 7),
     "question_subset": lambda s, sf: fx.answers(s, sf).where(F.col("q").isin(1, 4, 14)).select("session_id", "q", "correct", "p"),
-    "chain_features": chain_features,
     "truth_matrix": lambda s, sf: evaluate.truth_matrix(fx.answers(s, sf), QUESTIONS),
     "threshold_sweep": lambda s, sf: score_columns(evaluate.threshold_sweep(fx.answers(s, sf))),
     "best_threshold": lambda s, sf: score_columns(evaluate.best_threshold(evaluate.threshold_sweep(fx.answers(s, sf)))),
@@ -433,11 +425,48 @@ def cumulative_group_merge(spark, sf):
     return round_values(longtable.feature_summary(rows, members), "low", "high")
 
 
+def index(spark, sf):
+    """Places of the kept features in the vectors."""
+    return written(spark, f"{sf}/features/index", lambda: longtable.feature_index(pruned(spark, sf)))
+
+
+def feature_vectors(spark, sf):
+    """Vectors of all sessions and groups."""
+
+    def build():
+        made = features(spark, sf)
+        return longtable.with_vectors(longtable.sparse_cells(made.rows, made.members, index(spark, sf)), index(spark, sf))
+
+    return remembered(spark, f"{sf}/features/vectors", build)
+
+
 def fill_missing_features(spark, sf):
-    made = features(spark, sf)
-    group = F.col("level_group") == "0-4"
-    wide = longtable.to_wide(made.rows.where(group), made.members.where(group), list(WIDE), -1)
-    return wide.select("session_id", *[F.round(c, 2).alias(c) for c in wide.columns[1:]])
+    """Every kept feature of every session and group, as its vectors hold it."""
+    return round_values(longtable.filled_rows(feature_vectors(spark, sf), index(spark, sf)), "value")
+
+
+def chain_features(spark, sf):
+    """Training rows of all questions: label, number of inputs and of missing ones, scores of the questions before."""
+    answers, vectors = fx.answers(spark, sf), feature_vectors(spark, sf)
+    filled = longtable.filled_rows(vectors, index(spark, sf))
+    counts = filled.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_features"), F.count_if(F.col("value") == -1).alias("n_missing"))
+    counts = materialised(counts)
+    out = []
+    for q in QUESTIONS:
+        rows = chain.chain_features(counts.where(F.col("level_group") == chain.group_name(q)), answers, answers, q)
+        scores = [F.round(F.col(c) * 1000).cast("int").cast("string") for c in training.score_columns(q)]
+        earlier = F.concat_ws(",", *scores) if scores else F.lit("")
+        out.append(rows.select("session_id", F.lit(q).alias("q"), "correct", "n_features", "n_missing", earlier.alias("earlier")))
+    return longtable.stack_blocks(out)
+
+
+SUPPORT = {"fqid": 0.5, "text_fqid": 0.45}
+
+
+def fit_vocabulary(spark, sf):
+    log = fx.log(spark, sf)
+    cells = plan.value_table(log, replace(PARAMS, fitted=SUPPORT))
+    return vocabulary.fit_vocabulary(cells, combos.group_sessions(log), SUPPORT)
 
 
 FOURTH = {
@@ -450,6 +479,8 @@ FOURTH = {
     ),
     "cumulative_group_merge": cumulative_group_merge,
     "fill_missing_features": fill_missing_features,
+    "chain_features": chain_features,
+    "fit_vocabulary": fit_vocabulary,
 }
 
 
@@ -458,8 +489,11 @@ FOURTH = {
 
 # The presets but for the number of boosted trees (FIXTURES.md).
 BOOSTED = models.ModelOptions(overrides={"n_estimators": 3})
-EARLY = models.ModelOptions(params=BOOSTED_EARLY_STOP_PARAMS, overrides={"n_estimators": 4})
+EARLY = models.ModelOptions(params=BOOSTED_EARLY_STOP_PARAMS, overrides={"n_estimators": 12, "early_stopping_rounds": 2})
 FOREST = models.ModelOptions(kind="forest", params=FOREST_PARAMS)
+# A question with 50 trees among those with 3; scores of the questions before come from a chain.
+FINAL = models.ModelOptions(params={**BOOSTED_PARAMS, "n_estimators": [50] + [3] * 17})
+FOREST_CHAIN = models.ModelOptions(kind="forest", params={**FOREST_PARAMS, "n_estimators": [20]})
 WEIGHTED = models.ModelOptions(overrides=BOOSTED.overrides, weights=(0.5, 0.8, 1.5))
 
 
@@ -484,11 +518,37 @@ def validation(options, questions=QUESTIONS):
     return run
 
 
+# One split on one feature, on every row: what it scores can be worked out.
+STUMP = {"max_depth": 1, "colsample_bytree": 1.0, "subsample": 1.0}
+STUMPS = {
+    "forest": models.ModelOptions(kind="forest", params={"base": STUMP, "n_estimators": [1]}),
+    "boosted": models.ModelOptions(params={"base": {**STUMP, "learning_rate": 0.1}, "n_estimators": [1]}),
+}
+
+
+def stump_scores(spark, sf):
+    """Scores of one split on a session's number of events, for all questions; the boosted ones with weights."""
+    made, answers = features(spark, sf), fx.answers(spark, sf)
+    places = materialised(longtable.feature_index(pruned(spark, sf).where("feature like 'session_number_grp%'")))
+    rows = longtable.keep_features(made.rows, places)
+    vectors = longtable.with_vectors(longtable.sparse_cells(rows, made.members, places), places)
+    weight = F.when(F.col("session_id") % 3 == 0, 0.5).when(F.col("session_id") % 3 == 1, 1.0).otherwise(2.0)
+    out = []
+    for q in QUESTIONS:
+        group = vectors.where(F.col("level_group") == chain.group_name(q)).select("session_id", "features")
+        asked = group.join(chain.require_labels(group, answers, q), "session_id").withColumn("weight", weight).persist()
+        for kind, options in STUMPS.items():
+            model = models.fit(asked, ["features"], models.classifier(options, q, kind == "boosted"))
+            out.append(models.score(model, asked).select("session_id", F.lit(q).alias("q"), F.lit(kind).alias("kind"), F.round("p", 6).alias("p")))
+    return longtable.stack_blocks(out)
+
+
 def train_final(spark, sf):
     labels, path = fx.answers(spark, sf), scratch_path(spark)
     groups = vectors(spark, sf)
-    training.train_final(spark, groups, labels, labels, BOOSTED, path)
-    return scores_given(training.score_saved(spark, path, groups, QUESTIONS, labels.select("session_id", "q", "p")))
+    earlier = training.run_validation(spark, groups, labels, FOREST_CHAIN, (1,)).predictions
+    training.train_final(spark, groups, labels, earlier, FINAL, path)
+    return scores_given(training.score_saved(spark, path, groups, QUESTIONS, earlier))
 
 
 def save_models(spark, sf):
@@ -508,12 +568,60 @@ def room_grid_pca(spark, sf):
     return models.room_embedding(rows, PARAMS.grid_rooms)
 
 
+# A log of the sessions with even ids trains, one of the others is new.
+NEW = replace(PARAMS, fitted=SUPPORT, time_parts=0)
+
+
+def half_log(spark, sf, odd):
+    """The raw log of every other session, in files of its own."""
+    return written(spark, f"{sf}/half/{odd}", lambda: fx.raw_log(spark, sf).where(F.col("session_id") % 2 == odd))
+
+
+def trained_half(spark, sf):
+    """Place of a run saved on the training half: fitted tables and a forest for each question."""
+
+    def build():
+        path = scratch_path(spark)
+        with Workspace(spark) as space:
+            log = half_log(spark, sf, 0)
+            prepared = space.keep("log", lambda: deltas.event_deltas(log), ("level_group",))
+            made = plan.session_features(prepared, NEW, fx.skew(spark, sf), keep=space.keep)
+            made.rows = space.keep("rows", lambda: made.rows, ("level_group",))
+            selection = plan.selected_features(made, NEW, keep=space.keep)
+            places = materialised(longtable.feature_index(selection.kept))
+            groups = training.group_tables(spark, selection, NEW.level_groups, places)
+            labels = fx.answers(spark, sf).where("session_id % 2 = 0")
+            training.train_final(spark, groups, labels, training.starting_scores(groups), FOREST, path)
+            saved_run.save_bundle(saved_run.Bundle(path, NEW, places, selection.dictionaries))
+        return path
+
+    return remembered(spark, f"{sf}/trained_half", build)
+
+
+def score_new_log(spark, sf):
+    """Scores of the other half of the sessions by the saved run."""
+    bundle = saved_run.with_models(spark, saved_run.load_bundle(spark, trained_half(spark, sf)))
+    scores = saved_run.score_log(spark, half_log(spark, sf, 1), bundle)
+    return scores_given(scores)
+
+
+def new_log_features(spark, sf):
+    """All features of the other half as the saved run's models see them."""
+    bundle = saved_run.load_bundle(spark, trained_half(spark, sf))
+    made = saved_run.new_features(half_log(spark, sf, 1), bundle, Workspace(spark))
+    vectors = longtable.with_vectors(longtable.sparse_cells(made.rows, made.members, bundle.index), bundle.index)
+    return round_values(longtable.filled_rows(vectors, bundle.index), "value")
+
+
 MODELS = {
+    "score_new_log": score_new_log,
+    "new_log_features": new_log_features,
     "room_grid_pca": room_grid_pca,
     "oof_boosted": validation(BOOSTED),
     "oof_forest": validation(FOREST),
     "oof_boosted_early_stop": validation(EARLY),
     "oof_weighted": validation(WEIGHTED),
+    "stump_scores": stump_scores,
     "train_final": train_final,
     "save_models": save_models,
 }

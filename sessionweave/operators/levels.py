@@ -27,7 +27,9 @@ def level_times(log: DataFrame) -> DataFrame:
     ).withColumn("level_diff", F.col("next_min") - F.col("elapsed_time_max"))
 
 
-def level_time_aggregates(params: FeatureParams) -> list:
+def level_time_texts(params: FeatureParams) -> dict[str, str]:
+    """SQL text of each aggregate over a session's level times, by name."""
+
     def at(column, low, high):
         return f"case when level between {low} and {high} then {column} end"
 
@@ -45,7 +47,11 @@ def level_time_aggregates(params: FeatureParams) -> list:
         late = f"(max({at('elapsed_time_max', low, high - 1)}) - min({at('elapsed_time_min', high, high)}))"
         dash = "_" if low == 0 else "-"
         out[f"elapsed_time_diff_fixed_max{low}{dash}{high - 1}_min{high}"] = one_sided(late, "greatest")
-    return [F.expr(text).alias(name) for name, text in out.items()]
+    return out
+
+
+def level_time_aggregates(params: FeatureParams) -> list:
+    return [F.expr(text).alias(name) for name, text in level_time_texts(params).items()]
 
 
 def level_time_features(log: DataFrame, params: FeatureParams) -> DataFrame:

@@ -10,11 +10,15 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sessionweave.functions.expressions import time_parts
 from sessionweave.operators.stats import KEYS
+from sessionweave.workspace import scratch_path
 from sessionweave.presets import NULL_RATE, NULL_RATE_ABOVE, FeatureParams
 
 # Name templates (fixed values): {c} is the dimension's value, {S} the group suffix.
@@ -230,26 +234,98 @@ def merge_groups(features: DataFrame, members: DataFrame, order) -> tuple[DataFr
     """Give each later group the merged features of the group before it, for its own sessions.
 
     Carried rows change their group and mark their block with the group they came
-    from, so that implicit zeros still follow the original block's members.
+    from, so that implicit zeros still follow the original block's members. A row goes
+    on from group to group as long as its session is in the next one: each session has an
+    array of groups for each group it starts from, and every row is expanded by it once.
     """
-    merged, merged_members = [], []
-    carried = carried_members = None
-    for position, group in enumerate(order):
-        in_group = F.col("level_group") == group
-        sessions = members.where(in_group & (F.col("block") == "base")).select("session_id")
-        rows, inside = features.where(in_group), members.where(in_group)
-        if carried is not None:
-            rows = rows.unionByName(_carry(carried, sessions, group, order[position - 1]))
-            inside = inside.unionByName(_carry(carried_members, sessions, group, order[position - 1]))
-        merged.append(rows)
-        merged_members.append(inside)
-        carried, carried_members = rows, inside
-    return stack_blocks(merged), stack_blocks(merged_members)
-
-
-def _carry(rows: DataFrame, sessions: DataFrame, group: str, origin: str) -> DataFrame:
-    block = F.when(F.contains("block", F.lit("@")), F.col("block")).otherwise(F.concat(F.col("block"), F.lit(f"@{origin}")))
-    return rows.join(sessions, "session_id", "left_semi").withColumns({"level_group": F.lit(group), "block": block})
+    places = {group: i for i, group in enumerate(order)}
+    place = F.coalesce(*[F.when(F.col("level_group") == g, F.lit(i)) for g, i in places.items()])
+    inside = members.where("block = 'base'").groupBy("session_id").agg(F.collect_set(place).alias("_places"))
+    spans = []
+    for start, group in enumerate(order):
+        # The groups from here on without a gap.
+        reached = [F.lit(group)]
+        unbroken = F.lit(True)
+        for later in range(start + 1, len(order)):
+            unbroken = unbroken & F.array_contains("_places", later)
+            reached.append(F.when(unbroken, F.lit(order[later])))
+        spans.append(F.struct(F.lit(group).alias("level_group"), F.array_compact(F.array(*reached)).alias("_groups")))
+    onward = inside.select("session_id", F.explode(F.array(*spans)).alias("_span")).select("session_id", "_span.*")
+    return _expanded(features, onward), _expanded(members, onward)
+
+
+def _expanded(rows: DataFrame, onward: DataFrame) -> DataFrame:
+    group = F.explode("_groups").alias("_group")
+    spread = rows.join(onward, ["session_id", "level_group"]).select(*rows.columns, group)
+    own = F.col("_group") == F.col("level_group")
+    block = F.when(own, F.col("block")).otherwise(F.concat("block", F.lit("@"), "level_group"))
+    changed = {"level_group": F.col("_group"), "block": block}
+    return spread.select(*[changed.get(c, F.col(c)).alias(c) for c in rows.columns])
+
+
+# --- vectors ------------------------------------------------------------------
+
+
+def feature_index(kept: DataFrame) -> DataFrame:
+    """``level_group, feature, block, zero, index``: the place of each kept feature in its group's vectors, by name."""
+    by_name = Window.partitionBy("level_group").orderBy("feature", "block")
+    return kept.select("level_group", "feature", "block", "zero", (F.row_number().over(by_name) - 1).alias("index"))
+
+
+def sparse_cells(features: DataFrame, members: DataFrame, index: DataFrame) -> DataFrame:
+    """``session_id, level_group, indices, values``: one row per session of a group, straight from the long rows.
+
+    A missing value stands below every other, as a fill of -1 would put it. Here everything
+    moves up by one instead, so that missing values are 0 and need no cell; a tree splits
+    the same sessions either way. Counts keep their zeros, and only sessions outside
+    the block get -1. A session with two values of one feature is an error.
+    """
+    value = F.when(F.col("zero"), F.col("value")).otherwise(F.col("value") + 1)
+    places = index.select("level_group", "feature", "index")
+    cells = features.join(places, ["level_group", "feature"]).select(*KEYS, "index", value.alias("value")).where("value <> 0")
+    # One row per (group, block) with counts.
+    counted = index.where("zero").groupBy("level_group", "block").agg(F.collect_list("index").alias("_counts"))
+    base = members.where("block = 'base'").select(*KEYS)
+    outside = base.join(F.broadcast(counted), "level_group").join(members.select(*KEYS, "block"), [*KEYS, "block"], "left_anti")
+    cells = cells.unionByName(outside.select(*KEYS, F.explode("_counts").alias("index"), F.lit(-1.0).alias("value")))
+    arrays = cells.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("_cells"))
+    indices = F.coalesce("_cells.index", F.array().cast("array<int>"))
+    twice = F.size(F.array_distinct(indices)) < F.size(indices)
+    return base.join(arrays, KEYS, "left").select(
+        *KEYS,
+        F.when(twice, F.raise_error(F.lit("two values of one feature in a session"))).otherwise(indices).alias("indices"),
+        F.coalesce("_cells.value", F.array().cast("array<double>")).alias("values"),
+    )
+
+
+def with_vectors(cells: DataFrame, index: DataFrame) -> DataFrame:
+    """``session_id, level_group, features``: the cells as sparse vectors, written.
+
+    The parts of a vector are written as Parquet and read back as its type, which needs no Python worker.
+    """
+    spark, path = cells.sparkSession, scratch_path(cells.sparkSession)
+    sizes = index.groupBy("level_group").agg(F.count(F.lit(1)).cast("int").alias("_size"))
+    sparse = F.struct(F.lit(0).cast("tinyint").alias("type"), F.col("_size").alias("size"), "indices", "values")
+    # One row per group.
+    cells.join(F.broadcast(sizes), "level_group").select(*KEYS, sparse.alias("features")).write.partitionBy("level_group").parquet(path)
+    keys = [f for f in cells.schema.fields if f.name == "session_id"]
+    schema = StructType([*keys, StructField("features", VectorUDT()), StructField("level_group", StringType())])
+    return spark.read.schema(schema).parquet(path)
+
+
+def filled_rows(vectors: DataFrame, index: DataFrame, fill: float = -1.0) -> DataFrame:
+    """The whole feature table in long form, ``session_id, level_group, feature, value``: every kept feature of every session.
+
+    Missing values become ``fill``. ``vectors`` are those of ``with_vectors``.
+    """
+    named = index.groupBy("level_group").agg(F.array_sort(F.collect_list(F.struct("index", "feature", "zero"))).alias("_names"))
+    # One row per group.
+    spread = vectors.join(F.broadcast(named), "level_group").withColumn("_dense", vector_to_array("features"))
+    rows = spread.select(*KEYS, F.explode(F.arrays_zip("_names", "_dense")).alias("_cell"))
+    stored, zero = F.col("_cell._dense"), F.col("_cell._names.zero")
+    missing = F.when(zero, stored < 0).otherwise(stored == 0)
+    value = F.when(missing, F.lit(float(fill))).when(zero, stored).otherwise(stored - 1)
+    return rows.select(*KEYS, F.col("_cell._names.feature").alias("feature"), value.alias("value"))
 
 
 def to_wide(features: DataFrame, members: DataFrame, names: list[tuple[str, str, bool]], fill: float | None = None) -> DataFrame:
@@ -260,6 +336,8 @@ def to_wide(features: DataFrame, members: DataFrame, names: list[tuple[str, str,
     ``fill`` every other missing value becomes that number.
     """
     columns = [n for n, _, _ in names]
+    if len({safe_name(n) for n in columns}) < len(columns):
+        raise ValueError("two names become one column name")
     blocks = sorted({b for _, b, zero in names if zero}) or ["base"]
     wide = features.groupBy("session_id").pivot("feature", columns).agg(F.first("value"))
     inside = members.groupBy("session_id").agg(

@@ -113,16 +113,19 @@ def with_neighbours(
     parts = split_hot(df, split_keys, order, skew)
     w = Window.partitionBy(*keys, "_chunk").orderBy(order)
     across = Window.partitionBy(*keys).orderBy("_chunk")
+    # The ends of each chunk are found by plain minima and maxima, which need no sort; then only they are read.
+    cell = [*keys, "_chunk"]
+    hot = parts.where("_hot")
+    bounds = hot.groupBy(*cell).agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
+
+    def end(mark: str) -> Column:
+        return F.struct(*[F.max(F.when(F.col(order) == F.col(mark), F.col(c))).alias(c) for c in columns])
+
+    ends = hot.join(F.broadcast(bounds), cell).where((F.col(order) == F.col("_low")) | (F.col(order) == F.col("_high")))
     edges = (
-        parts.where("_hot")
-        .groupBy(*keys, "_chunk")
-        .agg(F.min_by(here, F.col(order)).alias("_first"), F.max_by(here, F.col(order)).alias("_last"))
-        .select(
-            *keys,
-            "_chunk",
-            F.lag("_last").over(across).alias("_before"),
-            F.lead("_first").over(across).alias("_after"),
-        )
+        ends.groupBy(*cell)
+        .agg(end("_low").alias("_first"), end("_high").alias("_last"))
+        .select(*cell, F.lag("_last").over(across).alias("_before"), F.lead("_first").over(across).alias("_after"))
     )
     return (
         parts.join(F.broadcast(edges), [*keys, "_chunk"], "left")

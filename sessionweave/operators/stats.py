@@ -102,7 +102,7 @@ def value_aggregates() -> list:
 def _value(dimension: str, params: FeatureParams):
     """The dimension as text, null where its value has no features."""
     value = F.col(dimension)
-    listed = params.vocabularies.get(dimension)
+    listed = params.vocabularies.get(dimension) if dimension not in params.fitted else None
     if listed:
         value = F.when(value.isin(list(listed)), value)
     elif dimension in SENTINELS:
@@ -115,14 +115,13 @@ def value_rows(log: DataFrame, dimensions, params: FeatureParams, columns) -> Da
 
     ``word`` gives one dimension ``word_<w>`` per word found in the text.
     """
-    # The keys step aside, because the level group is a dimension as well.
-    ids = [F.col(k).alias(f"_{k}") for k in KEYS]
     values = {d: _value(d, params) for d in dimensions if d != "word"}
     if "word" in dimensions:
         values.update({f"word_{w}": F.when(F.contains(F.col("text"), F.lit(w)), w) for w in params.words})
-    wide = log.select(*ids, *columns, *[v.alias(d) for d, v in values.items()])
-    rows = wide.unpivot([f"_{k}" for k in KEYS] + list(columns), list(values), "dimension", "value")
-    return rows.where("value is not null").withColumnsRenamed({f"_{k}": k for k in KEYS})
+    # An exploded array stays where its row is, so that a log bucketed by session needs no shuffle.
+    cells = F.array(*[F.struct(F.lit(d).alias("dimension"), v.alias("value")) for d, v in values.items()])
+    rows = log.select(*KEYS, *columns, F.explode(cells).alias("_cell"))
+    return rows.select(*KEYS, *columns, "_cell.dimension", "_cell.value").where("value is not null")
 
 
 def value_stats(log: DataFrame, dimensions, params: FeatureParams) -> DataFrame:

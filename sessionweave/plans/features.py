@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionweave.operators import cleaning, clicks, combos, deltas, levels, longtable, quantiles, stats
+from sessionweave.operators import cleaning, clicks, combos, deltas, levels, longtable, quantiles, stats, vocabulary
 from sessionweave.operators.skew import SkewProfile
 from sessionweave.presets import FeatureParams
 
@@ -19,16 +19,13 @@ VALUE_SHARES = (0.2, 0.7, 0.9)
 Keep = Callable[..., DataFrame]
 
 
-def _lazy(name: str, build: Callable[[], DataFrame], of: DataFrame | None = None) -> DataFrame:
-    return build()
-
+def log_bucket(skew: SkewProfile) -> str | None:
+    """Column by which a prepared log is bucketed: the session, unless one is too large for a task."""
+    return None if skew.has_hot else "session_id"
 
-@dataclass
-class Features:
-    """Long rows and the sessions of each block."""
 
-    rows: DataFrame
-    members: DataFrame
+def _lazy(name: str, build: Callable[[], DataFrame], of: DataFrame | None = None) -> DataFrame:
+    return build()
 
 
 @dataclass
@@ -38,6 +35,21 @@ class Dictionaries:
     flr_list: DataFrame
     tl_list: DataFrame
     navigate_master: DataFrame
+    vocabulary: DataFrame | None = None
+
+
+@dataclass
+class Features:
+    """Long rows, the sessions of each block and the dictionaries that were used."""
+
+    rows: DataFrame
+    members: DataFrame
+    dictionaries: Dictionaries | None = None
+
+
+def value_table(log: DataFrame, params: FeatureParams) -> DataFrame:
+    """Statistics per (session, dimension, value) of all dimensions."""
+    return stats.value_stats(log, [*stats.DIMENSIONS, "word"], params)
 
 
 def fit_dictionaries(log: DataFrame, params: FeatureParams, keep: Keep = _lazy) -> Dictionaries:
@@ -45,10 +57,15 @@ def fit_dictionaries(log: DataFrame, params: FeatureParams, keep: Keep = _lazy)
     fqid = keep("fqid_cells", lambda: combos.combo_cells(log, combos.FQID_COMBO), of=log)
     text = keep("text_cells", lambda: combos.combo_cells(log, combos.TEXT_COMBO), of=log)
     navigate = keep("navigate_cells", lambda: clicks.navigate_cells(log, params), of=log)
+    words = None
+    if params.fitted:
+        cells = keep("value_stats", lambda: value_table(log, params), of=log)
+        words = keep("vocabulary", lambda: vocabulary.fit_vocabulary(cells, sessions, params.fitted))
     return Dictionaries(
         keep("flr_list", lambda: combos.mine_combos(fqid, sessions, combos.FQID_COMBO, params.support)),
         keep("tl_list", lambda: combos.mine_combos(text, sessions, combos.TEXT_COMBO, params.text_support)),
         keep("navigate_master", lambda: clicks.cell_popularity(navigate, params)),
+        words,
     )
 
 
@@ -68,10 +85,14 @@ def session_block(log: DataFrame, params: FeatureParams) -> DataFrame:
     return longtable.melt(table, "base", plain + extra)
 
 
-def value_quantiles(log, named: dict[str, tuple], params, skew) -> DataFrame:
-    """Gap quantiles per value for ``{dimension: (shares, template)}``, all dimensions in one pass."""
+def value_quantiles(log, named: dict[str, tuple], params, skew, listed=None) -> DataFrame:
+    """Gap quantiles per value for ``{dimension: (shares, template)}``, all dimensions in one pass.
+
+    ``listed`` leaves out rows of values without features.
+    """
     shares = sorted({s for wanted, _ in named.values() for s in wanted})
     rows = stats.value_rows(log, list(named), params, ["elapsed_time_diff"])
+    rows = listed(rows) if listed else rows
     keys = [*KEYS, "dimension", "value"]
     table = quantiles.nearest_quantiles(rows, keys, ["elapsed_time_diff"], shares, skew)
     templates = {
@@ -102,18 +123,22 @@ def session_features(
         longtable.melt_columns(stats.session_distincts(x)),
         longtable.melt_columns(quantiles.nearest_quantiles(x, KEYS, list(stats.NUMERIC_COLUMNS), SHARES, skew)),
     ]
-    dimensions = [*stats.DIMENSIONS, "word"]
-    blocks.append(longtable.melt_values(stats.value_stats(x, dimensions, params), dimensions))
+    fitted = dictionaries
+    if not fitted and (params.version >= 2 or params.room_click or params.fitted):
+        fitted = fit_dictionaries(x, params, keep)
+    values = keep("value_stats", lambda: value_table(x, params), of=x) if params.fitted else value_table(x, params)
     named = {"event_name": (SHARES, "{c}_ET_quantile{q}_{S}")}
     if params.version >= 4:
         named["text_fqid"] = (VALUE_SHARES, "{c}_text_ET_quantile{q}_{S}")
         named["room_fqid"] = (VALUE_SHARES, "{c}_room_ET_quantile{q}_{S}")
-    blocks.append(value_quantiles(x, named, params, skew))
+    listed = None
+    if params.fitted:
+        listed = lambda table: vocabulary.keep_vocabulary(table, fitted.vocabulary, params.fitted)
+        values = listed(values)
+    blocks.append(longtable.melt_values(values, [*stats.DIMENSIONS, "word"]))
+    blocks.append(value_quantiles(x, named, params, skew, listed))
 
     members = {}
-    fitted = dictionaries
-    if params.version >= 2 or params.room_click:
-        fitted = fitted or fit_dictionaries(x, params, keep)
     if params.version >= 2:
         fqid = keep("fqid_cells", lambda: combos.combo_cells(x, combos.FQID_COMBO), of=x)
         text = keep("text_cells", lambda: combos.combo_cells(x, combos.TEXT_COMBO), of=x)
@@ -146,7 +171,7 @@ def session_features(
         name = F.concat_ws("_", "room_fqid", F.col("category").cast("string"))
         blocks.append(longtable.melt(counts, "navigate", longtable.NAVIGATE_TEMPLATES, name))
         members["navigate"] = cells
-    return Features(longtable.stack_blocks(blocks), longtable.block_members(x, **members))
+    return Features(longtable.stack_blocks(blocks), longtable.block_members(x, **members), fitted)
 
 
 @dataclass
@@ -157,6 +182,23 @@ class Selection:
     members: DataFrame
     summary: DataFrame
     kept: DataFrame
+    dictionaries: Dictionaries | None = None
+
+
+def completed_features(
+    rows: DataFrame, members: DataFrame, params: FeatureParams, merge: bool = False, noise: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """Long rows and members with time parts and noise, and with groups merged if asked for."""
+    extra = [longtable.time_rows(members, params.time_parts)]
+    if noise:
+        sessions = members.where("block = 'base'").select(*KEYS)
+        typed = cleaning.noise_features(sessions, noise).withColumns({"block": F.lit("base"), "zero": F.lit(False)})
+        extra.append(typed.select(*KEYS, "block", "feature", "zero", "value"))
+    if merge:
+        # Time parts and noise belong to the first group and reach the others by the merge.
+        extra = [e.where(F.col("level_group") == params.level_groups[0]) for e in extra]
+    rows = longtable.stack_blocks([rows, *extra])
+    return longtable.merge_groups(rows, members, params.level_groups) if merge else (rows, members)
 
 
 def selected_features(
@@ -171,20 +213,9 @@ def selected_features(
     listed = longtable.listed_counts(features.rows.sparkSession, params)
     pruned = longtable.prune(longtable.feature_summary(features.rows, features.members, listed), params.null_rate)
     kept_names = keep("pruned", lambda: pruned)
-    rows, members = longtable.keep_features(features.rows, kept_names), features.members
-    extra = [longtable.time_rows(members, params.time_parts)]
-    if noise:
-        sessions = members.where("block = 'base'").select(*KEYS)
-        typed = cleaning.noise_features(sessions, noise).withColumns({"block": F.lit("base"), "zero": F.lit(False)})
-        extra.append(typed.select(*KEYS, "block", "feature", "zero", "value"))
-    if merge:
-        # Time parts and noise belong to the first group and reach the others by the merge.
-        extra = [e.where(F.col("level_group") == params.level_groups[0]) for e in extra]
-    rows = longtable.stack_blocks([rows, *extra])
-    names = kept_names
-    if merge:
-        rows, members = longtable.merge_groups(rows, members, params.level_groups)
-        names = longtable.carry_names(kept_names, params.level_groups)
+    rows = longtable.keep_features(features.rows, kept_names)
+    rows, members = completed_features(rows, features.members, params, merge, noise)
+    names = longtable.carry_names(kept_names, params.level_groups) if merge else kept_names
     summary = keep("summary", lambda: longtable.feature_summary(rows, members, names))
     kept = longtable.drop_listed(summary, drop) if drop is not None else summary
-    return Selection(longtable.keep_features(rows, kept), members, summary, kept)
+    return Selection(longtable.keep_features(rows, kept), members, summary, kept, features.dictionaries)

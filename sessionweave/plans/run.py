@@ -8,11 +8,12 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionweave.operators import cleaning, deltas, evaluate, models
+from sessionweave.operators import cleaning, deltas, evaluate, longtable, models
 from sessionweave.operators.skew import SkewProfile, profile
 from sessionweave.plans import training
-from sessionweave.plans.features import Dictionaries, Selection, selected_features, session_features
-from sessionweave.workspace import Workspace
+from sessionweave.plans.bundle import Bundle, save_bundle
+from sessionweave.plans.features import Dictionaries, Selection, log_bucket, selected_features, session_features
+from sessionweave.workspace import Workspace, materialised
 from sessionweave.presets import BROKEN_SESSIONS, QUESTIONS, FeatureParams
 from sessionweave.sources import tables
 
@@ -104,7 +105,7 @@ def make_features(
     spark: SparkSession, data: Dataset, options: RunOptions, space: Workspace, dictionaries: Dictionaries | None = None
 ) -> Selection:
     """Selected long features of a data set; ``dictionaries`` come from an earlier run when scoring."""
-    log = space.keep("log", lambda: deltas.event_deltas(data.log, data.skew), ("level_group",))
+    log = space.keep("log", lambda: deltas.event_deltas(data.log, data.skew), ("level_group",), bucket_by=log_bucket(data.skew))
     made = session_features(log, options.features, data.skew, dictionaries, space.keep)
     made.rows = space.keep("rows", lambda: made.rows, ("level_group",))
     made.members = space.keep("members", lambda: made.members)
@@ -126,12 +127,16 @@ def evaluate_scores(predictions: DataFrame, data: Dataset, fixed: float | None =
 
 
 def run(spark: SparkSession, path: str, output: str, name: str = "run", options: RunOptions | None = None) -> RunResult:
-    """Everything from files to saved models; scores are appended to ``<output>/runs``."""
+    """Everything from files to saved models; scores are appended to ``<output>/runs``.
+
+    ``bundle.load_bundle`` reads what is saved under ``RunResult.models``, to score other logs.
+    """
     options = options or RunOptions()
     space = Workspace(spark)
     data = load_dataset(spark, path, options.load)
     selection = make_features(spark, data, options, space)
-    groups = training.group_tables(spark, selection, options.features.level_groups)
+    index = materialised(longtable.feature_index(selection.kept))
+    groups = training.group_tables(spark, selection, options.features.level_groups, index)
 
     start = training.starting_scores(groups, zero=True) if options.zero_start else None
     if options.oof_file:
@@ -170,4 +175,5 @@ def run(spark: SparkSession, path: str, output: str, name: str = "run", options:
     saved = training.train_final(
         spark, groups, data.labels, result.predictions, final, f"{output}/{name}/final", options.questions, overall.threshold
     )
+    save_bundle(Bundle(saved, options.features, index, selection.dictionaries, options.merge, options.noise))
     return RunResult(result.predictions, best, by_question, result.rounds, saved)

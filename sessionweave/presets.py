@@ -61,6 +61,264 @@ ROOMS = (
     "tunic.capitol_0.hall",
     "tunic.capitol_2.hall",
 )
+# Objects and dialogue texts with features of their own, in the order of their names.
+FQIDS = (
+    "worker",
+    "archivist",
+    "gramps",
+    "wells",
+    "toentry",
+    "confrontation",
+    "crane_ranger",
+    "groupconvo",
+    "flag_girl",
+    "tomap",
+    "tostacks",
+    "tobasement",
+    "archivist_glasses",
+    "boss",
+    "journals",
+    "seescratches",
+    "groupconvo_flag",
+    "cs",
+    "teddy",
+    "expert",
+    "businesscards",
+    "ch3start",
+    "tunic.historicalsociety",
+    "tofrontdesk",
+    "savedteddy",
+    "plaque",
+    "glasses",
+    "tunic.drycleaner",
+    "reader_flag",
+    "tunic.library",
+    "tracks",
+    "tunic.capitol_2",
+    "trigger_scarf",
+    "reader",
+    "directory",
+    "tunic.capitol_1",
+    "journals.pic_0.next",
+    "unlockdoor",
+    "tunic",
+    "what_happened",
+    "tunic.kohlcenter",
+    "tunic.humanecology",
+    "colorbook",
+    "logbook",
+    "businesscards.card_0.next",
+    "journals.hub.topics",
+    "logbook.page.bingo",
+    "journals.pic_1.next",
+    "journals_flag",
+    "reader.paper0.next",
+    "tracks.hub.deer",
+    "reader_flag.paper0.next",
+    "trigger_coffee",
+    "wellsbadge",
+    "journals.pic_2.next",
+    "tomicrofiche",
+    "journals_flag.pic_0.bingo",
+    "plaque.face.date",
+    "notebook",
+    "tocloset_dirty",
+    "businesscards.card_bingo.bingo",
+    "businesscards.card_1.next",
+    "tunic.wildlife",
+    "tunic.hub.slip",
+    "tocage",
+    "journals.pic_2.bingo",
+    "tocollectionflag",
+    "tocollection",
+    "chap4_finale_c",
+    "chap2_finale_c",
+    "lockeddoor",
+    "journals_flag.hub.topics",
+    "tunic.capitol_0",
+    "reader_flag.paper2.bingo",
+    "photo",
+    "tunic.flaghouse",
+    "reader.paper1.next",
+    "directory.closeup.archivist",
+    "intro",
+    "businesscards.card_bingo.next",
+    "reader.paper2.bingo",
+    "retirement_letter",
+    "remove_cup",
+    "journals_flag.pic_0.next",
+    "magnify",
+    "coffee",
+    "key",
+    "togrampa",
+    "reader_flag.paper1.next",
+    "janitor",
+    "tohallway",
+    "chap1_finale",
+    "report",
+    "outtolunch",
+    "journals_flag.hub.topics_old",
+    "journals_flag.pic_1.next",
+    "reader.paper2.next",
+    "chap1_finale_c",
+    "reader_flag.paper2.next",
+    "door_block_talk",
+    "journals_flag.pic_1.bingo",
+    "journals_flag.pic_2.next",
+    "journals_flag.pic_2.bingo",
+    "block_magnify",
+    "reader.paper0.prev",
+    "block",
+    "reader_flag.paper0.prev",
+    "block_0",
+    "door_block_clean",
+    "reader.paper2.prev",
+    "reader.paper1.prev",
+    "doorblock",
+    "tocloset",
+    "reader_flag.paper2.prev",
+    "reader_flag.paper1.prev",
+    "block_tomap2",
+    "journals_flag.pic_0_old.next",
+    "journals_flag.pic_1_old.next",
+    "block_tocollection",
+    "block_nelson",
+    "journals_flag.pic_2_old.next",
+    "block_tomap1",
+    "block_badge",
+    "need_glasses",
+    "block_badge_2",
+    "fox",
+    "block_1",
+)
+TEXT_FQIDS = (
+    "tunic.historicalsociety.cage.confrontation",
+    "tunic.wildlife.center.crane_ranger.crane",
+    "tunic.historicalsociety.frontdesk.archivist.newspaper",
+    "tunic.historicalsociety.entry.groupconvo",
+    "tunic.wildlife.center.wells.nodeer",
+    "tunic.historicalsociety.frontdesk.archivist.have_glass",
+    "tunic.drycleaner.frontdesk.worker.hub",
+    "tunic.historicalsociety.closet_dirty.gramps.news",
+    "tunic.humanecology.frontdesk.worker.intro",
+    "tunic.historicalsociety.frontdesk.archivist_glasses.confrontation",
+    "tunic.historicalsociety.basement.seescratches",
+    "tunic.historicalsociety.collection.cs",
+    "tunic.flaghouse.entry.flag_girl.hello",
+    "tunic.historicalsociety.collection.gramps.found",
+    "tunic.historicalsociety.basement.ch3start",
+    "tunic.historicalsociety.entry.groupconvo_flag",
+    "tunic.library.frontdesk.worker.hello",
+    "tunic.library.frontdesk.worker.wells",
+    "tunic.historicalsociety.collection_flag.gramps.flag",
+    "tunic.historicalsociety.basement.savedteddy",
+    "tunic.library.frontdesk.worker.nelson",
+    "tunic.wildlife.center.expert.removed_cup",
+    "tunic.library.frontdesk.worker.flag",
+    "tunic.historicalsociety.frontdesk.archivist.hello",
+    "tunic.historicalsociety.closet.gramps.intro_0_cs_0",
+    "tunic.historicalsociety.entry.boss.flag",
+    "tunic.flaghouse.entry.flag_girl.symbol",
+    "tunic.historicalsociety.closet_dirty.trigger_scarf",
+    "tunic.drycleaner.frontdesk.worker.done",
+    "tunic.historicalsociety.closet_dirty.what_happened",
+    "tunic.wildlife.center.wells.animals",
+    "tunic.historicalsociety.closet.teddy.intro_0_cs_0",
+    "tunic.historicalsociety.cage.glasses.afterteddy",
+    "tunic.historicalsociety.cage.teddy.trapped",
+    "tunic.historicalsociety.cage.unlockdoor",
+    "tunic.historicalsociety.stacks.journals.pic_2.bingo",
+    "tunic.historicalsociety.entry.wells.flag",
+    "tunic.humanecology.frontdesk.worker.badger",
+    "tunic.historicalsociety.stacks.journals_flag.pic_0.bingo",
+    "tunic.historicalsociety.closet.intro",
+    "tunic.historicalsociety.closet.retirement_letter.hub",
+    "tunic.historicalsociety.entry.directory.closeup.archivist",
+    "tunic.historicalsociety.collection.tunic.slip",
+    "tunic.kohlcenter.halloffame.plaque.face.date",
+    "tunic.historicalsociety.closet_dirty.trigger_coffee",
+    "tunic.drycleaner.frontdesk.logbook.page.bingo",
+    "tunic.library.microfiche.reader.paper2.bingo",
+    "tunic.kohlcenter.halloffame.togrampa",
+    "tunic.capitol_2.hall.boss.haveyougotit",
+    "tunic.wildlife.center.wells.nodeer_recap",
+    "tunic.historicalsociety.cage.glasses.beforeteddy",
+    "tunic.historicalsociety.closet_dirty.gramps.helpclean",
+    "tunic.wildlife.center.expert.recap",
+    "tunic.historicalsociety.frontdesk.archivist.have_glass_recap",
+    "tunic.historicalsociety.stacks.journals_flag.pic_1.bingo",
+    "tunic.historicalsociety.cage.lockeddoor",
+    "tunic.historicalsociety.stacks.journals_flag.pic_2.bingo",
+    "tunic.historicalsociety.collection.gramps.lost",
+    "tunic.historicalsociety.closet.notebook",
+    "tunic.historicalsociety.frontdesk.magnify",
+    "tunic.humanecology.frontdesk.businesscards.card_bingo.bingo",
+    "tunic.wildlife.center.remove_cup",
+    "tunic.library.frontdesk.wellsbadge.hub",
+    "tunic.wildlife.center.tracks.hub.deer",
+    "tunic.historicalsociety.frontdesk.key",
+    "tunic.library.microfiche.reader_flag.paper2.bingo",
+    "tunic.flaghouse.entry.colorbook",
+    "tunic.wildlife.center.coffee",
+    "tunic.capitol_1.hall.boss.haveyougotit",
+    "tunic.historicalsociety.basement.janitor",
+    "tunic.historicalsociety.collection_flag.gramps.recap",
+    "tunic.wildlife.center.wells.animals2",
+    "tunic.flaghouse.entry.flag_girl.symbol_recap",
+    "tunic.historicalsociety.closet_dirty.photo",
+    "tunic.historicalsociety.stacks.outtolunch",
+    "tunic.library.frontdesk.worker.wells_recap",
+    "tunic.historicalsociety.frontdesk.archivist_glasses.confrontation_recap",
+    "tunic.capitol_0.hall.boss.talktogramps",
+    "tunic.historicalsociety.closet.photo",
+    "tunic.historicalsociety.collection.tunic",
+    "tunic.historicalsociety.closet.teddy.intro_0_cs_5",
+    "tunic.historicalsociety.closet_dirty.gramps.archivist",
+    "tunic.historicalsociety.closet_dirty.door_block_talk",
+    "tunic.historicalsociety.entry.boss.flag_recap",
+    "tunic.historicalsociety.frontdesk.archivist.need_glass_0",
+    "tunic.historicalsociety.entry.wells.talktogramps",
+    "tunic.historicalsociety.frontdesk.block_magnify",
+    "tunic.historicalsociety.frontdesk.archivist.foundtheodora",
+    "tunic.historicalsociety.closet_dirty.gramps.nothing",
+    "tunic.historicalsociety.closet_dirty.door_block_clean",
+    "tunic.capitol_1.hall.boss.writeitup",
+    "tunic.library.frontdesk.worker.nelson_recap",
+    "tunic.library.frontdesk.worker.hello_short",
+    "tunic.historicalsociety.stacks.block",
+    "tunic.historicalsociety.frontdesk.archivist.need_glass_1",
+    "tunic.historicalsociety.entry.boss.talktogramps",
+    "tunic.historicalsociety.frontdesk.archivist.newspaper_recap",
+    "tunic.historicalsociety.entry.wells.flag_recap",
+    "tunic.drycleaner.frontdesk.worker.done2",
+    "tunic.library.frontdesk.worker.flag_recap",
+    "tunic.humanecology.frontdesk.block_0",
+    "tunic.library.frontdesk.worker.preflag",
+    "tunic.historicalsociety.basement.gramps.seeyalater",
+    "tunic.flaghouse.entry.flag_girl.hello_recap",
+    "tunic.historicalsociety.closet.doorblock",
+    "tunic.drycleaner.frontdesk.worker.takealook",
+    "tunic.historicalsociety.basement.gramps.whatdo",
+    "tunic.library.frontdesk.worker.droppedbadge",
+    "tunic.historicalsociety.entry.block_tomap2",
+    "tunic.library.frontdesk.block_nelson",
+    "tunic.library.microfiche.block_0",
+    "tunic.historicalsociety.entry.block_tocollection",
+    "tunic.historicalsociety.entry.block_tomap1",
+    "tunic.historicalsociety.collection.gramps.look_0",
+    "tunic.library.frontdesk.block_badge",
+    "tunic.historicalsociety.cage.need_glasses",
+    "tunic.library.frontdesk.block_badge_2",
+    "tunic.kohlcenter.halloffame.block_0",
+    "tunic.capitol_0.hall.chap1_finale_c",
+    "tunic.capitol_1.hall.chap2_finale_c",
+    "tunic.capitol_2.hall.chap4_finale_c",
+    "tunic.wildlife.center.fox.concern",
+    "tunic.drycleaner.frontdesk.block_0",
+    "tunic.historicalsociety.entry.gramps.hub",
+    "tunic.humanecology.frontdesk.block_1",
+    "tunic.drycleaner.frontdesk.block_1",
+)
 GRID_ROOMS = {
     "0-4": (
         "tunic.kohlcenter.halloffame",
@@ -129,14 +387,17 @@ THRESHOLD_GRID = (600, 650)
 NULL_RATE = 0.97
 NULL_RATE_ABOVE = 0.997
 
+# Learning parameters and numbers of trees.
 BOOSTED_PARAMS = {
     "base": {"learning_rate": 0.02, "alpha": 8, "max_depth": 4, "subsample": 0.8, "colsample_bytree": 0.5, "random_state": 42},
     "n_estimators": [707, 390, 390, 548, 608, 439, 524, 274, 301, 305, 309, 261, 489, 365, 379, 329, 257, 378],
 }
+# The same with early stopping.
 BOOSTED_EARLY_STOP_PARAMS = {
     "base": {"learning_rate": 0.02, "alpha": 8, "max_depth": 4, "subsample": 0.8, "colsample_bytree": 0.5, "random_state": 42, "early_stopping_rounds": 60},
     "n_estimators": [1200],
 }
+# Parameters of the forest.
 FOREST_PARAMS = {
     "base": {"max_depth": 5, "criterion": "gini", "random_state": 42},
     "n_estimators": [100],
@@ -204,7 +465,8 @@ class FeatureParams:
     """Options and values of one feature job.
 
     ``vocabularies`` limits a dimension to listed values; a dimension that is
-    not listed takes every non-sentinel value found in the log.
+    not listed takes every non-sentinel value found in the log. ``fitted``
+    gives a dimension the values that this share of a group's sessions has instead.
     """
 
     version: int = 2
@@ -218,7 +480,10 @@ class FeatureParams:
 
     levels: tuple = LEVELS
     level_groups: tuple = LEVEL_GROUPS
-    vocabularies: dict = field(default_factory=lambda: {"event_name": EVENT_NAMES, "name": NAMES, "room_fqid": ROOMS})
+    vocabularies: dict = field(
+        default_factory=lambda: {"event_name": EVENT_NAMES, "name": NAMES, "room_fqid": ROOMS, "fqid": FQIDS, "text_fqid": TEXT_FQIDS}
+    )
+    fitted: dict = field(default_factory=dict)
     words: tuple = WORDS
     gap_flags: tuple = GAP_FLAGS
     gap_cap: int = GAP_CAP

@@ -38,15 +38,19 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, column: str) -> DataFrame:
-    """The rows as a written table bucketed by ``column``: joins on it do not move them again."""
+def bucketed(df: DataFrame, column: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """The rows as a written table bucketed by ``column``: joins and groups on it do not move them again."""
+    return df.sparkSession.table(_bucketed_table(df, column, partition_by)).select(*df.columns)
+
+
+def _bucketed_table(df: DataFrame, column: str, partition_by: tuple[str, ...] = ()) -> str:
     spark = df.sparkSession
     most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
     buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), most)
     name = f"sessionweave_{uuid.uuid4().hex}"
-    writer = df.repartition(buckets, column).write.bucketBy(buckets, column).sortBy(column)
+    writer = df.repartition(buckets, column).write.partitionBy(*partition_by).bucketBy(buckets, column).sortBy(column)
     writer.option("path", scratch_path(spark)).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return name
 
 
 def _origin(df: DataFrame) -> int | None:
@@ -65,31 +69,50 @@ class Workspace:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._tables: dict[str, tuple] = {}
+        self._bucketed: dict[str, str] = {}
         self._values: dict[str, object] = {}
         self._origins: dict[str, int | None] = {}
 
     def keep(
-        self, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = (), of: DataFrame | None = None
+        self,
+        name: str,
+        build: Callable[[], DataFrame],
+        partition_by: tuple[str, ...] = (),
+        of: DataFrame | None = None,
+        bucket_by: str | None = None,
     ) -> DataFrame:
         """Table ``name``, built and written on first use; an error if it was made of another log than ``of``."""
         origin = None if of is None else _origin(of)
         if name not in self._tables:
             table, path = build(), scratch_path(self.spark)
-            table.write.partitionBy(*partition_by).parquet(path)
+            if bucket_by:
+                self._bucketed[name] = _bucketed_table(table, bucket_by, partition_by)
+                path = self._place(self._bucketed[name])
+            else:
+                table.write.partitionBy(*partition_by).parquet(path)
             self._tables[name] = (path, table.schema)
             self._origins[name] = origin
         elif self._origins[name] != origin and None not in (self._origins[name], origin):
             raise ValueError(f"table {name!r} of this workspace belongs to another log: use a workspace for each log")
         path, schema = self._tables[name]
+        if name in self._bucketed:
+            return self.spark.table(self._bucketed[name]).select(*schema.names)
         return self.spark.read.schema(schema).parquet(path)
 
+    def _place(self, table: str) -> str:
+        described = self.spark.sql(f"DESCRIBE FORMATTED {table}")
+        return described.where("col_name = 'Location'").first().data_type
+
     def close(self) -> None:
         """Remove the tables written here; what was read from them cannot be used any more."""
         jvm = self.spark._jvm
+        for table in self._bucketed.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         for path, _ in self._tables.values():
             place = jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
         self._tables.clear()
+        self._bucketed.clear()
         self._origins.clear()
         self._values.clear()
 
@@ -118,9 +141,9 @@ def application_space(spark: SparkSession) -> Workspace:
 
 
 def written(
-    spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()
+    spark: SparkSession, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = (), bucket_by: str | None = None
 ) -> DataFrame:
-    return application_space(spark).keep(name, build, partition_by)
+    return application_space(spark).keep(name, build, partition_by, bucket_by=bucket_by)
 
 
 def remembered(spark: SparkSession, name: str, compute: Callable[[], object]) -> object:

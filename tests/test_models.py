@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -27,7 +28,7 @@ def groups(spark, sf):
             F.count("idx").cast("double").alias("n"), F.avg("elapsed_time_diff").alias("m")
         )
         table = wide.select("session_id", array_to_vector(F.array("n", "m")).alias("features"))
-        out[group] = training.GroupTable(fx.written(spark, f"test/vectors/{group}", lambda t=table: t), ["n", "m"])
+        out[group] = training.GroupTable(fx.written(spark, f"test/vectors/{group}", lambda t=table: t))
     return out
 
 
@@ -43,7 +44,6 @@ def test_vectors_keep_order_of_missing_values(spark):
     )
     summary = longtable.feature_summary(features, members)
     table = training.group_tables(spark, Selection(features, members, summary, summary), ("0-4",))["0-4"]
-    assert table.names == ["c", "m"]
     got = {r.session_id: list(r.features.toArray()) for r in table.rows.collect()}
     assert got == {1: [-1.0, 5.0], 2: [3.0, 1.0], 3: [0.0, 0.0]}
 
@@ -100,7 +100,7 @@ def test_saved_models_score_as_trained(spark, sf, groups):
     scores = training.score_saved(spark, path, groups, (1, 2), labels.select("session_id", "q", "p"))
     assert scores.where("q <= 2").count() == 2 * fx.sessions(spark, sf).count()
     meta = {r.q: r for r in spark.read.parquet(f"{path}/metadata").collect()}
-    assert meta[2].inputs == ["features", "p_q1"] and meta[1].level_group == "0-4" and meta[1].features == ["n", "m"]
+    assert meta[2].inputs == ["features", "p_q1"] and meta[1].level_group == "0-4"
 
 
 def test_missing_label_stops_training(spark, sf, groups):
@@ -216,3 +216,56 @@ def test_sessions_without_rows_keep_their_starting_score(spark, sf, groups):
     assert got == {r.q: r.p for r in chain.oof_init(lone).collect()} and len(got) == 18
     zeros = training.starting_scores(groups, zero=True)
     assert zeros.where("p <> 0").count() == 0 and zeros.count() == 18 * fx.sessions(spark, sf).count()
+
+
+@pytest.fixture(scope="module")
+def learnable(spark):
+    """Labels that mostly follow one of three columns; the rest is chance."""
+    mark = lambda seed: (F.abs(F.xxhash64("session_id", F.lit(seed))) % 1000) / 1000.0
+    rows_ = spark.range(600).select(F.col("id").alias("session_id"))
+    rows_ = rows_.withColumns({"x": mark(1), "y": mark(2), "z": mark(3)}).withColumn("vector", array_to_vector(F.array("x", "y", "z")))
+    return fx.written(spark, "test/learnable", lambda: rows_.drop("vector").withColumn("correct", (F.col("x") + 0.9 * mark(4) > 1).cast("int")))
+
+
+def _early(rounds, wait, **more):
+    base = {"learning_rate": 0.5, "max_depth": 3, "early_stopping_rounds": wait, **more}
+    return models.ModelOptions(params={"base": base, "n_estimators": [rounds]})
+
+
+def test_boosting_stops_at_the_first_best_round_and_grows_no_more(learnable, monkeypatch):
+    train, held = learnable.where("session_id % 3 > 0"), learnable.where("session_id % 3 = 0")
+    grown, plain = [], models.classifier
+    monkeypatch.setattr(models, "classifier", lambda o, q, w=False, rounds=None: grown.append(rounds) or plain(o, q, w, rounds))
+    stopped = models.fit_stopped(train, held, ["x", "y", "z"], _early(80, 4), 1, False)
+    assert max(grown) < 80
+    monkeypatch.undo()
+    whole = models.fit(train, ["x", "y", "z"], models.classifier(_early(max(grown), 4), 1))
+    losses = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(held.withColumn("correct", F.col("correct").cast("double"))))
+    best = models.best_round(losses, 4)
+    assert models.rounds_of(stopped) == best < max(grown)
+    # The first trees score as a model fitted with so many rounds.
+    refit = models.fit(train, ["x", "y", "z"], models.classifier(_early(80, 4), 1, rounds=best))
+    assert rows(models.score(stopped, held)) == rows(models.score(refit, held))
+
+
+def test_a_shortened_model_is_saved_and_read(spark, learnable):
+    model = models.first_trees(models.fit(learnable, ["x", "y", "z"], models.classifier(_early(6, 0), 1)), 2)
+    path = scratch_path(spark)
+    model.write().save(path)
+    back = PipelineModel.load(path)
+    assert models.rounds_of(back) == 2
+    assert rows(models.score(back, learnable)) == rows(models.score(model, learnable))
+
+
+def test_scores_part_learnable_labels(learnable):
+    for options in (_early(10, 0), models.ModelOptions(kind="forest", params={"base": {"max_depth": 4}, "n_estimators": [20]})):
+        model = models.fit(learnable.where("session_id % 2 = 0"), ["x", "y", "z"], models.classifier(options, 1))
+        held = learnable.where("session_id % 2 = 1")
+        means = {r.correct: r.p for r in models.score(model, held).join(held, "session_id").groupBy("correct").agg(F.avg("p").alias("p")).collect()}
+        assert means[1] > means[0] + 0.3
+
+
+def test_leaves_become_depth():
+    assert models.spark_params({"n_estimators": 5, "num_leaves": 31}, "boosted")["maxDepth"] == 5
+    assert models.spark_params({"n_estimators": 5, "num_leaves": 31, "max_depth": 4}, "boosted")["maxDepth"] == 4
+    assert models.spark_params({"n_estimators": 5, "max_depth": -1, "num_leaves": 8}, "boosted")["maxDepth"] == 3

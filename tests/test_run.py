@@ -10,6 +10,7 @@ from checks import fixture as fx
 from checks.fixture import PARAMS
 from sessionweave.operators import models
 from sessionweave.plans import run as runs
+from sessionweave.plans.bundle import load_bundle
 from sessionweave.plans.features import fit_dictionaries, session_features
 from sessionweave.sources import tables
 from sessionweave.operators import longtable
@@ -59,10 +60,13 @@ def test_whole_run(spark, files, tmp_path):
     assert {r.q for r in result.by_question.collect()} == {1, 4}
     assert {r.score for r in tables.read_run_results(spark, f"{tmp_path}/runs").collect()} == {"overall", "q1", "q4"}
     meta = {r.q: r for r in spark.read.parquet(f"{result.models}/metadata").collect()}
-    names = set(meta[4].features)
-    assert {"year", "random0", "random1"} <= names
-    assert "session_number_grp5_12" in names and "session_number_grp0_4" not in set(meta[1].features)
-    assert any(n.endswith("grp0_4") for n in names)
+    assert meta[4].inputs[0] == "features" and set(meta) == {1, 4}
+    saved = load_bundle(spark, result.models)
+    names = {r.feature: r["index"] for r in saved.index.where("level_group = '5-12'").collect()}
+    assert {"year", "random0", "random1"} <= set(names)
+    assert sorted(names.values()) == list(range(len(names)))
+    assert "session_number_grp5-12" in names and saved.index.where("level_group = '0-4' and feature = 'session_number_grp0-4'").isEmpty()
+    assert any(n.endswith("grp0-4") for n in names)
     back = tables.read_oof_csv(spark, f"{tmp_path}/first/oof_predict_proba", (1, 4))
     assert back.count() == sessions
 

@@ -112,3 +112,8 @@ def test_exclude_and_restrict(spark, log, split):
         assert cleaning.exclude_sessions(log, ids, skewed).where("session_id in (3, 5)").isEmpty()
         kept = cleaning.restrict_to(log, ids, skewed).select("session_id").distinct()
         assert rows(kept) == [("3",), ("5",)]
+
+
+def test_ends_of_chunks_are_found_without_sorting(log, split):
+    plan = event_deltas(log, split)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
