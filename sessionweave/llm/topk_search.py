@@ -28,6 +28,9 @@ BLOCKS = 2
 #: Vectors to a packed block of candidates, and of queries.
 CANDIDATES = 4096
 QUERIES = 1024
+#: Blocks of candidates whose lists one task joins, and blocks of queries it holds lists of at a time.
+STRIP = 8
+HELD = 16
 SCALE = 64
 #: Integer components beyond this are held to it (2**53; a score beyond the range of long is held to that range).
 LARGEST = 1 << 53
@@ -86,21 +89,26 @@ def _matrix(numbers: bytes, width: int, full: int) -> np.ndarray:
     return np.pad(rows, ((0, 0), (0, full - rows.shape[1])))
 
 
+def _bound(q: np.ndarray, x: np.ndarray) -> int:
+    """No sum of products is larger, whatever the signs."""
+    return int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, q.shape[1])
+
+
+def _slack(q: np.ndarray, x: np.ndarray) -> float:
+    """What rounding can add to or take from a score of ``_scores``."""
+    bound = _bound(q, x)
+    return 0.0 if bound < 1 << 53 else float(bound) * q.shape[1] * 2.0**-50
+
+
 def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Inner products of all rows of two integer matrices, exact, as long."""
-    bound = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, q.shape[1])
-    if bound < 1 << 24:
-        return (q.astype(np.float32) @ x.T.astype(np.float32)).astype(np.int64)
-    if bound < 1 << 53:
-        return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
-    exact = q.astype(object) @ x.T.astype(object)
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    """Inner products of all rows of two integer matrices: exact while float or double holds them, else within ``_slack``."""
+    kind = np.float32 if _bound(q, x) < 1 << 24 else np.float64
+    return q.astype(kind) @ x.T.astype(kind)
 
 
 def _pair_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner product of each row of ``q`` with the same row of ``x``."""
-    bound = int(np.abs(q).max(initial=0)) * int(np.abs(x).max(initial=0)) * max(1, q.shape[1])
-    if bound < 1 << 62:
+    if _bound(q, x) < 1 << 62:
         return (q * x).sum(1)
     return np.array([min(max(sum(int(a) * int(b) for a, b in zip(u, v)), -(1 << 63)), (1 << 63) - 1) for u, v in zip(q, x)], np.int64)
 
@@ -127,35 +135,74 @@ def _over_tiles(tiles: DataFrame, work, schema: str) -> DataFrame:
     return bounded_batches(tiles).mapInArrow(run, schema)
 
 
-def _tiles(queries: DataFrame, query_parts: int, candidates: DataFrame, tasks: int) -> DataFrame:
-    """Each packed block of candidates beside each one of queries, which it meets by the number of its part."""
-    spread = candidates.drop("part").withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
+def _tiles(queries: DataFrame, query_parts: int, candidates: DataFrame, parts: int, strip: int = 1) -> DataFrame:
+    """Each packed block of candidates beside each one of queries, which it meets by the number of its part.
+
+    ``strip`` neighbouring blocks of candidates go to one task.
+    """
+    spread = candidates.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))))
     renamed = queries.withColumnsRenamed({c: f"q_{c}" for c in queries.columns})
-    return spread.join(renamed, "q_part").repartition(tasks, "q_block", "block")
+    met = spread.join(renamed, "q_part").withColumn("strip", F.floor(F.col("part") / strip)).drop("part")
+    return met.repartition(query_parts * -(-parts // strip), "q_block", "strip")
+
+
+class _Lists:
+    """The best partial scores so far of each query of one block, in one run of components."""
+
+    def __init__(self, most: int):
+        self.most, self.floor = most, None
+        self.rows = self.scores = self.x = self.block = self.at = np.zeros(0, np.int64)
+
+    def add(self, scores: np.ndarray, x_ids: np.ndarray, block: int) -> None:
+        width = scores.shape[1]
+        if self.floor is None:
+            k = min(self.most, width)
+            to = np.argpartition(-scores, k - 1, 1)[:, :k].ravel()
+            rows = np.repeat(np.arange(len(scores)), k)
+        else:
+            rows, to = np.nonzero(scores > self.floor[:, None])
+        new = (rows, scores[rows, to], x_ids[to], np.full(len(rows), block), rows * width + to)
+        rows, found, x, blocks, at = (np.concatenate(p) for p in zip((self.rows, self.scores, self.x, self.block, self.at), new))
+        order = np.lexsort((-found, rows))
+        first = np.searchsorted(rows[order], np.arange(len(scores)))
+        order = order[np.arange(len(order)) - first[rows[order]] < self.most]
+        self.rows, self.scores, self.x, self.block, self.at = rows[order], found[order], x[order], blocks[order], at[order]
+        full = np.bincount(self.rows, minlength=len(scores)) == self.most
+        self.floor = np.full(len(scores), -np.inf)
+        self.floor[full] = self.scores[np.searchsorted(self.rows, np.flatnonzero(full), "right") - 1]
 
 
 def local_lists(tiles: DataFrame, most: int) -> DataFrame:
-    """``q, x, run, partial, q_block, block, at``: of each tile the ``most`` best partial scores of each query in each run of components.
+    """``q, x, run, partial, q_block, block, at``: of each strip the ``most`` best partial scores of each query in each run of components.
 
     ``at`` is the place of the pair in its tile.
     """
+    names = ["q", "x", "run", "partial", "q_block", "block", "at"]
 
-    def work(row):
-        q_ids, x_ids, q, x = _each_tile(row)
-        found = []
-        cuts = _cuts(q.shape[1])
-        k = min(most, len(x_ids))
-        rows = np.repeat(np.arange(len(q_ids)), k)
-        for run, (i, j) in enumerate(zip(cuts, cuts[1:])):
-            scores = _scores(q[:, i:j], x[:, i:j])
-            best = np.argpartition(-scores, k - 1, 1)[:, :k].ravel()
-            found.append((rows, best, np.full(len(rows), run), scores[rows, best]))
-        at, to, run, score = map(np.concatenate, zip(*found))
-        blocks = [np.full(len(at), row[c]) for c in ("q_block", "block")]
-        columns = [q_ids[at], x_ids[to], run, score, *blocks, (at * len(x_ids) + to).astype(np.int32)]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["q", "x", "run", "partial", "q_block", "block", "at"])
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple] = {}
+
+        def out():
+            for q_block, (q_ids, runs) in held.items():
+                for run, found in enumerate(runs):
+                    n = len(found.rows)
+                    columns = [q_ids[found.rows], found.x, np.full(n, run), found.scores.astype(np.float64), np.full(n, q_block), found.block, found.at.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                q_ids, x_ids, q, x = _each_tile(row)
+                if row["q_block"] not in held and len(held) == HELD:
+                    yield from out()
+                    held.clear()
+                _, runs = held.setdefault(row["q_block"], (q_ids, [_Lists(most) for _ in range(BLOCKS)]))
+                cuts = _cuts(q.shape[1])
+                for found, a, b in zip(runs, cuts, cuts[1:]):
+                    found.add(_scores(q[:, a:b], x[:, a:b]), x_ids, row["block"])
+        yield from out()
 
-    return _over_tiles(tiles, work, "q long, x long, run long, partial long, q_block long, block long, at int")
+    return bounded_batches(tiles).mapInArrow(lists, "q long, x long, run long, partial double, q_block long, block long, at int")
 
 
 def sufficient_entries(tiles: DataFrame) -> DataFrame:
@@ -164,16 +211,18 @@ def sufficient_entries(tiles: DataFrame) -> DataFrame:
     def work(row):
         q_ids, x_ids, q, x = _each_tile(row)
         cutoff = np.frombuffer(row["q_cutoffs"], "<i8").astype(np.float64)
+        # A little lower, so that rounding loses nothing.
+        cutoff = cutoff - np.abs(cutoff) * 1e-6 - 1 - BLOCKS * _slack(q, x)
         share = cutoff / BLOCKS
         cuts = _cuts(q.shape[1])
-        known, listed = np.zeros((len(q_ids), len(x_ids))), np.zeros((len(q_ids), len(x_ids)), bool)
-        for i, j in zip(cuts, cuts[1:]):
-            scores = _scores(q[:, i:j], x[:, i:j]).astype(np.float64)
-            # A little lower, so that rounding loses nothing.
-            collected = scores >= (share - np.abs(share) * 1e-9 - 1)[:, None]
-            listed |= collected
-            known += np.where(collected, scores, share[:, None])
-        at = np.flatnonzero(listed & (known >= (cutoff - np.abs(cutoff) * 1e-9 - 1)[:, None])).astype(np.int32)
+        partial = [_scores(q[:, i:j], x[:, i:j]) for i, j in zip(cuts, cuts[1:])]
+        listed = np.zeros((len(q_ids), len(x_ids)), bool)
+        for scores in partial:
+            listed |= scores >= share.astype(scores.dtype)[:, None]
+        at, to = np.nonzero(listed)
+        known = sum(np.maximum(scores[at, to].astype(np.float64), share[at]) for scores in partial)
+        possible = known >= cutoff[at]
+        at = (at[possible] * len(x_ids) + to[possible]).astype(np.int32)
         entries = pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), pa.array(at))
         return pa.RecordBatch.from_arrays([pa.array([row["q_block"]]), pa.array([row["block"]]), entries], ["q_block", "block", "entries"])
 
@@ -221,13 +270,13 @@ def best_classes(vectors: DataFrame, queries: DataFrame, most: int) -> DataFrame
     """
     (candidates, parts), (asked, query_parts) = packed(vectors, CANDIDATES), packed(queries, QUERIES)
     tasks = parts * query_parts
-    listed = _best(local_lists(_tiles(asked, query_parts, candidates, tasks), most), ["q", "run"], [F.desc("partial"), F.col("x")], most)
+    listed = _best(local_lists(_tiles(asked, query_parts, candidates, parts, STRIP), most), ["q", "run"], [F.desc("partial"), F.col("x")], most)
     # At most BLOCKS * most pairs of each query.
     listed = materialised(listed.groupBy("q_block", "block").agg(F.collect_set("at").alias("entries")))
     scored = resolved(listed, asked, candidates, tasks)
     enough = _best(scored, ["q"], [F.desc("score"), F.col("x")], most).where(F.col("_place") == most)
     asked = materialised(with_cutoffs(asked, enough.select("q", F.col("score").alias("cutoff"))))
-    entries = materialised(sufficient_entries(_tiles(asked, query_parts, candidates, tasks)))
+    entries = materialised(sufficient_entries(_tiles(asked, query_parts, candidates, parts)))
     found = resolved(entries, asked.drop("cutoffs"), candidates, tasks)
     ordered = found.join(vectors.select(F.col("class").alias("x"), "least"), "x")
     return _best(ordered, ["q"], [F.desc("score"), F.asc_nulls_last("least"), F.col("x")], most).select("q", "x", "score")

@@ -74,14 +74,22 @@ def test_odd_rows(spark):
     assert found(search(spark.createDataFrame(large, SCHEMA))) == [(0, 1, 1, (1 << 63) - 1), (0, 2, 2, -(1 << 63))]
 
 
+def test_products_beyond_double_cancel_exactly(spark):
+    rng = random.Random(9)
+    rows = [(i, [rng.choice((1, -1)) * 2.0**40, rng.choice((1, -1)) * 2.0**40, float(rng.randint(-9, 9)), 1.0]) for i in range(60)]
+    rows = [(i, [a, -a if i % 2 else a, c, d]) for i, (a, _, c, d) in rows]
+    exact = [r for r in brute(rows) if abs(r[3]) < 1 << 63]
+    assert [r for r in found(search(spark.createDataFrame(rows, SCHEMA))) if abs(r[3]) < 1 << 62] == [r for r in exact if abs(r[3]) < 1 << 62]
+
+
 def test_few_pairs_are_scored_in_full(spark):
     rows = table(spark, "/root/testdata/sf0.01", "embeddings")
     vectors = rows.select(F.col("vec_id").alias("class"), S.whole_numbers(F.col("embedding")).alias("vector"), F.col("vec_id").alias("least"))
     queries = vectors.where("class % 20 = 0")
-    (candidates, _), (asked, parts) = S.packed(vectors, 100), S.packed(queries, 10)
+    (candidates, candidate_parts), (asked, parts) = S.packed(vectors, 100), S.packed(queries, 10)
     best = S.best_classes(vectors, queries, 21)
     cutoffs = best.groupBy("q").agg(F.min("score").alias("cutoff"))
-    entries = S.sufficient_entries(S._tiles(S.with_cutoffs(asked, cutoffs), parts, candidates, 4))
+    entries = S.sufficient_entries(S._tiles(S.with_cutoffs(asked, cutoffs), parts, candidates, candidate_parts))
     n = entries.agg(F.sum(F.size("entries"))).first()[0]
     assert best.count() <= n < 0.5 * vectors.count() * queries.count()
     kept = S.resolved(entries, asked, candidates, 4)
