@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionweave.llm.common import bounded_batches, materialised
-from sessionweave.llm.fingerprints import K, PUNCTUATION, shingled, word_lists
+from sessionweave.llm.fingerprints import K, PUNCTUATION, shingled, word_lists, word_pieces
 
 SIMILARITY = 0.8
 #: Bits of 64 within which fingerprints are searched. Sets of similarity 0.8 differ in about 10, with a deviation of 3.
@@ -122,6 +122,15 @@ class Benchmark:
         place = np.minimum(np.searchsorted(known, shingles[at]), len(known) - 1)
         return at[known[place] == shingles[at]]
 
+    def holding(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Which of several texts hold a shingle that some item has; text i has the words from ``first[i]`` on."""
+        found = np.zeros(len(first) - 1, bool)
+        for k in self.groups:
+            at = self.anchors(shingled(words, k), k)
+            text = np.searchsorted(first, at, "right") - 1
+            found[text[at + k <= first[text + 1]]] = True
+        return np.flatnonzero(found)
+
     def search(self, words: np.ndarray) -> list[tuple]:
         """``item, start, words, distance, similarity`` of the best window of each item that reaches SIMILARITY."""
         best: dict = {}
@@ -186,9 +195,12 @@ def _one_pass(docs: DataFrame, items: DataFrame, kinds: list[str]) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Benchmark(*shared.value)
         for batch in batches:
-            rows = []
-            for doc, words in zip(batch.column(0), word_lists(batch.column(1), PUNCTUATION)):
-                rows += [(doc.as_py(), *hit) for hit in known.search(words)] if known.groups else []
+            rows, before = [], 0
+            for words, first in word_pieces(batch.column(1), PUNCTUATION):
+                for i in known.holding(words, first).tolist():
+                    doc = batch.column(0)[before + i].as_py()
+                    rows += [(doc, *hit) for hit in known.search(words[first[i] : first[i + 1]])]
+                before += len(first) - 1
             columns = list(zip(*rows)) if rows else [()] * 6
             types = [batch.column(0).type, item_type, pa.int64(), pa.int64(), pa.int32(), pa.float64()]
             names = ["doc_id", "item_id", "start", "words", "distance", "similarity"]

@@ -95,6 +95,12 @@ def shingled(words: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
+def word_pieces(texts: pa.Array, breaks: np.ndarray = _SPACE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Word hashes of runs of texts, and the index of each text's first word (one more at the end)."""
+    for data, offsets in _pieces(texts):
+        yield word_hashes(data, offsets, breaks)
+
+
 def word_lists(texts: pa.Array, breaks: np.ndarray = _SPACE) -> Iterator[np.ndarray]:
     """Word hashes of each text in order."""
     for data, offsets in _pieces(texts):
