@@ -230,7 +230,10 @@ def sufficient_entries(tiles: DataFrame) -> DataFrame:
 
 
 def resolved(entries: DataFrame, queries: DataFrame, candidates: DataFrame, tasks: int) -> DataFrame:
-    """``q, x, score`` of the pairs in ``q_block, block, entries``: whole scores, worked out tile by tile."""
+    """``q, x, score`` of the pairs in ``q_block, block, entries``: whole scores, worked out tile by tile.
+
+    Where the queries have ``cutoffs``, pairs below them are left out.
+    """
     renamed = queries.drop("part").withColumnsRenamed({c: f"q_{c}" for c in queries.columns})
     tiles = entries.where("size(entries) > 0").join(candidates.drop("part"), "block").join(renamed, "q_block").repartition(tasks, "q_block", "block")
 
@@ -239,6 +242,9 @@ def resolved(entries: DataFrame, queries: DataFrame, candidates: DataFrame, task
         at, to = np.divmod(row["entries"].astype(np.int64), len(x_ids))
         steps = range(0, len(at), 1 << 16)
         score = np.concatenate([_pair_scores(q[at[i : i + (1 << 16)]], x[to[i : i + (1 << 16)]]) for i in steps])
+        if "q_cutoffs" in row:
+            reached = score >= np.frombuffer(row["q_cutoffs"], "<i8")[at]
+            at, to, score = at[reached], to[reached], score[reached]
         return pa.RecordBatch.from_arrays([pa.array(q_ids[at]), pa.array(x_ids[to]), pa.array(score)], ["q", "x", "score"])
 
     return _over_tiles(tiles, work, "q long, x long, score long")
@@ -277,7 +283,7 @@ def best_classes(vectors: DataFrame, queries: DataFrame, most: int) -> DataFrame
     enough = _best(scored, ["q"], [F.desc("score"), F.col("x")], most).where(F.col("_place") == most)
     asked = materialised(with_cutoffs(asked, enough.select("q", F.col("score").alias("cutoff"))))
     entries = materialised(sufficient_entries(_tiles(asked, query_parts, candidates, parts)))
-    found = resolved(entries, asked.drop("cutoffs"), candidates, tasks)
+    found = resolved(entries, asked, candidates, tasks)
     ordered = found.join(vectors.select(F.col("class").alias("x"), "least"), "x")
     return _best(ordered, ["q"], [F.desc("score"), F.asc_nulls_last("least"), F.col("x")], most).select("q", "x", "score")
 
