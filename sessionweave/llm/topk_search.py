@@ -34,6 +34,8 @@ HELD = 16
 SCALE = 64
 #: Integer components beyond this are held to it (2**53; a score beyond the range of long is held to that range).
 LARGEST = 1 << 53
+#: The least score there is rules nothing out.
+NO_CUTOFF = -(1 << 63)
 
 
 def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
@@ -210,7 +212,8 @@ def sufficient_entries(tiles: DataFrame) -> DataFrame:
 
     def work(row):
         q_ids, x_ids, q, x = _each_tile(row)
-        cutoff = np.frombuffer(row["q_cutoffs"], "<i8").astype(np.float64)
+        cutoff = np.frombuffer(row["q_cutoffs"], "<i8")
+        cutoff = np.where(cutoff == NO_CUTOFF, -np.inf, cutoff.astype(np.float64))
         # A little lower, so that rounding loses nothing.
         cutoff = cutoff - np.abs(cutoff) * 1e-6 - 1 - BLOCKS * _slack(q, x)
         share = cutoff / BLOCKS
@@ -261,7 +264,7 @@ def with_cutoffs(queries: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
     def packed_cutoffs(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("at")
-        numbers = np.array([np.iinfo(np.int64).min // 2 if c is None else c for c in rows["cutoff"].to_pylist()], "<i8")
+        numbers = np.array([NO_CUTOFF if c is None else c for c in rows["cutoff"].to_pylist()], "<i8")
         return pa.table({"block": rows["block"][:1], "cutoffs": [numbers.tobytes()]})
 
     places = queries.select("block", "classes").mapInArrow(unpack, "block long, at long, q long").join(cutoffs, "q", "left")
