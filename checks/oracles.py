@@ -578,7 +578,7 @@ def _new_log() -> str:
 
 
 # Of all cuts between two neighbouring numbers of events, the first of greatest gain by weighted Gini impurity; a side's share of
-# right answers is the forest's score, and the boosted tree's margin is that share from -1 to 1.
+# right answers is the forest's score (of both together if they foretell the same answer), and the boosted tree's margin is that share from -1 to 1.
 STUMPS = """obs AS (SELECT a.session_id, a.q, a.correct, cast(e.x AS double) AS x, k.kind,
   CASE WHEN k.kind = 'forest' THEN 1.0 WHEN a.session_id % 3 = 0 THEN 0.5 WHEN a.session_id % 3 = 1 THEN 1.0 ELSE 2.0 END AS w
  FROM answers a JOIN (SELECT session_id, level_group, count(*) AS x FROM d GROUP BY ALL) e
@@ -591,7 +591,7 @@ gains AS (SELECT *, 2 * (s / n) * (1 - s / n) - ln / n * 2 * (ls / ln) * (1 - ls
  FROM run WHERE x < top),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kind, q ORDER BY round(gain, 12) DESC, x) AS r FROM gains) g WHERE r = 1 AND gain > 1e-12),
 whole AS (SELECT DISTINCT kind, q, n, s FROM run),
-shares AS (SELECT o.session_id, o.q, o.kind, CASE WHEN b.x IS NULL THEN t.s / t.n WHEN o.x <= b.x THEN b.ls / b.ln ELSE (b.s - b.ls) / (b.n - b.ln) END AS share
+shares AS (SELECT o.session_id, o.q, o.kind, CASE WHEN b.x IS NULL OR (o.kind = 'forest' AND (2 * b.ls > b.ln) = (2 * (b.s - b.ls) > b.n - b.ln)) THEN t.s / t.n WHEN o.x <= b.x THEN b.ls / b.ln ELSE (b.s - b.ls) / (b.n - b.ln) END AS share
  FROM obs o JOIN whole t USING (kind, q) LEFT JOIN best b USING (kind, q))
 SELECT session_id, q, kind, round(CASE WHEN kind = 'forest' THEN share ELSE 1 / (1 + exp(-2 * (2 * share - 1))) END, 6) AS p FROM shares"""
 

@@ -521,7 +521,7 @@ def validation(options, questions=QUESTIONS):
 # One split on one feature, on every row: what it scores can be worked out.
 STUMP = {"max_depth": 1, "colsample_bytree": 1.0, "subsample": 1.0}
 STUMPS = {
-    "forest": models.ModelOptions(kind="forest", params={"base": STUMP, "n_estimators": [1]}),
+    "forest": models.ModelOptions(kind="forest", params={"base": {**STUMP, "bootstrap": False}, "n_estimators": [1]}),
     "boosted": models.ModelOptions(params={"base": {**STUMP, "learning_rate": 0.1}, "n_estimators": [1]}),
 }
 
