@@ -32,6 +32,40 @@ def test_tree_and_pages(spark, sf):
         assert got[r.page_id].n_chars == len(got[r.page_id].text)
 
 
+ARTICLE = "<h1>Title of it</h1><p>" + "long text of the article with many words in it " * 6 + "</p><p>Short one.</p><p>" + "more words of the same article follow in this paragraph " * 4 + "</p>"
+MENU = "<ul><li><a>Home</a></li><li><a>News</a></li><li><a>All topics</a></li></ul>"
+
+
+def test_misleading_and_missing_marks(spark):
+    tree = train(spark)
+    used = []
+
+    def walk(node):
+        if isinstance(node, list):
+            used.append(node[0])
+            walk(node[2])
+            walk(node[3])
+
+    walk(tree)
+    assert set(used) & {2, 3, 4, 5}
+    want = [" ".join(x.split()) for x in re.split("<[^>]*>", ARTICLE) if x.strip()]
+    comments = "<article class='comment'><p>A reader says that all of this is wrong and should be read again.</p></article>"
+    legal = "<p>All rights reserved by the makers of this site.</p>"
+    for page in (
+        f"<body class='single post comments-closed'><article>{ARTICLE}</article></body>",
+        f"<body><main class='content has-comments'>{ARTICLE}</main></body>",
+        f"<body><div class='content with-sidebar'>{ARTICLE}</div></body>",
+        f"<body><div id='page' class='header-fixed'><article>{ARTICLE}</article></div></body>",
+        f"<body class='hasSidebar'>{MENU}<div id='content'>{ARTICLE}</div>{MENU}{legal}</body>",
+        f"<body><div class='no-sidebar'>{MENU}{ARTICLE}{MENU}{legal}</div></body>",
+        f"<body><main class='sidebar'>{ARTICLE}</main><div class='sidebar-right'><p>Read this too, it is quite long and has no link at all.</p></div></body>",
+        f"<body><article class='post comment-enabled widget'>{ARTICLE}</article>{comments}</body>",
+        f"<body>{MENU}{ARTICLE}{MENU}</body>",
+        f"<body class='nav-open'><nav>{MENU}</nav><section><article>{ARTICLE}</article></section><div class='comments'>{comments}</div></body>",
+    ):
+        assert main_text(page, tree).split("\n") == want, page
+
+
 def test_blocks_have_link_density():
     found = blocks("<div>one two <a>three four</a></div><p>five")
     assert [(b.text, b.words, b.link_density) for b in found] == [("one two three four", 4, 0.5), ("five", 1, 0.0)]
