@@ -4,9 +4,9 @@ In the vocabulary no piece has a white-space marker after another character, so
 no merge crosses the start of a marked word: a text is the sequence of its
 chunks (a run of markers with the characters up to the next run), and its ids are
 the ids of its chunks in order. ``chunk_table`` counts the distinct chunks of the
-corpus and segments each once. The most frequent rows of that table (a fixed
-number of short chunks, so a fixed size) are sent to every task, and ids are
-joined back by position there. A chunk beyond them is segmented where it stands,
+corpus and segments the most frequent ones once (a fixed number of short chunks,
+so a fixed size). These rows are sent to every task, and ids are joined back by
+position there. A chunk beyond them is segmented where it stands,
 once per task: moving every occurrence of a rare chunk to its row and back would
 move the whole corpus twice.
 """
@@ -78,8 +78,11 @@ class _Segments(dict):
         return found
 
 
-def chunk_table(docs: DataFrame, model: bytes) -> DataFrame:
-    """``chunk, n, ids, decoded`` of every distinct chunk of up to LONGEST characters in ``docs.text``."""
+def chunk_table(docs: DataFrame, model: bytes, rows: int | None = None) -> DataFrame:
+    """``chunk, n, ids, decoded`` of every distinct chunk of up to LONGEST characters in ``docs.text``.
+
+    All chunks are counted; with ``rows`` only the most frequent ones, so many at most, are segmented and returned.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,6 +109,8 @@ def chunk_table(docs: DataFrame, model: bytes) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["chunk", "n", "ids", "decoded"])
 
     counted = bounded_batches(docs).select("text").mapInArrow(count, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    if rows is not None:
+        counted = most_frequent(materialised(counted), "n", rows)
     return materialised(counted.mapInArrow(encode, "chunk string, n long, ids array<int>, decoded string"))
 
 
@@ -127,7 +132,7 @@ def encoded(docs: DataFrame, model: bytes, digests: bool = False, end_id: bool =
     """
     check_vocabulary(model)
     context = docs.sparkSession.sparkContext
-    shared, head = context.broadcast(model), context.broadcast(head_of(chunk_table(docs, model)))
+    shared, head = context.broadcast(model), context.broadcast(head_of(chunk_table(docs, model, HEAD_ROWS)))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(shared.value)
