@@ -29,6 +29,8 @@ LEAST_REVISIT = 1000
 ARCHIVE_BYTES = 256 << 20
 #: Ranges closer than GAP are read as one, up to RANGE bytes.
 GAP, RANGE = 64 << 10, 8 << 20
+#: Archive bytes that one task reads back, and the least that are worth a task of their own.
+TASK_BYTES, LEAST_TASK_BYTES = 64 << 20, 4 << 20
 
 INDEX = "archive string, offset long, length long, page_id long, url string, payload_digest string, record_type string"
 RECORD = (
@@ -160,6 +162,13 @@ def _ranges(rows: list[tuple]) -> Iterator[tuple[str, int, int, list[tuple]]]:
         yield group[0][0], group[0][1], group[-1][1] + group[-1][2], group
 
 
+def _read_tasks(index: DataFrame) -> int:
+    """Tasks to read the records of ``index`` back: by the bytes they point to, not by the size of the index."""
+    size = index.agg(F.sum("length")).first()[0] or 0
+    cores = index.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-size // TASK_BYTES), min(cores, -(-size // LEAST_TASK_BYTES)))
+
+
 def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """Records that the rows of ``index`` name; ``payload`` is null for revisits, and for all without ``payloads``."""
 
@@ -182,7 +191,7 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True) -> DataFr
             source.close()
 
     places = index.select("archive", "offset", "length")
-    spread = places.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    spread = places.repartitionByRange(_read_tasks(index), "archive", "offset").sortWithinPartitions("archive", "offset")
     return spread.mapInArrow(read, RECORD)
 
 
