@@ -21,10 +21,12 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class LineLimits:
-    """A line is boilerplate if at least ``documents`` documents and more than ``share`` of a host's documents hold it."""
+    """A line is boilerplate if at least ``documents`` documents and more than ``share`` of a host's documents hold it,
+    or ``most`` documents, whatever the host's size."""
 
     documents: int = 10
     share: float = 0.06
+    most: int = 1000
     #: A document is depleted if less than this share of its words is left, or fewer words than ``least_words``.
     left: float = 0.5
     least_words: int = 30
@@ -88,7 +90,7 @@ def boilerplate_lines(lines: DataFrame, hosts: DataFrame, limits: LineLimits) ->
     counted = lines.groupBy("source", "line").agg(F.count(F.lit(1)).alias("documents"))
     counted = counted.where(F.col("documents") >= limits.documents).alias("c")
     same = F.col("c.source").eqNullSafe(F.col("h.source"))
-    many = F.col("documents") > F.lit(limits.share) * F.col("host_documents")
+    many = (F.col("documents") > F.lit(limits.share) * F.col("host_documents")) | (F.col("documents") >= limits.most)
     return counted.join(hosts.alias("h"), same & many).select("c.source", "line", "documents")
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -46,5 +47,38 @@ def test_lines_above_the_limit_of_their_host_go(spark):
     assert "Share" not in cut[3] and "Share" in cut[100] and 205 not in cut
 
 
+def test_a_count_of_documents_holds_at_any_host_size(spark):
+    letters = lambda c: F.translate(c.cast("string"), "0123456789", "abcdefghij")
+    own = F.concat_ws(" ", *[F.concat(F.lit(f"own{chr(97 + i // 8)}{chr(97 + i % 8)}"), letters(F.col("doc_id"))) for i in range(60)])
+    line = F.when(F.col("doc_id") % 50 == 0, F.lit("\nAll rights are with the makers")).otherwise(F.lit(""))
+    docs = spark.range(2000).select(F.col("id").alias("doc_id")).withColumn("text", F.concat(own, line)).withColumn("source", F.lit("hot"))
+    removed = lambda most: {r.words_removed for r in quality(docs, LineLimits(most=most)).where("doc_id % 50 = 0").collect()}
+    assert removed(41) == {0} and removed(40) == {6}
+
+
+def test_verdict_is_that_of_brute_force(spark):
+    rng = random.Random(3)
+    pool = [" ".join(f"{rng.choice('abcdefgh')}{rng.choice('klmnop')}{rng.choice('rstuv')}" for _ in range(rng.randint(1, 25))) for _ in range(60)]
+    rows = []
+    for i in range(300):
+        own = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(15)) for _ in range(rng.randint(0, 6))]
+        lines = own + rng.choices(pool[: 8 if i % 3 else 60], k=rng.randint(0, 4))
+        rng.shuffle(lines)
+        rows.append((i, "\n".join(lines), rng.choice(["a", "a", "a", "b", None])))
+    limits = LineLimits(documents=6, share=0.2, most=30)
+    held, hosts = Counter(), Counter(s for _, _, s in rows)
+    for _, t, s in rows:
+        held.update((s, x) for x in set(t.split("\n")) if x)
+    bad = {k for k, n in held.items() if n >= limits.documents and (n > limits.share * hosts[k[0]] or n >= limits.most)}
+    assert bad
+    for r in quality(spark.createDataFrame(rows, "doc_id long, text string, source string"), limits).collect():
+        _, t, s = rows[r.doc_id]
+        n, gone = len(t.split()), sum(len(x.split()) for x in t.split("\n") if (s, x) in bad)
+        left = n - gone
+        assert r.words_removed == gone
+        assert r.depleted == (left < limits.left * n or (gone > 0 and left < limits.least_words))
+        assert r.kept == (not r.base_failed and not r.depleted)
+
+
 def test_empty_table(spark, no_docs):
     assert quality(no_docs).count() == 0
