@@ -50,9 +50,9 @@ ALPHABETS = {
 #: p-values are counted in this many bins per encoding and length class.
 BINS = 50
 FDR = 0.05
-#: Fewest tokens of a class for an estimate of its own; smaller classes take the fixed threshold.
-LEAST = 200
-FIXED = 0.2
+#: Tokens that are added to the counts of every class: half a random token for each bin, and others that
+#: grow fewer up to a p-value of 0.2. A class of few tokens leans on them, a large one outweighs them.
+PRIOR = [0.5 + 0.5 * max(0, BINS // 5 - i) for i in range(BINS)]
 #: Random tokens simulated per alphabet and length class.
 SIMULATED = 1000
 
@@ -196,7 +196,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     return materialised(bounded_batches(docs).select("doc_id", "text").mapInArrow(scan, FOUND.format(kind=kind)))
 
 
-def threshold(counts: list[int], fdr: float = FDR) -> int | None:
+def threshold(counts: list[float], fdr: float = FDR) -> int | None:
     """Lowest bin from which on false discoveries stay within ``fdr``; None if no bin does.
 
     Random tokens fill all bins alike, so the mean of the upper half is what they
@@ -212,13 +212,13 @@ def threshold(counts: list[int], fdr: float = FDR) -> int | None:
 
 
 def thresholds(found: DataFrame, fdr: float = FDR) -> dict[tuple[str, int], int | None]:
-    """Threshold bin of each encoding and length class from counts over all documents (at most 5 x 9 x BINS rows)."""
+    """Threshold bin of each encoding and length class from counts over all documents (at most 5 x 9 x BINS rows) and PRIOR."""
     tokens = found.select(F.explode("tokens").alias("t"))
     counted = tokens.groupBy("t.encoding", "t.size", "t.bin").count().collect()
     counts: dict[tuple[str, int], list[int]] = {}
     for r in counted:
         counts.setdefault((r["encoding"], r["size"]), [0] * BINS)[r["bin"]] += r["count"]
-    return {k: threshold(v, fdr) if sum(v) >= LEAST else int(FIXED * BINS) for k, v in counts.items()}
+    return {k: threshold([n + p for n, p in zip(v, PRIOR)], fdr) for k, v in counts.items()}
 
 
 def secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:

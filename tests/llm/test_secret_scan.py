@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from sessionweave.llm.secret_scan import base_spans, candidates, encoding_of, randomness, redacted, secret_digests, secrets, threshold
+from sessionweave.llm.secret_scan import PRIOR, base_spans, candidates, encoding_of, randomness, redacted, secret_digests, secrets, threshold
 
 def brute(t):
     either = lambda w: "".join(f"[{c}{c.upper()}]" for c in w)
@@ -53,6 +53,28 @@ def test_tests_and_thresholds():
     assert redacted("ab token=abcdef cd", [("assign", 3, 15)]) == "ab [assign] cd"
 
 
+def test_one_estimate_at_every_size():
+    small = lambda counts: threshold([n + p for n, p in zip(counts, PRIOR)])
+    assert small([0] * 50) == 9
+    assert [small([20 * k] + [k] * 49) for k in (1, 3, 30, 3000)] == sorted((small([20 * k] + [k] * 49) for k in (1, 3, 30, 3000)), reverse=True)
+    assert small([20000] + [1000] * 49) == threshold([20000] + [1000] * 49) == 1
+
+
+def test_added_spans_are_those_of_brute_force(spark):
+    random.seed(6)
+    letters = "abcdef0123456789"
+    texts = [f"id {''.join(random.choices(letters, k=random.choice([22, 40])))}-x {'word' * 8} k=" + "".join(random.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=random.choice([24, 44]))) for _ in range(150)]
+    found = [candidates(t, base_spans(t)) for t in texts]
+    counts = {}
+    for e, s, b, *_ in (x for f in found for x in f):
+        counts.setdefault((e, s), list(PRIOR))[b] += 1
+    limits = {k: threshold(v) for k, v in counts.items()}
+    want = [[(a, z) for e, s, b, a, z in f if limits[e, s] is not None and b >= limits[e, s]] for f in found]
+    assert sum(map(len, want)) > 100
+    for r in secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert [(x["start"], x["end"]) for x in r.random] == want[r.doc_id]
+
+
 def test_digests(spark, edge_docs, no_docs):
     docs = edge_docs.select("doc_id", "text", F.lit(1).alias("base")).union(spark.createDataFrame([(100 + i, t, 1) for i, t in enumerate(TEXTS)], "doc_id long, text string, base int"))
     got = secret_digests(docs).collect()
