@@ -315,6 +315,14 @@ UNION ALL SELECT session_id, level_group, concat(text_fqid, '_', cast(level AS v
         GRID,
         """SELECT session_id, level_group, room_fqid, room_x, room_y, round((n - mean) / scale, 6) AS scaled
  FROM clipped JOIN scale USING (level_group, room_fqid, room_x, room_y)""",
+    )
+    o["room_grid_variance"] = more(
+        GRID,
+        """SELECT level_group, room_fqid, max(sessions) AS sessions, round(sum(v), 6) AS total_variance,
+ cast(0 AS double) AS mean0, cast(0 AS double) AS mean1, cast(0 AS double) AS covariance
+ FROM (SELECT level_group, room_fqid, room_x, room_y, count(*) AS sessions, var_samp(n / scale) AS v FROM dense
+ JOIN (SELECT level_group, room_fqid, room_x, room_y, scale FROM scale) s USING (level_group, room_fqid, room_x, room_y) GROUP BY ALL) c
+ GROUP BY level_group, room_fqid""",
     )
     return o
 

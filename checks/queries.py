@@ -562,10 +562,31 @@ def save_models(spark, sf):
     return saved.join(asked, "q").select("q", "fold", (F.col("rounds") == F.col("best_iteration")).alias("same_rounds"), "rounds")
 
 
-def room_grid_pca(spark, sf):
+def room_cells(spark, sf):
     slotted = clicks.with_slots(clipped(spark, sf), axes(spark, sf))
-    rows = written(spark, f"{sf}/room_vectors", lambda: models.room_vectors(slotted, scale(spark, sf)))
-    return models.room_embedding(rows, PARAMS.grid_rooms)
+    return written(spark, f"{sf}/room_cells", lambda: models.room_cells(slotted, scale(spark, sf)))
+
+
+def room_axes(spark, sf):
+    return written(spark, f"{sf}/room_axes", lambda: models.room_axes(room_cells(spark, sf)))
+
+
+def room_grid_pca(spark, sf):
+    return models.room_embedding(room_cells(spark, sf), room_axes(spark, sf))
+
+
+def room_grid_variance(spark, sf):
+    """Total variance of every room, and means and covariance of its embedding, which are 0."""
+    room = ["level_group", "room_fqid"]
+    size = lambda c: F.abs(F.round(c, 6))
+    points = room_grid_pca(spark, sf).groupBy(*room).agg(
+        F.count(F.lit(1)).alias("sessions"),
+        size(F.avg("axis0")).alias("mean0"),
+        size(F.avg("axis1")).alias("mean1"),
+        size(F.covar_pop("axis0", "axis1")).alias("covariance"),
+    )
+    totals = room_axes(spark, sf).groupBy(*room).agg(F.round(F.max("total_variance"), 6).alias("total_variance"))
+    return points.join(totals, room)
 
 
 # A log of the sessions with even ids trains, one of the others is new.
@@ -617,6 +638,7 @@ MODELS = {
     "score_new_log": score_new_log,
     "new_log_features": new_log_features,
     "room_grid_pca": room_grid_pca,
+    "room_grid_variance": room_grid_variance,
     "oof_boosted": validation(BOOSTED),
     "oof_forest": validation(FOREST),
     "oof_boosted_early_stop": validation(EARLY),
