@@ -8,9 +8,10 @@ order. First the least document of every column of more than FEW documents is
 multiplied with the column's other documents, in blocks. Then documents of different
 components that share a column of few documents are met; the number of columns
 they share bounds their overlap, and pairs that cannot reach the similarity are
-dropped before their sets are multiplied. In longer columns that still hold several
-components, documents outside the largest one are multiplied with all on those
-first columns, tile by tile, for the same bound. A tile of whole sets accumulates
+dropped. In longer columns that still hold several components, documents outside the
+largest one are met with all, tile by tile. Every pair is held against a bound from
+bit sketches of both sets before whole sets move: a bit that only one of them has
+stands for an n-gram that the other lacks. A tile of whole sets accumulates
 overlap counts over blocks of columns and drops pairs that cannot reach the
 bound their sizes give; only links leave it.
 """
@@ -44,8 +45,8 @@ FEW, SOME = 8, 32
 LOOKED_UP = 500_000
 #: Columns of a tile multiplied at a time.
 COLUMNS = 4096
-#: Stands for the end of all rare columns of a set.
-ALL = (1 << 63) - 1
+#: Bits of a sketch for each n-gram of a set, at least; at most twice as many.
+BITS = 4
 #: Stands for a null doc_id, which counts as one document.
 NO_ID = -(1 << 63)
 
@@ -61,8 +62,40 @@ def bound_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """A bit for the last digits of every n-gram of a set; as many bits as a power of two, 64 at least."""
+    size = 64
+    while size < BITS * len(s):
+        size *= 2
+    bits = np.zeros(size, bool)
+    bits[s & (size - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    """The sketch (along the last axis) in fewer 64-bit words, as a set's sketch of that size would be."""
+    while words.shape[-1] > width:
+        half = words.shape[-1] // 2
+        words = words[..., :half] | words[..., half:]
+    return words
+
+
+def possible(n: int, bits: np.ndarray, others: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """Which sets of sizes ``others`` and ``sketches`` (a row each) may be linked with that of size ``n`` and sketch ``bits``.
+
+    A bit that only one of two sketches has stands for at least one n-gram that the
+    other set lacks, so the overlap is at most the size less those bits, on both sides.
+    """
+    width = min(len(bits), sketches.shape[1])
+    x, y = _folded(bits, width), _folded(sketches, width)
+    only_x = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+    only_y = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+    most = np.minimum(n - only_x, others - only_y)
+    return (100 + PERCENT) * most >= PERCENT * (n + others)
+
+
 def profiles(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
-    """Per document ``node, n, d1, d2`` (set size and digest), and ``h, c`` of n-grams that are frequent somewhere."""
+    """Per document ``node, n, d1, d2, bits`` (set size, digest, sketch), and ``h, c`` of n-grams that are frequent somewhere."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -73,14 +106,16 @@ def profiles(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
             top = top[np.argsort(-counts[top], kind="stable")[:REPORTED]]
             return values[top], counts[top]
 
-        def rows(kind, node, n, d1, d2):
-            columns = [np.full(len(node), kind), node, n, d1, d2]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["kind", "node", "n", "d1", "d2"])
+        def rows(kind, node, n, d1, d2, bits=None):
+            columns = [pa.array(c, pa.int64()) for c in (np.full(len(node), kind), node, n, d1, d2)]
+            columns.append(pa.array(bits, pa.binary()) if bits else pa.nulls(len(node), pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, ["kind", "node", "n", "d1", "d2", "bits"])
 
         for batch in batches:
-            n, digests = [], []
+            n, digests, bits = [], [], []
             for s in shingle_sets(batch.column(1), k):
                 n.append(len(s))
+                bits.append(sketch(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 held.append(s)
                 size += len(s)
@@ -89,13 +124,13 @@ def profiles(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
                     yield rows(1, h, c, h, h)
                     held, size = [], 0
             d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            yield rows(0, batch.column(0).to_numpy(zero_copy_only=False), np.array(n, np.int64), d[:, 0], d[:, 1])
+            yield rows(0, batch.column(0).to_numpy(zero_copy_only=False), np.array(n, np.int64), d[:, 0], d[:, 1], bits)
         if size:
             h, c = frequent()
             yield rows(1, h, c, h, h)
 
     keyed = bounded_batches(docs).select(node_of(F.col("doc_id")).alias("node"), "text")
-    both = materialised(keyed.mapInArrow(profile, "kind long, node long, n long, d1 long, d2 long"))
+    both = materialised(keyed.mapInArrow(profile, "kind long, node long, n long, d1 long, d2 long, bits binary"))
     counted = both.where("kind = 1").groupBy(F.col("node").alias("h")).agg(F.sum("n").alias("c"))
     return both.where("kind = 0").drop("kind"), counted
 
@@ -126,18 +161,6 @@ def first_columns(s: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.nda
     return np.concatenate([rare, known[common[np.argsort(rank[common])[: most - len(rare)]]]])
 
 
-def rare_columns(s: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first columns of a set that are not frequent; ALL at the end if the set has no other rare ones."""
-    known, _ = order
-    if len(known):
-        s_at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-        rare = s[known[s_at] != s]
-    else:
-        rare = s
-    most = bound_length(len(s))
-    return rare[:most] if len(rare) > most else np.append(rare, ALL)
-
-
 def columns_of(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int = K) -> DataFrame:
     """``h, node``: for each document the n-grams of which a partner shares one."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
@@ -158,35 +181,32 @@ def columns_of(docs: DataFrame, order: tuple[np.ndarray, np.ndarray], k: int = K
     return keyed.mapInArrow(first, "h long, node long")
 
 
-def shingle_table(docs: DataFrame, wanted: DataFrame, k: int = K, order: tuple | None = None) -> DataFrame:
-    """``node, set`` of the documents whose node is in ``wanted``; one row for each of a node's different texts.
+def _looked_up(rows: DataFrame) -> DataFrame:
+    """``rows`` written; broadcast up to LOOKED_UP of them, so that what they are joined to need not move."""
+    rows = materialised(rows)
+    return F.broadcast(rows) if rows.count() <= LOOKED_UP else rows
 
-    With ``order`` only the rare ones of the first columns of each set. ``wanted`` is broadcast up to
-    LOOKED_UP nodes (then texts need not move), and joined by a shuffle beyond.
-    """
-    wanted = materialised(wanted.distinct())
-    wanted = F.broadcast(wanted) if wanted.count() <= LOOKED_UP else wanted
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+
+def shingle_table(docs: DataFrame, wanted: DataFrame, k: int = K) -> DataFrame:
+    """``node, set`` of the documents whose node is in ``wanted``; one row for each of a node's different texts."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shingle_sets(batch.column(1), k))
-            if shared.value is not None:
-                found = [rare_columns(s, shared.value) for s in found]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             values = np.concatenate(found) if found else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node", "set"])
 
-    keyed = docs.select(node_of(F.col("doc_id")).alias("node"), "text").join(wanted, "node", "left_semi")
+    keyed = docs.select(node_of(F.col("doc_id")).alias("node"), "text").join(_looked_up(wanted.distinct()), "node", "left_semi")
     return keyed.mapInArrow(sets, "node long, set array<long>")
 
 
-def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int | None = PERCENT) -> np.ndarray:
+def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     """Overlap counts of sorted sets ``a`` by ``b``: a product of incidence matrices over blocks of columns.
 
     Pairs that the counts so far and the columns to come cannot lift to the bound
-    ``percent / (100 + percent) * (|a| + |b|)`` are dropped (count 0); none without ``percent``.
+    ``percent / (100 + percent) * (|a| + |b|)`` are dropped (count 0).
     """
     na, nb = np.array([len(s) for s in a]), np.array([len(s) for s in b])
     universe = np.unique(np.concatenate(a))
@@ -198,7 +218,6 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int | None = PER
     rows, place = rows[same], place[same]
     if len(a) == 1:
         return np.bincount(rows, minlength=len(b))[None, :]
-    percent = percent or 0
     least = percent * (na[:, None] + nb[None, :]) / (100 + percent)
     alive = 100 * np.minimum(na[:, None], nb[None, :]) >= percent * np.maximum(na[:, None], nb[None, :])
     counts = np.zeros((len(a), len(b)), np.float32)
@@ -228,27 +247,28 @@ def _sets(table: pa.Table) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
 
 
-def _tile_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of side 0 and side 1 whose rare columns do not rule them out; rows of one label are not met.
+def _words(bits: pa.ChunkedArray) -> list[np.ndarray]:
+    return [np.frombuffer(b, np.uint64) for b in bits.to_pylist()]
 
-    Up to the column at which the first of the two lists ends, all shared ones are
-    known: ``a`` of them. Beyond it, no more can be shared than either set has left.
-    """
+
+def _tile_pairs(table: pa.Table) -> pa.Table:
+    """Pairs of side 0 and side 1 whose sketches do not rule them out; rows of one label are not met."""
     side, node, label, n = (table[c].to_numpy() for c in ("side", "node", "label", "n"))
-    sets = _sets(table)
+    words = _words(table["bits"])
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    u, v, nv = (np.zeros(0, np.int64),) * 3
-    if len(left) and len(right):
-        a = overlaps([sets[i] for i in left], [sets[i] for i in right], None)
-        nl, nr = n[left][:, None], n[right][None, :]
-        ends = np.minimum([[sets[i][-1]] for i in left], [[sets[j][-1] for j in right]])
-        used = np.array([np.searchsorted(sets[i], row, "right") for i, row in zip(left, ends)])
-        met = np.array([np.searchsorted(sets[j], column, "right") for j, column in zip(right, ends.T)]).T
-        possible = (100 + PERCENT) * (a + np.minimum(nl - used, nr - met)) >= PERCENT * (nl + nr)
-        possible &= 100 * np.minimum(nl, nr) >= PERCENT * np.maximum(nl, nr)
-        i, j = np.nonzero(possible & (label[left][:, None] != label[right][None, :]))
-        u, v, nv = node[left][i], node[right][j], n[right][j]
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "nv": pa.array(nv, pa.int64())})
+    width = np.array([len(words[j]) for j in right], np.int64)
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for w in np.unique(width):
+        some = right[width == w]
+        sketches = np.stack([words[j] for j in some])
+        for i in left:
+            met = np.flatnonzero((100 * np.minimum(n[i], n[some]) >= PERCENT * np.maximum(n[i], n[some])) & (label[some] != label[i]))
+            if len(met):
+                found = some[met[possible(n[i], words[i], n[some[met]], sketches[met])]]
+                u.append(np.full(len(found), i))
+                v.append(found)
+    u, v = np.concatenate(u), np.concatenate(v)
+    return pa.table({"u": pa.array(node[u], pa.int64()), "v": pa.array(node[v], pa.int64()), "nv": pa.array(n[v], pa.int64())})
 
 
 def _tile_links(table: pa.Table) -> pa.Table:
@@ -272,22 +292,33 @@ def _tiles(rows: Column, shingles: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(rows / TILE_ROWS), F.ceil(shingles / TILE_SHINGLES)).cast("int")
 
 
-def _multiplied(tiles: DataFrame, sets: DataFrame, key: list[str]) -> DataFrame:
-    """Links of the tiles ``*key, side, node, label`` with the sets of their nodes."""
-    full = tiles.join(sets, "node").select(*key, "side", "node", "label", "set")
-    return full.groupBy(*key).applyInArrow(_tile_links, LINKS)
+def _possible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs ``u, v, nv`` that their sketches ``node, n, bits`` do not rule out."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = _words(batch["bu"]), _words(batch["bv"])
+            na, nb = batch["nu"].to_numpy(), batch["n"].to_numpy()
+            stay = [bool(possible(na[i], a[i], nb[i : i + 1], b[i][None, :])[0]) for i in range(len(a))]
+            yield batch.select(["u", "v", "nv"]).filter(pa.array(stay, pa.bool_()))
+
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+    some = materialised(sketches.join(_looked_up(ends.distinct()), "node", "left_semi"))
+    left = some.select(F.col("node").alias("u"), F.col("n").alias("nu"), F.col("bits").alias("bu"))
+    right = some.select(F.col("node").alias("v"), "n", F.col("bits").alias("bv"))
+    return materialised(pairs.join(left, "u").join(right, "v").mapInArrow(kept, "u long, v long, nv long").distinct())
 
 
-def _linked(pairs: DataFrame, sets_of) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, k: int) -> DataFrame:
     """Links among the pairs ``u, v, nv``: every ``u`` is multiplied with its partners, block by block."""
     if pairs.isEmpty():
         return pairs.select("u", "v")
-    sets = sets_of(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))))
     per = pairs.groupBy("u").agg(_tiles(F.count(F.lit(1)), F.sum("nv")).alias("t"))
     right = pairs.join(per, "u").select("u", F.pmod(F.xxhash64("v"), "t").cast("int").alias("j"), F.lit(1).alias("side"), F.col("v").alias("node"))
     left = per.select("u", F.explode(F.sequence(F.lit(0), F.col("t") - 1)).alias("j"), F.lit(0).alias("side"), F.col("u").alias("node"))
-    tiles = right.unionByName(left).select(F.col("u").alias("g"), "j", "side", "node", F.col("node").alias("label"))
-    return materialised(_multiplied(tiles, sets, ["g", "j"]))
+    tiles = _looked_up(right.unionByName(left).select(F.col("u").alias("g"), "j", "side", "node", F.col("node").alias("label")))
+    full = shingle_table(docs, tiles.select("node"), k).join(tiles, "node").select("g", "j", "side", "node", "label", "set")
+    return materialised(full.groupBy("g", "j").applyInArrow(_tile_links, LINKS))
 
 
 def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -329,29 +360,29 @@ def linked_classes(docs: DataFrame, k: int = K) -> tuple[DataFrame, DataFrame]:
     order = frequent_order(counted)
     column_rows = columns_of(docs, order, k)
 
-    many = column_rows.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    many = materialised(many.select("h"))
+    many = materialised(column_rows.groupBy("h").count().where("count > 1").select("h"))
     reps = members.select("node", "rep", "n")
     inside = column_rows.join(many, "h", "left_semi").join(reps, "node").select("h", F.col("rep").alias("node"), "n").distinct()
     inside = materialised(inside)
     pivots = inside.groupBy("h").agg(F.min(F.struct("node", "n")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1")
     pivots = materialised(pivots.select("h", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), "m"))
 
-    sets_of = lambda nodes: materialised(shingle_table(docs, nodes, k))
+    sketches = sizes.where("n > 0").select("node", "n", "bits")
     near = 100 * F.least("n", "pn") >= PERCENT * F.greatest("n", "pn")
     stars = inside.join(pivots.where(F.col("m") > FEW), "h").where((F.col("node") != F.col("pivot")) & near)
     stars = materialised(stars.select(F.col("pivot").alias("u"), F.col("node").alias("v"), F.col("n").alias("nv")).distinct())
-    links = _linked(stars, sets_of)
+    links = _linked(_possible(stars, sketches), docs, k)
 
     same_node = members.where("node <> rep").select(F.col("node").alias("u"), F.col("rep").alias("v"))
     roots = materialised(components(links.unionByName(same_node)))
-    pairs = _pairs(inside, pivots, roots)
+    pairs = _possible(materialised(_pairs(inside, pivots, roots)), sketches)
     rest = _unresolved(inside, pivots.where(F.col("m") > SOME), roots)
     if not rest.isEmpty():
-        full = rest.join(materialised(shingle_table(docs, rest.select("node"), k, order)), "node")
+        some = sketches.join(_looked_up(rest.select("node").distinct()), "node", "left_semi")
+        full = rest.drop("n").join(some, "node")
         met = full.groupBy("g", "i", "j").applyInArrow(_tile_pairs, "u long, v long, nv long")
         pairs = pairs.unionByName(met).groupBy("u", "v").agg(F.max("nv").alias("nv"))
-    roots = _grown(roots, _linked(materialised(pairs), sets_of))
+    roots = _grown(roots, _linked(materialised(pairs), docs, k))
     return sizes.select("node", "n"), roots
 
 

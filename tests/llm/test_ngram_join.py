@@ -95,6 +95,51 @@ def test_overlap_counts():
     assert [bound_length(n) for n in (1, 5, 10, 11)] == [1, 2, 3, 3]
 
 
+def test_sketches_rule_out_no_link():
+    rng = np.random.default_rng(3)
+    words = lambda s: np.frombuffer(ngram_join.sketch(s), np.uint64)
+    unlike = 0
+    for n in (1, 2, 9, 40, 300, 1100):
+        a = np.unique(rng.integers(-(1 << 63), 1 << 63, n))
+        for kept in np.linspace(0, 1, 21):
+            for extra in (0, n // 9, n // 4, n // 2):
+                b = np.unique(np.concatenate([a[: round(kept * n)], rng.integers(-(1 << 63), 1 << 63, extra)]))
+                if not len(b):
+                    continue
+                common = len(np.intersect1d(a, b))
+                stays = ngram_join.possible(len(a), words(a), np.array([len(b)]), words(b)[None, :])[0]
+                assert stays == ngram_join.possible(len(b), words(b), np.array([len(a)]), words(a)[None, :])[0]
+                assert stays or 100 * common < 80 * (len(a) + len(b) - common)
+                unlike += n >= 300 and 10 * common < 6 * n and stays
+    assert unlike == 0
+
+
+@pytest.mark.parametrize("looked_up", [500_000, 0])
+def test_whole_sets_are_taken_for_likely_pairs_only(spark, monkeypatch, looked_up):
+    """Documents that only share a passage, in columns of all three lengths, are not met set by set."""
+    monkeypatch.setattr(ngram_join, "LEAST_FREQUENT", 1000)
+    monkeypatch.setattr(ngram_join, "LOOKED_UP", looked_up)
+    random.seed(5)
+    own = lambda k: [f"o{random.randrange(10**9)}" for _ in range(k)]
+    texts = {}
+    for group in (5, 20, 40):
+        passage = own(60)
+        for _ in range(group):
+            texts[len(texts)] = " ".join(passage + own(90))
+    alike = own(200)
+    texts |= {500: " ".join(alike), 501: " ".join([*alike[:-1], "changed"]), 502: " ".join(["changed", *alike[1:]])}
+    wanted, real = set(), ngram_join.shingle_table
+
+    def seen(docs, nodes, *rest):
+        wanted.update(r.node for r in nodes.collect())
+        return real(docs, nodes, *rest)
+
+    monkeypatch.setattr(ngram_join, "shingle_table", seen)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(docs).collect()} == brute(texts)
+    assert wanted == {500, 501, 502}
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(60)]
     star = [(100, i) for i in range(101, 140)] + [(139, 99)]
