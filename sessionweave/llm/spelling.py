@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionweave.llm.common import bounded_batches, materialised
+from sessionweave.llm.common import bounded_batches, materialised, shuffled
 
 #: Runs of letters, after A-Z were lower-cased.
 RUN = re.compile("[a-zÀ-ÿ]+")
@@ -177,7 +177,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """
     counts = words.sparkSession.sparkContext.broadcast(gram_counts(words))
     index, probes = _keyed(words, counts, pivot_keys, "s"), _keyed(words, counts, prefix_keys, "r")
-    met = index.join(probes, "key").where((F.col("s_last") <= F.col("r_last")) & (F.col("s_word") != F.col("r_word")))
+    met = index.join(shuffled(probes), "key").where((F.col("s_last") <= F.col("r_last")) & (F.col("s_word") != F.col("r_word")))
     close = met.where(F.levenshtein("s_word", "r_word", EDITS) == 1)
     s, r = F.struct(F.col("s_word").alias("w"), F.col("s_n").alias("n")), F.struct(F.col("r_word").alias("w"), F.col("r_n").alias("n"))
     pair = close.select(F.least(s, r).alias("a"), F.greatest(s, r).alias("b"))
@@ -192,7 +192,7 @@ def _roots(links: DataFrame) -> DataFrame:
     ways = materialised(links.select("word", F.col("form").alias("root")))
     while True:
         onward = ways.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        longer = materialised(ways.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        longer = materialised(ways.join(shuffled(onward), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
         ways = longer.select("word", "root")
         if longer.where("moved").isEmpty():
             return ways
@@ -213,7 +213,7 @@ def spelling_groups(words: DataFrame, margin: int = MARGIN) -> DataFrame:
     large = -F.col("first.less") >= margin * F.col("n")
     told = materialised(
         words.select("word", "n")
-        .join(best, "word", "left")
+        .join(shuffled(best), "word", "left")
         .select(
             "word",
             "n",
@@ -223,7 +223,7 @@ def spelling_groups(words: DataFrame, margin: int = MARGIN) -> DataFrame:
         )
     )
     roots = _roots(told.where("form is not null"))
-    return told.join(roots, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return told.join(shuffled(roots), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def spelling_variants(docs: DataFrame) -> DataFrame:

@@ -125,3 +125,20 @@ def test_one_task_may_hand_on_words_more_than_once(spark, sf, monkeypatch):
     whole = sorted(map(tuple, word_counts(docs).collect()))
     monkeypatch.setattr(spelling, "TASK_WORDS", 50)
     assert sorted(map(tuple, word_counts(docs).collect())) == whole
+
+
+def test_no_table_of_words_goes_through_the_driver(spark, monkeypatch):
+    from sessionweave.llm import spelling
+
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    keep = spelling.materialised
+    monkeypatch.setattr(spelling, "materialised", planned)
+    result = spelling_groups(spark.createDataFrame([("abcde", 8), ("abcdf", 3), ("abxdf", 1)], "word string, n long"))
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in p for p in plans) >= 4
+    assert not any("Broadcast" in p for p in plans)
