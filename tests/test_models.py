@@ -269,3 +269,21 @@ def test_leaves_become_depth():
     assert models.spark_params({"n_estimators": 5, "num_leaves": 31}, "boosted")["maxDepth"] == 5
     assert models.spark_params({"n_estimators": 5, "num_leaves": 31, "max_depth": 4}, "boosted")["maxDepth"] == 4
     assert models.spark_params({"n_estimators": 5, "max_depth": -1, "num_leaves": 8}, "boosted")["maxDepth"] == 3
+
+
+@pytest.mark.parametrize("early", [False, True])
+def test_rows_are_assembled_once_for_all_passes(spark, learnable, early):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    rows_ = learnable.withColumn("x", F.udf(seen, "double")("x"))
+    train, held = rows_.where("session_id % 3 > 0"), learnable.where("session_id % 3 = 0")
+    options = _early(8, 1) if early else _early(3, 0)
+    if early:
+        models.fit_stopped(train, held, ["x", "y", "z"], options, 1, False)
+    else:
+        models.fit(train, ["x", "y", "z"], models.classifier(options, 1))
+    assert read.value == train.count() == 400
