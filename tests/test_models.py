@@ -1,6 +1,7 @@
 """Chain, folds, model options, saved models and files."""
 
 import json
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from checks import fixture as fx
 from checks import queries as q
 from sessionweave.operators import chain, cleaning, clicks, longtable, models
+from sessionweave.plans import features as plan
 from sessionweave.plans import training
 from sessionweave.plans.features import Selection
 from sessionweave.workspace import bucketed, scratch_path
@@ -287,3 +289,17 @@ def test_rows_are_assembled_once_for_all_passes(spark, learnable, early):
     else:
         models.fit(train, ["x", "y", "z"], models.classifier(options, 1))
     assert read.value == train.count() == 400
+
+
+def test_kept_rows_are_not_summed_up_again(spark, monkeypatch):
+    rows_ = [(s, "0-4", "base", "m", False, float(s)) for s in range(4)] + [(s, "0-4", "base", "same", False, 1.0) for s in range(4)]
+    rows_ += [(0, "0-4", "late", "c", True, 3.0)]
+    features = spark.createDataFrame(rows_, "session_id long, level_group string, block string, feature string, zero boolean, value double")
+    members = [(s, "0-4", "base") for s in range(4)] + [(s, "0-4", "late") for s in (0, 1)]
+    members = spark.createDataFrame(members, "session_id long, level_group string, block string")
+    calls, plain = [], longtable.feature_summary
+    monkeypatch.setattr(longtable, "feature_summary", lambda *a: calls.append(a) or plain(*a))
+    chosen = plan.selected_features(plan.Features(features, members), replace(fx.PARAMS, time_parts=0))
+    assert len(calls) == 1
+    assert rows(chosen.summary) == rows(plain(chosen.rows, members, chosen.kept)) and {r.feature for r in chosen.kept.collect()} == {"m", "c"}
+    assert {r.feature for r in chosen.rows.collect()} == {"m", "c"}
